@@ -1,0 +1,151 @@
+"""The feature pipeline from raw trips and side tables to model-ready features."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+
+from tripworks.operators import cluster, enrich, features, profile, rows, stats, traffic
+from tripworks.sources import schema
+from tripworks.sources.scratch import materialise
+from tripworks.sources.stages import StageStore
+
+LAST_STAGE = 7
+
+
+@dataclass(frozen=True)
+class Config:
+    """Parameters of the pipeline; the defaults are those the features are known by."""
+
+    clusters: int = 100
+    cluster_seed: int = 1000
+    cluster_iterations: int = 20
+    min_count: int = 100
+    max_missing_rate: float = 1.0
+    weather_year: int = 2016
+    weekend_days: tuple[int, ...] = (0, 6)
+    max_distance: float | None = None
+    max_duration: float | None = None
+    leave_one_out: bool = False
+    # Optional steps.
+    window_minutes: tuple[int, ...] = ()
+    heavy_quantile: float | None = None
+    great_circle: bool = False
+    # Takes the place of fitted clusters if given: trips -> trips with both cluster columns.
+    locate: Callable[[DataFrame], DataFrame] | None = None
+    cluster_columns: tuple[str, str] | None = None
+
+    @property
+    def pickup_cluster(self) -> str:
+        return self.cluster_columns[0] if self.cluster_columns else schema.pickup_cluster(self.clusters)
+
+    @property
+    def dropoff_cluster(self) -> str:
+        return self.cluster_columns[1] if self.cluster_columns else schema.dropoff_cluster(self.clusters)
+
+
+def basic_features(trips: DataFrame, cfg: Config) -> DataFrame:
+    """Rotated coordinates, calendar parts, distances and bins."""
+    df = features.with_pca(trips)
+    df = features.with_calendar(df, cfg.weekend_days)
+    df = features.with_distances(df)
+    df = features.with_distances(df, "pca0", "pca1", "pca_")
+    return features.with_location_bins(df)
+
+
+def clean(df: DataFrame, cfg: Config) -> DataFrame:
+    return rows.narrow_types(
+        rows.filter_outliers(df, max_distance=cfg.max_distance, max_duration=cfg.max_duration)
+    )
+
+
+def cluster_features(df: DataFrame, cfg: Config) -> DataFrame:
+    """Cluster ids, then the single-key and multi-key statistics in one pass over the training rows."""
+    if cfg.locate is not None:
+        located = cfg.locate(df)
+    else:
+        model = cluster.fit_location_clusters(df, cfg.clusters, cfg.cluster_seed, cfg.cluster_iterations)
+        located = cluster.assign_clusters(df, model)
+    # The statistics and the join back both read this frame, so compute it once.
+    located = materialise(features.with_targets(located), "located")
+    key_sets = [
+        *stats.single_key_sets(cfg.pickup_cluster, cfg.dropoff_cluster, cfg.clusters),
+        *stats.multi_key_sets(cfg.pickup_cluster, cfg.dropoff_cluster, cfg.clusters, cfg.min_count),
+    ]
+    enriched = stats.with_group_features(located, key_sets, leave_one_out=cfg.leave_one_out)
+    return enriched.drop(*stats.TARGETS)
+
+
+def drop_sparse(df: DataFrame, cfg: Config) -> DataFrame:
+    if cfg.max_missing_rate >= 1.0:
+        return df  # no share of missing values can be above 1
+    return profile.drop_sparse_columns(df, cfg.max_missing_rate, keep=("id", "split", "trip_duration"))
+
+
+def other_features(df: DataFrame, cfg: Config) -> DataFrame:
+    """Binary flags, and on request window traffic and distances to heavy clusters."""
+    df = features.with_binary_flags(df)
+    if cfg.window_minutes:
+        df = traffic.with_pickup_traffic(df, cfg.window_minutes, cfg.pickup_cluster)
+        df = traffic.with_dropoff_traffic(df, cfg.window_minutes, cfg.dropoff_cluster)
+    if cfg.heavy_quantile is not None:
+        heavy = cluster.heavy_cluster_features(df, cfg.clusters, cfg.heavy_quantile, cfg.cluster_seed)
+        df = df.join(heavy, "id", "left")
+    return df
+
+
+def side_features(
+    df: DataFrame, trips: DataFrame, routes: DataFrame, weather: DataFrame, cfg: Config
+) -> DataFrame:
+    """Route totals, street encodings, per-step ratios and the day's snow fall.
+
+    The street means need only the raw trips and their routes, not the features built so far.
+    """
+    streets = enrich.join_routes(trips.select("id", "split", "trip_duration"), routes)
+    df = enrich.with_step_ratios(enrich.join_routes(df, routes))
+    df = enrich.drop_route_steps(stats.with_street_encoding(df, streets))
+    return enrich.join_weather(df, weather, cfg.weather_year)
+
+
+def final_features(df: DataFrame, cfg: Config) -> DataFrame:
+    df = features.with_holidays(df)
+    return features.with_great_circle_miles(df) if cfg.great_circle else df
+
+
+def build_features(
+    trips: DataFrame, routes: DataFrame, weather: DataFrame, cfg: Config = Config(), store: StageStore | None = None
+) -> DataFrame:
+    """All features of all trips, one row per trip of ``trips``.
+
+    With a store, each stage is written under its number and a finished one is read back instead
+    of being built again; without one only the frames that are read twice are written.
+    """
+    steps: list[Callable[[DataFrame], DataFrame]] = [
+        rows.encode_flag,
+        lambda df: basic_features(df, cfg),
+        lambda df: clean(df, cfg),
+        lambda df: cluster_features(df, cfg),
+        lambda df: drop_sparse(df, cfg),
+        lambda df: other_features(df, cfg),
+        lambda df: side_features(df, trips, routes, weather, cfg),
+        lambda df: final_features(df, cfg),
+    ]
+    df = trips
+    if store is None:
+        for step in steps:
+            df = step(df)
+        return df
+    done = next((n for n in range(LAST_STAGE, -1, -1) if store.exists(n)), None)
+    if done is not None:
+        df = store.load(done)
+    for number in range(0 if done is None else done + 1, len(steps)):
+        df = store.ensure(number, lambda: steps[number](df))
+    return df
+
+
+def model_input(df: DataFrame) -> DataFrame:
+    """Features without the raw times, as the learners take them."""
+    return df.drop(*(c for c in schema.MODEL_DROPPED if c in df.columns))
+
