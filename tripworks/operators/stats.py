@@ -88,7 +88,8 @@ def attach_statistics(
     df: DataFrame,
     stats: DataFrame,
     key_sets: Sequence[KeySet],
-    own: Mapping[str, Column] | None = None,
+    own: Sequence[str] = (),
+    hide: Sequence[str] = (),
 ) -> DataFrame:
     """Join the statistics of every key set to ``df``.
 
@@ -96,36 +97,43 @@ def attach_statistics(
     all sets are small, the groups are counted first: small sets are broadcast, others go through
     the sliced shuffle join.
 
-    ``own`` maps measures to their value in the row. If given, each training row's own value is
-    taken out of the mean it receives: (sum - value) / (n - 1).
+    Training rows get the mean of the measures in ``own`` without their own value, which is the
+    column of that name: (sum - value) / (n - 1). Columns in ``hide`` may be keys or own values but
+    are not passed on.
     """
     stored = materialise(stats, "group-stats")
     measured: dict[int, int] = {}
     needs_count = any(s.max_groups is None or s.max_groups > BROADCAST_ROWS for s in key_sets)
     if needs_count:
         measured = {r["key_set"]: r["count"] for r in stored.groupBy("key_set").count().collect()}
+    # Every join copies the row it extends. Packed into one struct, a wide row is a single value to
+    # copy, and what each lookup adds is another; they are unpacked once at the end.
+    shown = [c for c in df.columns if c not in hide]
+    needed = dict.fromkeys([*(["id", "split"] if own else ["id"]), *(k for s in key_sets for k in s.keys), *own])
+    packed = df.select(F.struct(*shown).alias("_row"), *needed)
+    unpacked = []
     for number, s in enumerate(key_sets):
-        part = stored.where(F.col("key_set") == number)
         features = []
         for statistic, name in s.attach.items():
-            if own and statistic in own:
-                features += [F.col(f"{statistic}_sum").alias(f"{name}__sum"), F.col(f"{statistic}_n").alias(f"{name}__n")]
+            found = F.col(f"_found{number}.{name}")
+            if statistic in own:
+                features += [F.col(f"{statistic}_sum").alias(f"{name}_sum"), F.col(f"{statistic}_n").alias(f"{name}_n")]
+                total, n = F.col(f"_found{number}.{name}_sum"), F.col(f"_found{number}.{name}_n")
+                found = _without_own(total, n, F.when(F.col("split") == schema.TRAIN, F.col(statistic)))
             else:
                 features.append(F.col(statistic).alias(name))
-        lookup = part.select(*s.keys, F.col("n").alias("_weight"), *features)
+            unpacked.append(found.alias(name))
+        lookup = stored.where(F.col("key_set") == number).select(
+            *s.keys, F.col("n").alias("_weight"), F.struct(*features).alias(f"_found{number}")
+        )
         rows = measured.get(number, 0) if needs_count else s.max_groups
-        df = attach(df, lookup, s.keys, rows=rows, weight="_weight")
-        for statistic, name in s.attach.items():
-            if own and statistic in own:
-                df = _without_own(df, name, own[statistic])
-    return df
+        packed = attach(packed, lookup, s.keys, rows=rows, weight="_weight")
+    return packed.select("_row.*", *unpacked)
 
 
-def _without_own(df: DataFrame, name: str, own: Column) -> DataFrame:
-    total, n = F.col(f"{name}__sum"), F.col(f"{name}__n")
-    counted = own.isNotNull().cast("int")
-    mean = ratio(total - F.coalesce(own, F.lit(0.0)), n - counted)
-    return df.withColumn(name, mean).drop(f"{name}__sum", f"{name}__n")
+def _without_own(total: Column, n: Column, own: Column) -> Column:
+    """Mean of a group without the row's own value, if the row is one that was counted."""
+    return ratio(total - F.coalesce(own, F.lit(0.0)), n - own.isNotNull().cast("int"))
 
 
 # --- the feature sets -----------------------------------------------------------------------------
@@ -206,13 +214,14 @@ def with_group_features(
     key_sets: Sequence[KeySet],
     targets: Sequence[str] = TARGETS,
     leave_one_out: bool = False,
+    keep_targets: bool = True,
 ) -> DataFrame:
     """Means over training rows, attached to all rows. ``df`` holds the target columns."""
     keyed = with_sine_keys(df)
     measures = {t: F.col(t) for t in targets}
     stats = grouped(keyed.where(F.col("split") == schema.TRAIN), key_sets, measures)
-    own = {t: F.when(F.col("split") == schema.TRAIN, F.col(t)) for t in targets} if leave_one_out else None
-    return attach_statistics(keyed, stats, key_sets, own).drop(WEEK_SINE_KEY, HOUR_SINE_KEY)
+    hide = (WEEK_SINE_KEY, HOUR_SINE_KEY, *(() if keep_targets else targets))
+    return attach_statistics(keyed, stats, key_sets, targets if leave_one_out else (), hide)
 
 
 STREET_SETS = (

@@ -39,9 +39,12 @@ def with_window_counts(
     keys: Sequence[str],
     spans: Mapping[str, Span],
     spread: str = "id",
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Add for each span how many rows with equal ``keys`` fall into it; 0 if time or key is missing.
 
+    ``source`` may give the same rows with fewer columns and a shorter plan to count from.
+
     1. Rows are counted per key and time first, so copies of one moment never meet in a task.
     2. Time is cut into buckets at least as wide as the widest window. A moment is laid into its
        own bucket and into the neighbour whose windows can reach it; a window function inside
@@ -51,11 +54,11 @@ def with_window_counts(
     if any(s.first > s.last or s.first < 0 < s.last for s in spans.values()):
         raise ValueError("a span must be ordered and lie on one side of the row")
     width = max(max(abs(s.first), abs(s.last)) for s in spans.values()) + 1
-    keyed = df.withColumn("_micros", epoch_micros(F.col(ts)))
+    micros = epoch_micros(F.col(ts)).alias("_micros")
     present = F.col("_micros").isNotNull()
     for key in keys:
         present = present & F.col(key).isNotNull()
-    moments = keyed.where(present).groupBy(*keys, "_micros").agg(F.count(F.lit(1)).alias("_rows"))
+    moments = (source or df).select(*keys, micros).where(present).groupBy(*keys, "_micros").agg(F.count(F.lit(1)).alias("_rows"))
 
     own = F.floor(F.col("_micros") / F.lit(width)).cast("bigint")
     neighbours = {1 if s.last <= 0 else -1 for s in spans.values()}
@@ -73,17 +76,20 @@ def with_window_counts(
         .select(*keys, "_micros", "_rows", *counts)
     )
     joined = attach(
-        keyed, counted, [*keys, "_micros"], weight="_rows", spread=spread, heavy_source=moments
+        df.withColumn("_micros", micros), counted, [*keys, "_micros"], weight="_rows", spread=spread, heavy_source=moments
     )
     return joined.withColumns({name: F.coalesce(F.col(name), F.lit(0)) for name in spans}).drop("_micros")
 
 
 def with_pickup_traffic(
-    df: DataFrame, minutes: Sequence[int] = (10, 15), cluster: str = "pickup_kmeans_100_cluster"
+    df: DataFrame,
+    minutes: Sequence[int] = (10, 15),
+    cluster: str = "pickup_kmeans_100_cluster",
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Pickups in the trip's pickup cluster in the minutes after it started."""
     spans = {f"this_{cluster}after_{m}minutes_traffic": Span.after(m) for m in minutes}
-    return with_window_counts(df, "pickup_datetime", [cluster], spans)
+    return with_window_counts(df, "pickup_datetime", [cluster], spans, source=source)
 
 
 def with_dropoff_traffic(
@@ -91,11 +97,12 @@ def with_dropoff_traffic(
     minutes: Sequence[int] = (10, 15),
     cluster: str = "dropoff_kmeans_100_cluster",
     direction: str = "after",
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Dropoffs in the trip's dropoff cluster in the minutes after (or before) it ended."""
     side = {"after": Span.after, "before": Span.before}[direction]
     spans = {f"this_{cluster}pre_{m}minutes_traffic": side(m) for m in minutes}
-    return with_window_counts(df, "dropoff_datetime", [cluster], spans)
+    return with_window_counts(df, "dropoff_datetime", [cluster], spans, source=source)
 
 
 def with_trailing_count(

@@ -11,13 +11,16 @@ WINDOWS = (10, 15, 1440)
 COORDINATES = ("pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude")
 
 
+COARSE = {"pca_direction": 4}
+
+
 def r6(expression: str, digits: int = 6) -> str:
     scale = f"1e{digits}::double"
     return f"round_even(({expression}) * {scale}, 0) / {scale} + 0.0::double"
 
 
 def r6_as(expression: str, name: str) -> str:
-    return f"{r6(expression)} as {name}"
+    return f"{r6(expression, COARSE.get(name, 6))} as {name}"
 
 
 TRIPS = """

@@ -61,21 +61,23 @@ def clean(df: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
-def cluster_features(df: DataFrame, cfg: Config) -> DataFrame:
-    """Cluster ids, then the single-key and multi-key statistics in one pass over the training rows."""
+def locate(df: DataFrame, cfg: Config) -> DataFrame:
+    """Add cluster ids and targets. Everything after reads this frame more than once, so write it."""
     if cfg.locate is not None:
         located = cfg.locate(df)
     else:
         model = cluster.fit_location_clusters(df, cfg.clusters, cfg.cluster_seed, cfg.cluster_iterations)
         located = cluster.assign_clusters(df, model)
-    # The statistics and the join back both read this frame, so compute it once.
-    located = materialise(features.with_targets(located), "located")
+    return materialise(features.with_targets(located), "located")
+
+
+def group_features(located: DataFrame, cfg: Config) -> DataFrame:
+    """Single-key and multi-key statistics in one pass over the training rows, joined to all rows."""
     key_sets = [
         *stats.single_key_sets(cfg.pickup_cluster, cfg.dropoff_cluster, cfg.clusters),
         *stats.multi_key_sets(cfg.pickup_cluster, cfg.dropoff_cluster, cfg.clusters, cfg.min_count),
     ]
-    enriched = stats.with_group_features(located, key_sets, leave_one_out=cfg.leave_one_out)
-    return enriched.drop(*stats.TARGETS)
+    return stats.with_group_features(located, key_sets, leave_one_out=cfg.leave_one_out, keep_targets=False)
 
 
 def drop_sparse(df: DataFrame, cfg: Config) -> DataFrame:
@@ -84,14 +86,19 @@ def drop_sparse(df: DataFrame, cfg: Config) -> DataFrame:
     return profile.drop_sparse_columns(df, cfg.max_missing_rate, keep=("id", "split", "trip_duration"))
 
 
-def other_features(df: DataFrame, cfg: Config) -> DataFrame:
-    """Binary flags, and on request window traffic and distances to heavy clusters."""
+def other_features(df: DataFrame, cfg: Config, located: DataFrame | None = None) -> DataFrame:
+    """Binary flags, and on request window traffic and distances to heavy clusters.
+
+    Traffic and clusters are counted on the located trips, so none of the features joined since
+    then is computed again for them.
+    """
+    located = located or df
     df = features.with_binary_flags(df)
     if cfg.window_minutes:
-        df = traffic.with_pickup_traffic(df, cfg.window_minutes, cfg.pickup_cluster)
-        df = traffic.with_dropoff_traffic(df, cfg.window_minutes, cfg.dropoff_cluster)
+        df = traffic.with_pickup_traffic(df, cfg.window_minutes, cfg.pickup_cluster, located)
+        df = traffic.with_dropoff_traffic(df, cfg.window_minutes, cfg.dropoff_cluster, source=located)
     if cfg.heavy_quantile is not None:
-        heavy = cluster.heavy_cluster_features(df, cfg.clusters, cfg.heavy_quantile, cfg.cluster_seed)
+        heavy = cluster.heavy_cluster_features(located, cfg.clusters, cfg.heavy_quantile, cfg.cluster_seed)
         df = df.join(heavy, "id", "left")
     return df
 
@@ -122,13 +129,19 @@ def build_features(
     With a store, each stage is written under its number and a finished one is read back instead
     of being built again; without one only the frames that are read twice are written.
     """
+    located: list[DataFrame] = []
+
+    def clusters_and_groups(df: DataFrame) -> DataFrame:
+        located.append(locate(df, cfg))
+        return group_features(located[0], cfg)
+
     steps: list[Callable[[DataFrame], DataFrame]] = [
         rows.encode_flag,
         lambda df: basic_features(df, cfg),
         lambda df: clean(df, cfg),
-        lambda df: cluster_features(df, cfg),
+        clusters_and_groups,
         lambda df: drop_sparse(df, cfg),
-        lambda df: other_features(df, cfg),
+        lambda df: other_features(df, cfg, located[0] if located else None),
         lambda df: side_features(df, trips, routes, weather, cfg),
         lambda df: final_features(df, cfg),
     ]
@@ -137,11 +150,12 @@ def build_features(
         for step in steps:
             df = step(df)
         return df
-    done = next((n for n in range(LAST_STAGE, -1, -1) if store.exists(n)), None)
-    if done is not None:
+    done = next((n for n in range(LAST_STAGE, -1, -1) if store.exists(n)), -1)
+    if done >= 0:
         df = store.load(done)
-    for number in range(0 if done is None else done + 1, len(steps)):
-        df = store.ensure(number, lambda: steps[number](df))
+    for number in range(done + 1, len(steps)):
+        store.save(number, steps[number](df))
+        df = store.load(number)
     return df
 
 

@@ -10,7 +10,7 @@ from tripworks.functions import calendar, geo, numeric
 from tripworks.functions.numeric import round_half_even
 from tripworks.operators import cluster, enrich, features, profile, rows, stats, traffic
 from tripworks.plans import modelling, pipeline
-from tripworks.session import with_utc
+from tripworks.session import prepare
 from tripworks.sources import fixtures, schema
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,11 +22,15 @@ COORDINATES = ("pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropo
 FEATURES_CHECKED = ("vendor_id", "passenger_count", *COORDINATES, "lat_long_distance_haversine")
 
 
+# Directions between rotated points carry the rounding of the fitted angle: compare fewer decimals.
+COARSE = {"pca_direction": 4}
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles cut to ``digits`` decimals: engines differ in the last bits of sums and sines."""
     return df.select(
         *(
-            (round_half_even(F.col(f.name), digits) + F.lit(0.0)).alias(f.name)
+            (round_half_even(F.col(f.name), COARSE.get(f.name, digits)) + F.lit(0.0)).alias(f.name)
             if isinstance(f.dataType, T.DoubleType)
             else F.col(f.name)
             for f in df.schema
@@ -36,7 +40,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def query(function: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return rounded(function(with_utc(spark), sf_dir))
+        return rounded(function(prepare(spark), sf_dir))
 
     run.__name__, run.__doc__ = function.__name__, function.__doc__
     REGISTRY[function.__name__] = run

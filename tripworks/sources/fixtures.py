@@ -4,11 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tripworks.sources import hadoop
+
 SOUTH, WEST = 40.63, -74.03
 
 
+ONE_SPLIT_BYTES = 128 * 1024 * 1024
+BYTES_PER_TASK = 256 * 1024
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the given tables.
+
+    A table below the size of one file split would be read, and all that follows computed, by a
+    single task; its rows are dealt out to several. Larger tables come in enough splits as they are.
+    """
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
+    size = hadoop.total_bytes(spark, path)
+    tasks = min(spark.sparkContext.defaultParallelism, size // BYTES_PER_TASK)
+    return df.repartition(tasks) if size <= ONE_SPLIT_BYTES and tasks > 1 else df
 
 
 def _trip_id(key: Column) -> Column:

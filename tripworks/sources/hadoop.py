@@ -21,3 +21,8 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(hadoop_path):
         return []
     return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
+
+
+def total_bytes(spark: SparkSession, path: str) -> int:
+    fs, hadoop_path = _fs(spark, path)
+    return fs.getContentSummary(hadoop_path).getLength()
