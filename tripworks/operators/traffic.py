@@ -33,6 +33,11 @@ class Span:
         return Span(1 - minutes * MICROS_PER_MINUTE, 0)
 
 
+# Moments of one key and bucket that may be sorted in one task.
+MAX_MOMENTS = 5_000_000
+_CELL = 1_000_000  # one second of microseconds
+
+
 def with_window_counts(
     df: DataFrame,
     ts: str,
@@ -40,45 +45,142 @@ def with_window_counts(
     spans: Mapping[str, Span],
     spread: str = "id",
     source: DataFrame | None = None,
+    dense: bool | None = None,
 ) -> DataFrame:
     """Add for each span how many rows with equal ``keys`` fall into it; 0 if time or key is missing.
 
-    ``source`` may give the same rows with fewer columns and a shorter plan to count from.
+    Rows are counted per key and moment first, so copies of one moment never meet in a task; the
+    moments are counted against each other within time buckets, so no key is sorted as a whole; and
+    the counts go back to the rows by key and moment, heavy moments in slices.
 
-    1. Rows are counted per key and time first, so copies of one moment never meet in a task.
-    2. Time is cut into buckets at least as wide as the widest window. A moment is laid into its
-       own bucket and into the neighbour whose windows can reach it; a window function inside
-       (key, bucket) then sees every moment it needs. No key is ever sorted as a whole.
-    3. The counts go back to the rows by key and time, heavy moments in slices.
+    ``source`` may give the same rows with fewer columns and a shorter plan to count from.
+    ``dense`` chooses how moments are counted; by default the fullest bucket decides.
     """
     if any(s.first > s.last or s.first < 0 < s.last for s in spans.values()):
         raise ValueError("a span must be ordered and lie on one side of the row")
-    width = max(max(abs(s.first), abs(s.last)) for s in spans.values()) + 1
     micros = epoch_micros(F.col(ts)).alias("_micros")
     present = F.col("_micros").isNotNull()
     for key in keys:
         present = present & F.col(key).isNotNull()
-    moments = (source or df).select(*keys, micros).where(present).groupBy(*keys, "_micros").agg(F.count(F.lit(1)).alias("_rows"))
+    rows = (source or df).select(*keys, micros).where(present)
+    moments = rows.groupBy(*keys, "_micros").agg(F.count(F.lit(1)).alias("_rows"))
+    if dense is None:
+        dense = _fullest_bucket(rows, keys, spans) > MAX_MOMENTS
+    counted = (_count_by_cell if dense else _count_by_bucket)(moments, "_micros", list(keys), spans)
+    joined = attach(
+        df.withColumn("_micros", micros), counted, [*keys, "_micros"], weight="_rows", spread=spread, heavy_source=moments
+    )
+    return joined.withColumns({name: F.coalesce(F.col(name), F.lit(0)) for name in spans}).drop("_micros")
+
+
+def _width(spans: Mapping[str, Span]) -> int:
+    return max(max(abs(s.first), abs(s.last)) for s in spans.values()) + 1
+
+
+def _fullest_bucket(rows: DataFrame, keys: Sequence[str], spans: Mapping[str, Span]) -> int:
+    """Most rows in one key and bucket, which bounds the moments there. Two columns are read."""
+    bucket = F.floor(F.col("_micros") / F.lit(_width(spans)))
+    return rows.groupBy(*keys, bucket.alias("_bucket")).count().agg(F.max("count")).first()[0] or 0
+
+
+def _count_by_bucket(moments: DataFrame, at: str, keys: list[str], spans: Mapping[str, Span]) -> DataFrame:
+    """Window sums inside (key, bucket), for buckets whose moments fit one task.
 
-    own = F.floor(F.col("_micros") / F.lit(width)).cast("bigint")
-    neighbours = {1 if s.last <= 0 else -1 for s in spans.values()}
-    laid = moments.withColumn("_home", own).withColumn(
-        "_bucket", F.explode(F.array(F.col("_home"), *(F.col("_home") + step for step in sorted(neighbours))))
+    Buckets are at least as wide as the widest span. A moment is laid into its own bucket and into
+    the neighbour whose spans can reach it, so each bucket holds all its moments look at.
+    """
+    width = _width(spans)
+    neighbours = sorted({1 if s.last <= 0 else -1 for s in spans.values()})
+    home = F.floor(F.col(at) / F.lit(width)).cast("bigint")
+    laid = moments.withColumn("_home", home).withColumn(
+        "_bucket", F.explode(F.array(F.col("_home"), *(F.col("_home") + step for step in neighbours)))
     )
-    within = Window.partitionBy(*keys, "_bucket").orderBy("_micros")
+    within = Window.partitionBy(*keys, "_bucket").orderBy(at)
     counts = {
         name: F.coalesce(F.sum("_rows").over(within.rangeBetween(s.first, s.last)), F.lit(0)).alias(name)
         for name, s in spans.items()
     }
-    counted = (
-        laid.select(*keys, "_micros", "_rows", "_bucket", "_home", *counts.values())
+    return (
+        laid.select(*keys, at, "_rows", "_bucket", "_home", *counts.values())
         .where(F.col("_bucket") == F.col("_home"))
-        .select(*keys, "_micros", "_rows", *counts)
+        .select(*keys, at, "_rows", *counts)
     )
-    joined = attach(
-        df.withColumn("_micros", micros), counted, [*keys, "_micros"], weight="_rows", spread=spread, heavy_source=moments
+
+
+def _edges(span: Span) -> list[tuple[int, bool, int]]:
+    """A count is what lies before the far edge less what lies before the near edge.
+
+    Each edge is (whole seconds from the row, does the edge's own moment count, sign).
+    """
+    edges = []
+    for offset, sign in ((span.last + 1, 1), (span.first, -1)):
+        reach, rest = divmod(offset, _CELL)
+        if rest not in (0, 1):
+            raise ValueError("a dense span must be whole seconds wide")
+        edges.append((reach, rest == 1, sign))
+    return edges
+
+
+def _count_by_cell(moments: DataFrame, at: str, keys: list[str], spans: Mapping[str, Span]) -> DataFrame:
+    """The same counts when a bucket holds more moments than one task should sort.
+
+    Time is cut into cells of a second. Whole cells inside a span are added up from one total per
+    cell. At each edge, the part of a cell is read off a running sum inside that cell: a moment is
+    sent there as a probe, and its answers are summed when they come back. No task ever holds more
+    than the microseconds of one second.
+    """
+    placed = moments.withColumns({"_cell": F.floor(F.col(at) / F.lit(_CELL)).cast("bigint"), "_off": F.pmod(at, F.lit(_CELL))})
+
+    edges = {name: _edges(s) for name, s in spans.items()}
+    cells = placed.groupBy(*keys, "_cell").agg(F.sum("_rows").alias("_rows"))
+    whole = {}  # spans in cells, both ends included
+    for name, ((far, _, _), (near, _, _)) in edges.items():
+        whole[name] = Span(near, far - 1)
+    middles = _count_cells(cells, keys, whole)
+
+    reaches = sorted({reach for pair in edges.values() for reach, _, _ in pair} | {0})
+    laid = placed.withColumn("_reach", F.explode(F.array(*map(F.lit, reaches)))).select(
+        *keys,
+        at,
+        (F.col("_cell") + F.col("_reach")).alias("_cell"),
+        "_off",
+        "_reach",
+        F.when(F.col("_reach") == 0, F.col("_rows")).otherwise(0).alias("_weight"),
     )
-    return joined.withColumns({name: F.coalesce(F.col(name), F.lit(0)) for name in spans}).drop("_micros")
+    running = Window.partitionBy(*keys, "_cell").orderBy("_off")
+    up_to = F.sum("_weight").over(running.rangeBetween(Window.unboundedPreceding, 0))
+    under = F.coalesce(F.sum("_weight").over(running.rangeBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    read = laid.select(*keys, at, "_reach", "_weight", up_to.alias("_up_to"), under.alias("_under"))
+    answers = []
+    for name, pair in edges.items():
+        parts = [
+            F.when(F.col("_reach") == reach, F.col("_up_to" if inclusive else "_under") * sign).otherwise(0)
+            for reach, inclusive, sign in pair
+        ]
+        answers.append(F.sum(parts[0] + parts[1]).alias(f"_edge_{name}"))
+    edge_sums = read.groupBy(*keys, at).agg(F.sum("_weight").alias("_rows"), *answers)
+    located = edge_sums.withColumn("_cell", F.floor(F.col(at) / F.lit(_CELL)).cast("bigint"))
+    return located.join(middles, [*keys, "_cell"]).select(
+        *keys, at, "_rows", *((F.col(f"_edge_{n}") + F.col(f"_mid_{n}")).alias(n) for n in spans)
+    )
+
+
+def _count_cells(cells: DataFrame, keys: list[str], whole: Mapping[str, Span]) -> DataFrame:
+    """Sums of whole cells from ``first`` to ``last`` cells away; an empty range sums to 0."""
+    width = _width(whole)
+    steps = sorted({step for s in whole.values() for step in ((-1,) if s.last > 0 else ()) + ((1,) if s.first < 0 else ())})
+    home = F.floor(F.col("_cell") / F.lit(width)).cast("bigint")
+    laid = cells.withColumn("_home", home).withColumn(
+        "_bucket", F.explode(F.array(F.col("_home"), *(F.col("_home") + step for step in steps)))
+    )
+    within = Window.partitionBy(*keys, "_bucket").orderBy("_cell")
+    sums = [
+        (F.coalesce(F.sum("_rows").over(within.rangeBetween(s.first, s.last)), F.lit(0)) if s.first <= s.last else F.lit(0)).alias(
+            f"_mid_{name}"
+        )
+        for name, s in whole.items()
+    ]
+    return laid.select(*keys, "_cell", "_bucket", "_home", *sums).where(F.col("_bucket") == F.col("_home")).drop("_bucket", "_home")
 
 
 def with_pickup_traffic(

@@ -26,3 +26,13 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
 def total_bytes(spark: SparkSession, path: str) -> int:
     fs, hadoop_path = _fs(spark, path)
     return fs.getContentSummary(hadoop_path).getLength()
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _fs(spark, path)
+    fs.create(hadoop_path, True).close()
+
+
+def delete_file(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _fs(spark, path)
+    fs.delete(hadoop_path, False)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripworks.sources import hadoop
 
+_MARK = "_SUCCESS"
 _STAGE_NAME = re.compile(r"stage_(\d+)")
 
 
@@ -23,16 +24,31 @@ class StageStore:
         return f"{self.root}/stage_{int(stage)}"
 
     def exists(self, stage: int) -> bool:
-        return hadoop.exists(self.spark, f"{self.path(stage)}/_SUCCESS")
+        """Finished means marked as a whole, or every split in it marked."""
+        path = self.path(stage)
+        if hadoop.exists(self.spark, f"{path}/{_MARK}"):
+            return True
+        splits = self._splits(stage)
+        return bool(splits) and all(hadoop.exists(self.spark, f"{path}/{s}/{_MARK}") for s in splits)
+
+    def _splits(self, stage: int) -> list[str]:
+        return [n for n in hadoop.list_names(self.spark, self.path(stage)) if n.startswith("split=")]
 
     def save(self, stage: int, df: DataFrame) -> None:
-        """Write the splits present in ``df``; a split that is absent keeps what was stored for it."""
-        (
-            df.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("split")
-            .parquet(self.path(stage))
-        )
+        df.write.mode("overwrite").partitionBy("split").parquet(self.path(stage))
+
+    def save_split(self, stage: int, df: DataFrame, split: str) -> None:
+        """Replace one split of a stage and leave the other as it is.
+
+        The mark of the whole stage gives way to one per split, so a write that breaks off leaves
+        the stage unfinished.
+        """
+        path = self.path(stage)
+        if hadoop.exists(self.spark, f"{path}/{_MARK}"):
+            for name in self._splits(stage):
+                hadoop.touch(self.spark, f"{path}/{name}/{_MARK}")
+            hadoop.delete_file(self.spark, f"{path}/{_MARK}")
+        df.where(F.col("split") == split).drop("split").write.mode("overwrite").parquet(f"{path}/split={split}")
 
     def load(self, stage: int, split: str | None = None) -> DataFrame:
         if not self.exists(stage):
