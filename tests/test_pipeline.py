@@ -1,0 +1,74 @@
+"""The whole pipeline: stages, optional steps and plan shape."""
+
+import pytest
+from conftest import SMALL
+from pyspark.sql import functions as F
+
+from tripworks.operators import cluster, features
+from tripworks.plans import pipeline, queries
+from tripworks.sources import fixtures
+from tripworks.sources.stages import StageStore
+
+
+@pytest.fixture(scope="module")
+def inputs(spark):
+    return fixtures.trips(spark, SMALL), fixtures.routes(spark, SMALL), fixtures.weather(spark, SMALL)
+
+
+def test_stages_are_stored_and_resumed(spark, folder, inputs):
+    cfg = pipeline.Config(clusters=8, cluster_iterations=3, min_count=10, weather_year=1996)
+    store = StageStore(spark, folder)
+    built = pipeline.build_features(*inputs, cfg, store)
+    assert store.latest() == pipeline.LAST_STAGE == 7
+    assert built.count() == inputs[0].count()
+    for name in ("pickup_kmeans_8_cluster", "cnt_pickup_hour_pickup_kmeans_8_cluster", "snow_fall", "is_holyday", "pca_direction"):
+        assert name in built.columns
+    for name in ("starting_street", "store_and_fwd_flag", "lat_long_avg_speed_h", "log_trip_duration"):
+        assert name not in built.columns
+    again = pipeline.build_features(None, None, None, cfg, store)
+    assert sorted(again.columns) == sorted(built.columns)
+    assert "pickup_datetime" not in pipeline.model_input(built).columns
+
+
+def test_optional_steps(inputs):
+    cfg = queries._grid_config(heavy_quantile=0.8, max_distance=12.0, max_missing_rate=0.25, leave_one_out=True)
+    cfg = pipeline.Config(**{**cfg.__dict__, "clusters": 6})
+    df = pipeline.build_features(*inputs, cfg)
+    assert any("heavy_traffic_cluster" in c for c in df.columns)
+    assert "dropoff_datetime" not in df.columns and "trip_duration" in df.columns
+    assert df.count() < inputs[0].count()
+
+
+def test_feature_plans_hold_no_python(spark, inputs):
+    trips = inputs[0]
+    df = features.with_holidays(
+        features.with_great_circle_miles(pipeline.clean(pipeline.basic_features(trips.withColumn("is_store_and_fwd_flag", F.lit(0)), pipeline.Config()), pipeline.Config()))
+    )
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_scan_reads_only_what_a_query_needs(spark):
+    plan = queries.REGISTRY["numeric_id"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<o_orderkey:bigint>" in plan
+
+
+def test_train_means_do_not_see_test_rows(spark, inputs):
+    from tripworks.operators import stats
+
+    trips = inputs[0]
+    louder = trips.withColumn("trip_duration", F.when(F.col("split") == "test", 10**6).otherwise(F.col("trip_duration")))
+    means = []
+    for df in (trips, louder):
+        out = stats.with_vendor_weekday_mean(features.with_calendar(df))
+        means.append(sorted(tuple(r) for r in out.select("id", "groupby_vi_pweekdat_trip_duration").collect()))
+    assert means[0] == means[1]
+
+
+def test_grid_cells_are_numbered_by_row_and_column(spark):
+    df = spark.createDataFrame(
+        [(40.64, -74.02, 40.69, -73.9)],
+        "pickup_latitude double, pickup_longitude double, dropoff_latitude double, dropoff_longitude double",
+    )
+    r = cluster.with_grid_clusters(df, 40.63, -74.03).first()
+    assert (r["pickup_cell"], r["dropoff_cell"]) == (0, 102)
