@@ -45,20 +45,18 @@ def with_pca(df: DataFrame) -> DataFrame:
     pickups and dropoffs, so one aggregate over the trips is enough and no row is doubled.
     Larger variance comes first; on each axis the latitude loading is not negative.
     """
-    moments = _stacked_moments(df).scalar()
-    angle = moments["angle"]
-    cos, sin = F.cos(angle), F.sin(angle)
-    side = F.when(sin > 0, F.lit(1.0)).otherwise(F.lit(-1.0))
+    cos, sin, side = (F.col(f"_axes.{name}") for name in ("cos", "sin", "side"))
     added = {}
     for end in ("pickup", "dropoff"):
-        lat = F.col(f"{end}_latitude") - moments["lat"]
-        lng = F.col(f"{end}_longitude") - moments["lng"]
+        lat = F.col(f"{end}_latitude") - F.col("_axes.lat")
+        lng = F.col(f"{end}_longitude") - F.col("_axes.lng")
         added[f"{end}_pca0"] = lat * cos + lng * sin
         added[f"{end}_pca1"] = (lat * sin - lng * cos) * side
-    return df.withColumns(added)
+    return df.withColumn("_axes", _stacked_axes(df).scalar()).withColumns(added).drop("_axes")
 
 
-def _stacked_moments(df: DataFrame) -> DataFrame:
+def _stacked_axes(df: DataFrame) -> DataFrame:
+    """One row: the centre of all points, the direction of the major axis and the sign of the minor."""
     aggregates = []
     for end in ("pickup", "dropoff"):
         lat, lng = F.col(f"{end}_latitude"), F.col(f"{end}_longitude")
@@ -83,12 +81,15 @@ def _stacked_moments(df: DataFrame) -> DataFrame:
     gap_lng = F.col("pickup_lng") - F.col("dropoff_lng")
     spread = pooled("var_lat") - pooled("var_lng") + between * (gap_lat * gap_lat - gap_lng * gap_lng)
     cov = pooled("cov") + between * gap_lat * gap_lng
+    angle = F.atan2(2 * cov, spread) / 2
     return df.agg(*aggregates).select(
         F.struct(
             pooled("lat").alias("lat"),
             pooled("lng").alias("lng"),
-            (F.atan2(2 * cov, spread) / 2).alias("angle"),
-        ).alias("moments")
+            F.cos(angle).alias("cos"),
+            F.sin(angle).alias("sin"),
+            F.when(F.sin(angle) > 0, F.lit(1.0)).otherwise(F.lit(-1.0)).alias("side"),
+        ).alias("axes")
     )
 
 

@@ -101,6 +101,12 @@ MAX_DISTINCT = 1_000_000
 _SKETCH_ACCURACY = 10_000
 
 
+def _few_distinct(df: DataFrame, columns: Sequence[str], limit: int) -> set[str]:
+    """Columns that surely have at most ``limit`` values, allowing for the sketch's error."""
+    sketches = [F.approx_count_distinct(f"`{c}`", 0.01) for c in columns]
+    return {c for c, n in zip(columns, df.agg(*sketches).first()) if n * 1.1 <= limit}
+
+
 def exact_percentiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float | None]:
     """Percentiles with linear interpolation, equal to ``percentile`` but safe for any column.
 
@@ -108,10 +114,13 @@ def exact_percentiles(df: DataFrame, column: str, shares: Sequence[float]) -> li
     and only the values inside the bracket are looked at again, until few enough are left. The
     driver holds a handful of numbers per round.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
-    distinct = values.agg(F.approx_count_distinct("v", 0.01)).first()[0]
-    if distinct * 1.1 <= MAX_DISTINCT:
+    values = df.select(F.col(f"`{column}`").cast("double").alias("v")).where(F.col("v").isNotNull())
+    if _few_distinct(values, ["v"], MAX_DISTINCT):
         return list(values.agg(F.percentile("v", F.array(*map(F.lit, shares)))).first()[0] or [None] * len(shares))
+    return _ranked_percentiles(values, shares)
+
+
+def _ranked_percentiles(values: DataFrame, shares: Sequence[float]) -> list[float]:
     rows = values.count()
     found = []
     for share in shares:
@@ -129,7 +138,7 @@ def value_at_rank(values: DataFrame, rank: int, rows: int, max_distinct: int = M
     sketch costs a round but never the result, and a value that fills the column ends the search.
     """
     inside = values
-    while inside.agg(F.approx_count_distinct("v", 0.01)).first()[0] * 1.1 > max_distinct:
+    while not _few_distinct(inside, ["v"], max_distinct):
         share, slack = rank / max(rows - 1, 1), 2.0 / _SKETCH_ACCURACY
         bracket = [max(0.0, share - slack), min(1.0, share + slack)]
         low, high = inside.agg(F.percentile_approx("v", bracket, _SKETCH_ACCURACY)).first()[0]
@@ -150,24 +159,33 @@ def value_at_rank(values: DataFrame, rank: int, rows: int, max_distinct: int = M
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max per column, one row per statistic."""
-    shares = (0.25, 0.5, 0.75)
-    report = None
-    for column in columns:
+    quartiles = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
+    few = _few_distinct(df, columns, MAX_DISTINCT)
+    aggregates, found = [], {}
+    for i, column in enumerate(columns):
         value = F.col(f"`{column}`").cast("double")
-        wide = df.agg(
-            F.count(value).cast("double").alias("count"),
-            F.avg(value).alias("mean"),
-            F.stddev_samp(value).alias("std"),
-            F.min(value).alias("min"),
-            F.max(value).alias("max"),
-        )
-        quartiles = dict(zip(("25%", "50%", "75%"), exact_percentiles(df, column, shares)))
-        rows = {s: {"value": F.col(s)} for s in ("count", "mean", "std", "min")}
-        rows |= {s: {"value": F.lit(q).cast("double")} for s, q in quartiles.items()}
-        rows["max"] = {"value": F.col("max")}
-        part = _long(wide, "statistic", rows).select(F.lit(column).alias("column_name"), "statistic", "value")
-        report = part if report is None else report.unionByName(part)
-    return report
+        aggregates += [
+            F.count(value).cast("double").alias(f"count{i}"),
+            F.avg(value).alias(f"mean{i}"),
+            F.stddev_samp(value).alias(f"std{i}"),
+            F.min(value).alias(f"min{i}"),
+            F.max(value).alias(f"max{i}"),
+        ]
+        if column in few:
+            aggregates.append(F.percentile(value, F.array(*map(F.lit, quartiles.values()))).alias(f"quartiles{i}"))
+            found[column] = [F.col(f"quartiles{i}")[j] for j in range(3)]
+        else:
+            values = df.select(value.alias("v")).where(F.col("v").isNotNull())
+            found[column] = [F.lit(q) for q in _ranked_percentiles(values, list(quartiles.values()))]
+    entries = []
+    for i, column in enumerate(columns):
+        values = {s: F.col(f"{s}{i}") for s in ("count", "mean", "std", "min")}
+        values |= dict(zip(quartiles, found[column]))
+        values["max"] = F.col(f"max{i}")
+        entries += [
+            F.struct(F.lit(column).alias("column_name"), F.lit(s).alias("statistic"), v.alias("value")) for s, v in values.items()
+        ]
+    return df.agg(*aggregates).select(F.inline(F.array(*entries)))
 
 
 def counts_by(df: DataFrame, columns: Sequence[str]) -> DataFrame:

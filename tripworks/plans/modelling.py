@@ -13,7 +13,7 @@ from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tripworks.functions.numeric import from_log_target, log_target, numeric_id
 from tripworks.operators.rows import assign_folds
@@ -96,10 +96,10 @@ class LogErrorEvaluator(Evaluator):
 # --- fitting --------------------------------------------------------------------------------------
 
 
-def _for_each_fold(folds: int, work: Callable[[int], Any], parallelism: int) -> list[Any]:
+def _for_each_fold(spark: SparkSession, folds: int, work: Callable[[int], Any], parallelism: int) -> list[Any]:
     """Run the folds' jobs side by side: one small fit cannot keep a cluster busy."""
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, folds))) as pool:
-        return list(pool.map(inheritable_thread_target(work), range(folds)))
+        return list(pool.map(inheritable_thread_target(spark)(work), range(folds)))
 
 
 def best_rounds(train: DataFrame, learner: GBTRegressor, folds: int, parallelism: int = 2) -> int:
@@ -109,7 +109,7 @@ def best_rounds(train: DataFrame, learner: GBTRegressor, folds: int, parallelism
         model = learner.fit(train.where(F.col("fold") != i))
         return model.evaluateEachIteration(train.where(F.col("fold") == i), "squared")
 
-    per_fold = _for_each_fold(folds, errors, parallelism)
+    per_fold = _for_each_fold(train.sparkSession, folds, errors, parallelism)
     means = [sum(step) / folds for step in zip(*per_fold)]
     return min(range(len(means)), key=means.__getitem__) + 1
 
@@ -147,7 +147,11 @@ def out_of_fold(
     """
     frame = materialise(model_frame(df, folds=folds, seed=seed, **frame_settings), "model-frame")
     train, test = frame.where(F.col("split") == TRAIN), frame.where(F.col("split") == TEST)
-    models = _for_each_fold(folds, lambda i: learner.fit(train.where(F.col("fold") != i)), parallelism)
+
+    def fit_without(i: int):
+        return learner.fit(train.where(F.col("fold") != i))
+
+    models = _for_each_fold(df.sparkSession, folds, fit_without, parallelism)
 
     held_out = None
     for i, model in enumerate(models):
