@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tripworks.functions.calendar import MICROS_PER_MINUTE, epoch_micros
 from tripworks.operators.joins import attach
@@ -73,13 +73,18 @@ def with_window_counts(
     return joined.withColumns({name: F.coalesce(F.col(name), F.lit(0)) for name in spans}).drop("_micros")
 
 
+def _floor_div(value: Column, by: int) -> Column:
+    """Whole division towards minus infinity without a detour over inexact quotients."""
+    return ((value - F.pmod(value, F.lit(by))) / F.lit(by)).cast("bigint")
+
+
 def _width(spans: Mapping[str, Span]) -> int:
     return max(max(abs(s.first), abs(s.last)) for s in spans.values()) + 1
 
 
 def _fullest_bucket(rows: DataFrame, keys: Sequence[str], spans: Mapping[str, Span]) -> int:
     """Most rows in one key and bucket, which bounds the moments there. Two columns are read."""
-    bucket = F.floor(F.col("_micros") / F.lit(_width(spans)))
+    bucket = _floor_div(F.col("_micros"), _width(spans))
     return rows.groupBy(*keys, bucket.alias("_bucket")).count().agg(F.max("count")).first()[0] or 0
 
 
@@ -91,7 +96,7 @@ def _count_by_bucket(moments: DataFrame, at: str, keys: list[str], spans: Mappin
     """
     width = _width(spans)
     neighbours = sorted({1 if s.last <= 0 else -1 for s in spans.values()})
-    home = F.floor(F.col(at) / F.lit(width)).cast("bigint")
+    home = _floor_div(F.col(at), width)
     laid = moments.withColumn("_home", home).withColumn(
         "_bucket", F.explode(F.array(F.col("_home"), *(F.col("_home") + step for step in neighbours)))
     )
@@ -129,7 +134,7 @@ def _count_by_cell(moments: DataFrame, at: str, keys: list[str], spans: Mapping[
     sent there as a probe, and its answers are summed when they come back. No task ever holds more
     than the microseconds of one second.
     """
-    placed = moments.withColumns({"_cell": F.floor(F.col(at) / F.lit(_CELL)).cast("bigint"), "_off": F.pmod(at, F.lit(_CELL))})
+    placed = moments.withColumns({"_cell": _floor_div(F.col(at), _CELL), "_off": F.pmod(at, F.lit(_CELL))})
 
     edges = {name: _edges(s) for name, s in spans.items()}
     cells = placed.groupBy(*keys, "_cell").agg(F.sum("_rows").alias("_rows"))
@@ -159,7 +164,7 @@ def _count_by_cell(moments: DataFrame, at: str, keys: list[str], spans: Mapping[
         ]
         answers.append(F.sum(parts[0] + parts[1]).alias(f"_edge_{name}"))
     edge_sums = read.groupBy(*keys, at).agg(F.sum("_weight").alias("_rows"), *answers)
-    located = edge_sums.withColumn("_cell", F.floor(F.col(at) / F.lit(_CELL)).cast("bigint"))
+    located = edge_sums.withColumn("_cell", _floor_div(F.col(at), _CELL))
     return located.join(middles, [*keys, "_cell"]).select(
         *keys, at, "_rows", *((F.col(f"_edge_{n}") + F.col(f"_mid_{n}")).alias(n) for n in spans)
     )
@@ -169,7 +174,7 @@ def _count_cells(cells: DataFrame, keys: list[str], whole: Mapping[str, Span]) -
     """Sums of whole cells from ``first`` to ``last`` cells away; an empty range sums to 0."""
     width = _width(whole)
     steps = sorted({step for s in whole.values() for step in ((-1,) if s.last > 0 else ()) + ((1,) if s.first < 0 else ())})
-    home = F.floor(F.col("_cell") / F.lit(width)).cast("bigint")
+    home = _floor_div(F.col("_cell"), width)
     laid = cells.withColumn("_home", home).withColumn(
         "_bucket", F.explode(F.array(F.col("_home"), *(F.col("_home") + step for step in steps)))
     )
