@@ -1,11 +1,11 @@
-"""The whole pipeline: stages, optional steps and plan shape."""
+"""The whole feature build: stages, optional steps and plan shape."""
 
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
 from tripworks.operators import cluster, features
-from tripworks.plans import pipeline, queries
+from tripworks.plans import feature_build, queries
 from tripworks.sources import fixtures
 from tripworks.sources.stages import StageStore
 
@@ -16,24 +16,24 @@ def inputs(spark):
 
 
 def test_stages_are_stored_and_resumed(spark, folder, inputs):
-    cfg = pipeline.Config(clusters=8, cluster_iterations=3, min_count=10, weather_year=1996)
+    cfg = feature_build.Config(clusters=8, cluster_iterations=3, min_count=10, weather_year=1996)
     store = StageStore(spark, folder)
-    built = pipeline.build_features(*inputs, cfg, store)
-    assert store.latest() == pipeline.LAST_STAGE == 7
+    built = feature_build.build_features(*inputs, cfg, store)
+    assert store.latest() == feature_build.LAST_STAGE == 7
     assert built.count() == inputs[0].count()
     for name in ("pickup_kmeans_8_cluster", "cnt_pickup_hour_pickup_kmeans_8_cluster", "snow_fall", "is_holyday", "pca_direction"):
         assert name in built.columns
     for name in ("starting_street", "store_and_fwd_flag", "lat_long_avg_speed_h", "log_trip_duration"):
         assert name not in built.columns
-    again = pipeline.build_features(None, None, None, cfg, store)
+    again = feature_build.build_features(None, None, None, cfg, store)
     assert sorted(again.columns) == sorted(built.columns)
-    assert "pickup_datetime" not in pipeline.model_input(built).columns
+    assert "pickup_datetime" not in feature_build.model_input(built).columns
 
 
 def test_optional_steps(inputs):
     cfg = queries._grid_config(heavy_quantile=0.8, max_distance=12.0, max_missing_rate=0.25, leave_one_out=True)
-    cfg = pipeline.Config(**{**cfg.__dict__, "clusters": 6})
-    df = pipeline.build_features(*inputs, cfg)
+    cfg = feature_build.Config(**{**cfg.__dict__, "clusters": 6})
+    df = feature_build.build_features(*inputs, cfg)
     assert any("heavy_traffic_cluster" in c for c in df.columns)
     assert "dropoff_datetime" not in df.columns and "trip_duration" in df.columns
     assert df.count() < inputs[0].count()
@@ -42,7 +42,7 @@ def test_optional_steps(inputs):
 def test_feature_plans_hold_no_python(spark, inputs):
     trips = inputs[0]
     df = features.with_holidays(
-        features.with_great_circle_miles(pipeline.clean(pipeline.basic_features(trips.withColumn("is_store_and_fwd_flag", F.lit(0)), pipeline.Config()), pipeline.Config()))
+        features.with_great_circle_miles(feature_build.clean(feature_build.basic_features(trips.withColumn("is_store_and_fwd_flag", F.lit(0)), feature_build.Config()), feature_build.Config()))
     )
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

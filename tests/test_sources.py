@@ -119,3 +119,17 @@ def test_scratch_tables_land_in_the_shared_folder(spark):
 def test_ids_stay_unique_above_seven_digits(spark):
     keys = spark.createDataFrame([(5,), (12345678,), (123456789,)], "k long")
     assert [r[0] for r in keys.coalesce(1).select(fixtures._trip_id(F.col("k"))).collect()] == ["id0000005", "id12345678", "id123456789"]
+
+
+def test_daily_weather_turns_traces_into_numbers(spark, folder):
+    from tripworks.operators import enrich
+
+    body = "date,max,min,avg,prec,fall,depth\n2-1-2016,42,34,38.0,0.25,T,T\n1-1-2016,40,30,35.5,T,1.5,0\n"
+    weather = files.read_weather(spark, write(folder, "w.csv", body))
+    rows = {r["pickup_date"].day: r for r in enrich.daily_weather(weather, 2016).collect()}
+    assert (rows[2]["precipitation"], rows[2]["snow_fall"], rows[2]["snow_depth"]) == (0.25, -1.0, -1.0)
+    assert (rows[1]["precipitation"], rows[1]["snow_fall"], rows[1]["average_temperature"]) == (-1.0, 1.5, 35.5)
+    trips = spark.createDataFrame([("a", dt.datetime(2016, 1, 1, 23, 59)), ("b", dt.datetime(2016, 1, 3))], "id string, pickup_datetime timestamp_ntz")
+    joined = enrich.join_weather(trips, weather, 2016)
+    assert joined.columns == ["id", "pickup_datetime", "snow_fall"]
+    assert {r["id"]: r["snow_fall"] for r in joined.collect()} == {"a": 1.5, "b": None}

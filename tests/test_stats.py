@@ -63,17 +63,15 @@ def test_sliced_join_equals_plain_join(spark):
     """A third of the rows under one key, a third without a key, the rest spread out."""
     key = F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.col("id") + 100)
     df = spark.range(30_000).select(F.col("id").cast("string").alias("id"), key.cast("long").alias("k"))
-    lookup = df.where("k is not null and k % 11 != 0").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    lookup = lookup.withColumn("v", F.col("k") * 2)
-    sliced = joins.attach(df, lookup, ["k"], weight="n", rows=None)
-    plain = df.join(lookup.drop("n"), "k", "left").select("id", "k", "v")
+    lookup = df.where("k is not null and k % 11 != 0").select("k", (F.col("k") * 2).alias("v")).distinct()
+    sliced = joins.attach(df, lookup, ["k"])
+    plain = df.join(lookup, "k", "left").select("id", "k", "v")
     assert sorted(map(tuple, sliced.select("id", "k", "v").collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
 
 
 def test_heavy_key_is_spread_over_slices(spark):
     df = spark.range(20_000).select(F.col("id").cast("string").alias("id"), F.lit(1).alias("k"))
-    lookup = df.groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumn("v", F.lit(5))
-    joined = joins._attach_sliced(df, lookup, ["k"], "n", "id", lookup)
+    joined = joins.attach(df, df.select("k", F.lit(5).alias("v")).distinct(), ["k"])
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -6,14 +6,14 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 # A lookup up to this many narrow rows is broadcast; a larger one is shuffled.
 BROADCAST_ROWS = 200_000
-# A key is heavy when it has more than 1/HEAVY_SHARE of the weight, so there are fewer than
+# A key is heavy when it has more than 1/HEAVY_SHARE of the rows, so there are fewer than
 # HEAVY_SHARE heavy keys in any data and their list is always small enough to broadcast.
 HEAVY_SHARE = 1_000
-# The whole weight is cut into about this many slices; a heavy key gets its share of them.
+# All rows are cut into about this many slices; a heavy key gets its share of them.
 SLICES = 10_000
 
 
@@ -23,43 +23,44 @@ def attach(
     keys: Sequence[str],
     *,
     rows: int | None = None,
-    weight: str,
     spread: str = "id",
-    heavy_source: DataFrame | None = None,
+    key_counts: DataFrame | None = None,
 ) -> DataFrame:
     """Left join ``lookup`` on ``keys``. ``rows`` is a proven or measured bound on its size.
 
-    ``weight`` names the lookup column that says how many rows stand behind a key; it is not
-    attached. Rows whose key is missing never match and get NULL, like keys not in the lookup.
-    ``heavy_source`` may name a cheaper frame with the same keys and weights.
+    Rows whose key is missing never match and get NULL, like keys not in the lookup. For a large
+    lookup, ``key_counts`` may hold the rows of ``df`` per key in ``_rows`` if they are known.
     """
     if rows is not None and rows <= BROADCAST_ROWS:
-        return df.join(F.broadcast(lookup.drop(weight)), list(keys), "left")
-    return _attach_sliced(df, lookup, list(keys), weight, spread, heavy_source or lookup)
-
-
-def _slices(weight: str, total: Column) -> Column:
-    return F.ceil(F.col(weight) * F.lit(SLICES) / total).cast("int")
+        return df.join(F.broadcast(lookup), list(keys), "left")
+    if key_counts is None:
+        key_counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return _attach_sliced(df, lookup, list(keys), spread, key_counts)
 
 
 def _attach_sliced(
-    df: DataFrame, lookup: DataFrame, keys: list[str], weight: str, spread: str, heavy_source: DataFrame
+    df: DataFrame, lookup: DataFrame, keys: list[str], spread: str, key_counts: DataFrame
 ) -> DataFrame:
     """Shuffle join where heavy keys are cut into slices and missing keys are scattered.
 
     A row of a heavy key goes to the slice its ``spread`` column hashes to, and the one lookup row
     of that key is repeated once per slice: about SLICES extra rows over all heavy keys together.
     """
-    total = heavy_source.agg(F.sum(weight)).scalar()
-    is_heavy = F.col(weight) * F.lit(HEAVY_SHARE) > total
-    heavy = heavy_source.where(is_heavy).select(*keys, _slices(weight, total).alias("_slices"))
-    sliced_lookup = lookup.withColumn(
-        "_slice",
-        F.explode(F.when(is_heavy, F.sequence(F.lit(1), _slices(weight, total))).otherwise(F.array(F.lit(0)))),
-    ).drop(weight)
+    total = key_counts.agg(F.sum("_rows")).scalar()
+    heavy = F.broadcast(
+        key_counts.where(F.col("_rows") * F.lit(HEAVY_SHARE) > total).select(
+            *keys, F.ceil(F.col("_rows") * F.lit(SLICES) / total).cast("int").alias("_slices")
+        )
+    )
+    no_slice = F.array(F.lit(0))
+    sliced_lookup = (
+        lookup.join(heavy, keys, "left")
+        .withColumn("_slice", F.explode(F.coalesce(F.sequence(F.lit(1), F.col("_slices")), no_slice)))
+        .drop("_slices")
+    )
     key_missing = reduce(or_, (F.col(k).isNull() for k in keys))
     scatter = F.xxhash64(F.col(spread))
-    sliced = df.join(F.broadcast(heavy), keys, "left").withColumn(
+    sliced = df.join(heavy, keys, "left").withColumn(
         "_slice",
         F.when(key_missing, 1 + F.pmod(scatter, F.lit(SLICES)).cast("int"))
         .when(F.col("_slices").isNotNull(), 1 + F.pmod(scatter, F.col("_slices")).cast("int"))

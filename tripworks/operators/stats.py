@@ -124,10 +124,13 @@ def attach_statistics(
                 features.append(F.col(statistic).alias(name))
             unpacked.append(found.alias(name))
         lookup = stored.where(F.col("key_set") == number).select(
-            *s.keys, F.col("n").alias("_weight"), F.struct(*features).alias(f"_found{number}")
+            *s.keys, F.struct(*features).alias(f"_found{number}")
         )
         rows = measured.get(number, 0) if needs_count else s.max_groups
-        packed = attach(packed, lookup, s.keys, rows=rows, weight="_weight")
+        counts = None
+        if rows is None or rows > BROADCAST_ROWS:  # count the keys on the frame that came in, not on the joins so far
+            counts = df.groupBy(*s.keys).agg(F.count(F.lit(1)).alias("_rows"))
+        packed = attach(packed, lookup, s.keys, rows=rows, key_counts=counts)
     return packed.select("_row.*", *unpacked)
 
 

@@ -68,7 +68,7 @@ def with_window_counts(
         dense = _fullest_bucket(rows, keys, spans) > MAX_MOMENTS
     counted = (_count_by_cell if dense else _count_by_bucket)(moments, "_micros", list(keys), spans)
     joined = attach(
-        df.withColumn("_micros", micros), counted, [*keys, "_micros"], weight="_rows", spread=spread, heavy_source=moments
+        df.withColumn("_micros", micros), counted.drop("_rows"), [*keys, "_micros"], spread=spread, key_counts=moments
     )
     return joined.withColumns({name: F.coalesce(F.col(name), F.lit(0)) for name in spans}).drop("_micros")
 

@@ -1,4 +1,4 @@
-"""The feature pipeline from raw trips and side tables to model-ready features."""
+"""The feature build from raw trips and side tables to model-ready features."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ LAST_STAGE = 7
 
 @dataclass(frozen=True)
 class Config:
-    """Parameters of the pipeline; the defaults are those the features are known by."""
+    """Parameters of the build; the defaults are those the features are known by."""
 
     clusters: int = 100
     cluster_seed: int = 1000

@@ -353,7 +353,7 @@ def _small(expression: str) -> str:
     return f"cast({expression} as smallint)"
 
 
-def _feature_pipeline() -> str:
+def _all_features() -> str:
     single_joins, single = _single_joins()
     multi_joins, multi = _multi_joins()
     small = {
@@ -572,7 +572,7 @@ def _bodies() -> dict[str, str]:
         "folds as (select cast(fold as varchar) as fold, avg(pow(label - p, 2)) as mse, sqrt(avg(pow(label - p, 2))) as rmse, "
         "sqrt(avg(pow(ln(1 + exp(greatest(p, 0))) - ln(1 + exp(label)), 2))) as rmsle from scored group by fold) "
         "select * from folds union all select 'mean', avg(mse), avg(rmse), avg(rmsle) from folds)",
-        "feature_pipeline": _feature_pipeline(),
+        "all_features": _all_features(),
     }
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tripworks.functions import calendar, geo, numeric
 from tripworks.functions.numeric import round_half_even
 from tripworks.operators import cluster, enrich, features, profile, rows, stats, traffic
-from tripworks.plans import modelling, pipeline
+from tripworks.plans import feature_build, modelling
 from tripworks.session import prepare
 from tripworks.sources import fixtures, schema
 
@@ -528,19 +528,19 @@ def error_metrics(spark, sf):
 
 
 def _grid_config(**settings):
-    return pipeline.Config(
+    return feature_build.Config(
         locate=_celled, cluster_columns=CELLS, clusters=10_000, weather_year=1996, **settings
     )
 
 
 def _grid_features(spark, sf, **settings):
-    return pipeline.build_features(
+    return feature_build.build_features(
         _trips(spark, sf), fixtures.routes(spark, sf), fixtures.weather(spark, sf), _grid_config(**settings)
     )
 
 
 @query
-def feature_pipeline(spark, sf):
+def all_features(spark, sf):
     """Every feature of every trip, on grid cells so that SQL can state them too."""
     return _grid_features(spark, sf, great_circle=True, window_minutes=(10, 15))
 
