@@ -20,7 +20,7 @@ ROWS = [
 
 
 def features(df, sets, **settings):
-    measured = stats.grouped(df.where("split = 'train'"), sets, {"y": F.col("y")})
+    measured = stats.grouped(df.where("split = 'train'"), sets, {"y": F.col("y")}, sums="own" in settings)
     return {r["id"]: r for r in stats.attach_statistics(df, measured, sets, **settings).collect()}
 
 

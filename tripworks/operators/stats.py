@@ -25,8 +25,10 @@ class KeySet:
     max_groups: int | None = None  # proven bound from the key domains, if there is one
 
 
-def grouped(rows: DataFrame, key_sets: Sequence[KeySet], measures: Mapping[str, Column]) -> DataFrame:
-    """Row count, mean, sum and non-null count of every measure for all key sets in one scan.
+def grouped(
+    rows: DataFrame, key_sets: Sequence[KeySet], measures: Mapping[str, Column], sums: bool = False
+) -> DataFrame:
+    """Row count and mean of every measure for all key sets, on request its sum and non-null count.
 
     Grouping sets share one scan and one shuffle of partial aggregates. ``key_set`` numbers the
     grouping; keys that do not belong to it are NULL, and groups with a missing key are left out.
@@ -34,11 +36,9 @@ def grouped(rows: DataFrame, key_sets: Sequence[KeySet], measures: Mapping[str,
     names = list(dict.fromkeys(k for s in key_sets for k in s.keys))
     aggregates = [F.count(F.lit(1)).alias("n")]
     for name, column in measures.items():
-        aggregates += [
-            F.avg(column).alias(name),
-            F.sum(column).alias(f"{name}_sum"),
-            F.count(column).alias(f"{name}_n"),
-        ]
+        aggregates.append(F.avg(column).alias(name))
+        if sums:
+            aggregates += [F.sum(column).alias(f"{name}_sum"), F.count(column).alias(f"{name}_n")]
     if len(key_sets) == 1:
         stats = rows.groupBy(*names).agg(*aggregates).withColumn("key_set", F.lit(0))
     else:
@@ -58,7 +58,8 @@ def grouped(rows: DataFrame, key_sets: Sequence[KeySet], measures: Mapping[str,
         for key in s.keys:
             whole = whole & F.col(key).isNotNull()
         keep = keep | (whole & (F.col("n") > s.min_count))
-    return stats.where(keep).select("key_set", *names, "n", *(c for m in measures for c in (m, f"{m}_sum", f"{m}_n")))
+    parts = ("", "_sum", "_n") if sums else ("",)
+    return stats.where(keep).select("key_set", *names, "n", *(f"{m}{part}" for m in measures for part in parts))
 
 
 def group_means(
@@ -222,7 +223,7 @@ def with_group_features(
     """Means over training rows, attached to all rows. ``df`` holds the target columns."""
     keyed = with_sine_keys(df)
     measures = {t: F.col(t) for t in targets}
-    stats = grouped(keyed.where(F.col("split") == schema.TRAIN), key_sets, measures)
+    stats = grouped(keyed.where(F.col("split") == schema.TRAIN), key_sets, measures, sums=leave_one_out)
     hide = (WEEK_SINE_KEY, HOUR_SINE_KEY, *(() if keep_targets else targets))
     return attach_statistics(keyed, stats, key_sets, targets if leave_one_out else (), hide)
 
