@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tripworks.llm import decontaminate, language, mixture, privacy, simhash
+from tripworks.llm import decontaminate, language, mixture, neighbours, privacy, simhash, tokens
 from tripworks.llm.frames import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,22 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("row_id", "doc_id")
 
 
+def public_tokenizer() -> str:
+    """Path of the byte-level vocabulary, looked up where a task runs."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(read(spark, sf_dir, "documents"), public_tokenizer)
+
+
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    return neighbours.nearest(rows, "vec_id", "embedding", rows.where("vec_id % 20 = 0"), k=20)
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = privacy.personal_data(read(spark, sf_dir, "documents"))
 
@@ -65,6 +81,8 @@ REGISTRY: dict[str, Query] = {
     for f in (
         op2_benchmark_decontamination,
         op3_language_id,
+        op4_token_counts,
+        op5_nearest_neighbours,
         op6_pii,
         op7_simhash_near_dedup,
         op9_source_mixing,
