@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tripworks.llm import decontaminate, language, mixture, neighbours, privacy, simhash, tokens
+from tripworks.llm import addresses, decontaminate, language, mixture, neighbours, privacy, simhash, tokens
 from tripworks.llm.frames import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,15 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+URL_RULES = addresses.rules(
+    "allow com/", "block example.com/en/", "allow www.example.com/en/", "block net/es/", "block net/fr/"
+)
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return addresses.judge(read(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixture.copies(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -85,6 +94,7 @@ REGISTRY: dict[str, Query] = {
         op5_nearest_neighbours,
         op6_pii,
         op7_simhash_near_dedup,
+        op8_url_filters,
         op9_source_mixing,
     )
 }
