@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripworks.llm import decontaminate, mixture
+from tripworks.llm import chat, decontaminate, mixture
 from tripworks.llm.frames import ASCII_UPPER
 
 _WORDS = "regexp_extract_all(translate(coalesce({text}, ''), '%s', '%s'), '%s')" % (
@@ -67,8 +67,34 @@ from placed
 """
 
 
+def rotation() -> str:
+    def safe(text: str) -> str:
+        return f"replace(replace({text}, '<|', '< |'), '|>', '| >')"
+
+    system = ", ".join(f"'{r}'" for r in chat.CONTEXT_ROLES)
+    return f"""
+with turns as (
+  select conv_id, coalesce(role, '{chat.UNNAMED}') as role, coalesce(text, '') as text, turn from conversations),
+placed as (
+  select conv_id, role, text, row_number() over (partition by conv_id order by turn nulls first, role, text) as place from turns),
+speakers as (select distinct conv_id, role as speaker from turns where role not in ({system})),
+said as (
+  select p.conv_id, (place - 1) // {chat.PART_TURNS} as part, place, speaker, role = speaker as own,
+    case when role = speaker then '<|assistant|>' when role in ({system}) then '<|' || {safe("role")} || '|>'
+      else '<|user:' || {safe("role")} || '|>' end || chr(10) as head, {safe("text")} || '<|end|>' as body
+  from placed p join speakers s on p.conv_id is not distinct from s.conv_id),
+spans as (
+  select *, sum(length(head) + length(body) + 1) over (partition by conv_id, part, speaker order by place) as until from said)
+select conv_id, cast(part as bigint) as part, speaker, string_agg(head || body || chr(10), '' order by place) as text,
+  coalesce(string_agg(cast(until - 1 - length(body) as varchar) || ':' || cast(until - 1 as varchar), ',' order by place) filter (where own), '') as mask,
+  count(*) as n_turns, cast(max(until) as bigint) as n_chars, cast(coalesce(sum(length(body)) filter (where own), 0) as bigint) as n_trained
+from spans group by conv_id, part, speaker
+"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op2_benchmark_decontamination": contamination(),
         "op9_source_mixing": mixing(),
+        "op10_chat_formatting": rotation(),
     }

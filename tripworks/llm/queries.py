@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tripworks.llm import addresses, decontaminate, language, mixture, neighbours, privacy, simhash, tokens
+from tripworks.llm import addresses, chat, decontaminate, html, language, mixture, neighbours, privacy, simhash, tokens
 from tripworks.llm.frames import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(read(spark, sf_dir, "pages"))
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select(
@@ -85,9 +89,14 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(read(spark, sf_dir, "conversations"))
+
+
 REGISTRY: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_html_extraction,
         op2_benchmark_decontamination,
         op3_language_id,
         op4_token_counts,
@@ -96,5 +105,6 @@ REGISTRY: dict[str, Query] = {
         op7_simhash_near_dedup,
         op8_url_filters,
         op9_source_mixing,
+        op10_chat_formatting,
     )
 }
