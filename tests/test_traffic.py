@@ -41,23 +41,33 @@ def naive(rows, span, keyed=True):
     return counts
 
 
-@pytest.mark.parametrize("dense", [False, True])
+ODD = [Span(1, 1_500_000), Span(-2_500_001, -3), Span(999_999, 3_000_001), Span(0, 0), Span(-700, 0)]
+
+
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("span", [Span.after(10), Span.before(10), Span.trailing(60)])
-def test_counts_equal_a_naive_self_join(spark, seed, span, dense):
+@pytest.mark.parametrize("span", [Span.after(10), Span.before(10), Span.trailing(60), *ODD])
+def test_counts_equal_a_naive_self_join(spark, seed, span):
     rows = moments(seed)
-    got = traffic.with_window_counts(frame(spark, rows), "ts", ["c"], {"n": span}, dense=dense).collect()
+    got = traffic.with_window_counts(frame(spark, rows), "ts", ["c"], {"n": span}).collect()
     assert {r["id"]: r["n"] for r in got} == naive(rows, span)
-    got = traffic.with_window_counts(frame(spark, rows), "ts", [], {"n": span}, dense=dense).collect()
+    got = traffic.with_window_counts(frame(spark, rows), "ts", [], {"n": span}).collect()
     assert {r["id"]: r["n"] for r in got} == naive(rows, span, keyed=False)
 
 
-@pytest.mark.parametrize("dense", [False, True])
-def test_both_ends_of_the_window_are_open(spark, dense):
+@pytest.mark.parametrize("unit", [250_000, 400, 1])
+def test_sub_second_moments_and_edges(spark, unit):
+    rows = moments(5, 300, unit)
+    spans = {f"n{i}": s for i, s in enumerate([*ODD, Span(3, 5), Span(-1_000_000, -1)])}
+    got = traffic.with_window_counts(frame(spark, rows), "ts", ["c"], spans).collect()
+    for name, span in spans.items():
+        assert {r["id"]: r[name] for r in got} == naive(rows, span)
+
+
+def test_both_ends_of_the_window_are_open(spark):
     minute = MICROS_PER_MINUTE
     rows = [("t", 0, 0), ("near", 0, 1), ("in", 0, 10 * minute - 1), ("out", 0, 10 * minute), ("same", 0, 0)]
     spans = {"after": Span.after(10), "before": Span.before(10), "trail": Span.trailing(10)}
-    got = {r["id"]: r for r in traffic.with_window_counts(frame(spark, rows), "ts", ["c"], spans, dense=dense).collect()}
+    got = {r["id"]: r for r in traffic.with_window_counts(frame(spark, rows), "ts", ["c"], spans).collect()}
     assert (got["t"]["after"], got["t"]["before"], got["t"]["trail"]) == (2, 0, 2)
     assert (got["out"]["after"], got["out"]["before"], got["out"]["trail"]) == (0, 2, 3)
 
@@ -70,10 +80,10 @@ def test_partitioning_does_not_matter(spark):
     assert sorted((r["id"], r["n"]) for r in one.collect()) == sorted((r["id"], r["n"]) for r in many.collect())
 
 
-def test_window_is_partitioned_by_bucket(spark):
+def test_windows_are_partitioned_by_time(spark):
     plan = traffic.with_window_counts(frame(spark, moments(1)), "ts", [], {"n": Span.trailing(60)})
     text = plan._jdf.queryExecution().optimizedPlan().toString()
-    assert "windowspecdefinition(_bucket" in text
+    assert "windowspecdefinition(_bucket" in text and "windowspecdefinition(_cell" in text
 
 
 def test_names_and_direction(spark):

@@ -33,8 +33,6 @@ class Span:
         return Span(1 - minutes * MICROS_PER_MINUTE, 0)
 
 
-# Moments of one key and bucket that may be sorted in one task.
-MAX_MOMENTS = 5_000_000
 _CELL = 1_000_000  # one second of microseconds
 
 
@@ -45,32 +43,34 @@ def with_window_counts(
     spans: Mapping[str, Span],
     spread: str = "id",
     source: DataFrame | None = None,
-    dense: bool | None = None,
 ) -> DataFrame:
     """Add for each span how many rows with equal ``keys`` fall into it; 0 if time or key is missing.
 
     Rows are counted per key and moment first, so copies of one moment never meet in a task; the
-    moments are counted against each other within time buckets, so no key is sorted as a whole; and
+    moments are counted against each other within cells of time, so no key is sorted as a whole; and
     the counts go back to the rows by key and moment, heavy moments in slices.
 
     ``source`` may give the same rows with fewer columns and a shorter plan to count from.
-    ``dense`` chooses how moments are counted; by default the fullest bucket decides.
     """
+    moments, counted = window_counts(source or df, ts, keys, spans)
+    joined = attach(
+        df.withColumn("_micros", epoch_micros(F.col(ts))), counted, [*keys, "_micros"], spread=spread, key_counts=moments
+    )
+    return joined.withColumns({name: F.coalesce(F.col(name), F.lit(0)) for name in spans}).drop("_micros")
+
+
+def window_counts(
+    rows: DataFrame, ts: str, keys: Sequence[str], spans: Mapping[str, Span]
+) -> tuple[DataFrame, DataFrame]:
+    """Rows per key and moment (``_rows``), and the spans' counts per key and moment (``_micros``)."""
     if any(s.first > s.last or s.first < 0 < s.last for s in spans.values()):
         raise ValueError("a span must be ordered and lie on one side of the row")
-    micros = epoch_micros(F.col(ts)).alias("_micros")
     present = F.col("_micros").isNotNull()
     for key in keys:
         present = present & F.col(key).isNotNull()
-    rows = (source or df).select(*keys, micros).where(present)
-    moments = rows.groupBy(*keys, "_micros").agg(F.count(F.lit(1)).alias("_rows"))
-    if dense is None:
-        dense = _fullest_bucket(rows, keys, spans) > MAX_MOMENTS
-    counted = (_count_by_cell if dense else _count_by_bucket)(moments, "_micros", list(keys), spans)
-    joined = attach(
-        df.withColumn("_micros", micros), counted.drop("_rows"), [*keys, "_micros"], spread=spread, key_counts=moments
-    )
-    return joined.withColumns({name: F.coalesce(F.col(name), F.lit(0)) for name in spans}).drop("_micros")
+    placed = rows.select(*keys, epoch_micros(F.col(ts)).alias("_micros")).where(present)
+    moments = placed.groupBy(*keys, "_micros").agg(F.count(F.lit(1)).alias("_rows"))
+    return moments, _count_by_cell(moments, "_micros", list(keys), spans)
 
 
 def _floor_div(value: Column, by: int) -> Column:
@@ -82,91 +82,72 @@ def _width(spans: Mapping[str, Span]) -> int:
     return max(max(abs(s.first), abs(s.last)) for s in spans.values()) + 1
 
 
-def _fullest_bucket(rows: DataFrame, keys: Sequence[str], spans: Mapping[str, Span]) -> int:
-    """Most rows in one key and bucket, which bounds the moments there. Two columns are read."""
-    bucket = _floor_div(F.col("_micros"), _width(spans))
-    return rows.groupBy(*keys, bucket.alias("_bucket")).count().agg(F.max("count")).first()[0] or 0
-
-
-def _count_by_bucket(moments: DataFrame, at: str, keys: list[str], spans: Mapping[str, Span]) -> DataFrame:
-    """Window sums inside (key, bucket), for buckets whose moments fit one task.
+@dataclass(frozen=True)
+class _Edge:
+    """A moment ``offset`` microseconds from the row, where a span begins or has just ended."""
 
-    Buckets are at least as wide as the widest span. A moment is laid into its own bucket and into
-    the neighbour whose spans can reach it, so each bucket holds all its moments look at.
-    """
-    width = _width(spans)
-    neighbours = sorted({1 if s.last <= 0 else -1 for s in spans.values()})
-    home = _floor_div(F.col(at), width)
-    laid = moments.withColumn("_home", home).withColumn(
-        "_bucket", F.explode(F.array(F.col("_home"), *(F.col("_home") + step for step in neighbours)))
-    )
-    within = Window.partitionBy(*keys, "_bucket").orderBy(at)
-    counts = {
-        name: F.coalesce(F.sum("_rows").over(within.rangeBetween(s.first, s.last)), F.lit(0)).alias(name)
-        for name, s in spans.items()
-    }
-    return (
-        laid.select(*keys, at, "_rows", "_bucket", "_home", *counts.values())
-        .where(F.col("_bucket") == F.col("_home"))
-        .select(*keys, at, "_rows", *counts)
-    )
+    offset: int
 
+    @property
+    def reach(self) -> int:
+        return self.offset // _CELL
 
-def _edges(span: Span) -> list[tuple[int, bool, int]]:
-    """A count is what lies before the far edge less what lies before the near edge.
+    @property
+    def steps(self) -> tuple[int, ...]:
+        """Cells beyond ``reach`` the edge may lie in, as the row's place in its own cell decides."""
+        return (0, 1) if self.offset % _CELL else (0,)
 
-    Each edge is (whole seconds from the row, does the edge's own moment count, sign).
-    """
-    edges = []
-    for offset, sign in ((span.last + 1, 1), (span.first, -1)):
-        reach, rest = divmod(offset, _CELL)
-        if rest not in (0, 1):
-            raise ValueError("a dense span must be whole seconds wide")
-        edges.append((reach, rest == 1, sign))
-    return edges
+    def step(self, off: Column) -> Column:
+        return (off + self.offset % _CELL >= _CELL).cast("int")
 
 
 def _count_by_cell(moments: DataFrame, at: str, keys: list[str], spans: Mapping[str, Span]) -> DataFrame:
-    """The same counts when a bucket holds more moments than one task should sort.
+    """Counts per key and moment; no task holds more than the microseconds of one second.
 
-    Time is cut into cells of a second. Whole cells inside a span are added up from one total per
-    cell. At each edge, the part of a cell is read off a running sum inside that cell: a moment is
-    sent there as a probe, and its answers are summed when they come back. No task ever holds more
-    than the microseconds of one second.
+    Time is cut into cells of a second. What lies in a span is what lies before its end less what
+    lies before its beginning. Whole cells between the two edges are added up from one total per
+    cell. For the rest, a moment sends a probe to the cell of each edge, where a running sum tells how
+    much of the cell lies before it, and the answers are summed when they come back.
     """
     placed = moments.withColumns({"_cell": _floor_div(F.col(at), _CELL), "_off": F.pmod(at, F.lit(_CELL))})
-
-    edges = {name: _edges(s) for name, s in spans.items()}
+    edges = {name: (_Edge(s.first), _Edge(s.last + 1)) for name, s in spans.items()}
+
+    # whole cells from the one the beginning lies in to the one before the end's, for either place
+    whole = {
+        f"{name}_{i}{j}": Span(near.reach + i, far.reach + j - 1)
+        for name, (near, far) in edges.items()
+        for i in near.steps
+        for j in far.steps
+    }
     cells = placed.groupBy(*keys, "_cell").agg(F.sum("_rows").alias("_rows"))
-    whole = {}  # spans in cells, both ends included
-    for name, ((far, _, _), (near, _, _)) in edges.items():
-        whole[name] = Span(near, far - 1)
     middles = _count_cells(cells, keys, whole)
 
-    reaches = sorted({reach for pair in edges.values() for reach, _, _ in pair} | {0})
-    laid = placed.withColumn("_reach", F.explode(F.array(*map(F.lit, reaches)))).select(
-        *keys,
-        at,
-        (F.col("_cell") + F.col("_reach")).alias("_cell"),
-        "_off",
-        "_reach",
-        F.when(F.col("_reach") == 0, F.col("_rows")).otherwise(0).alias("_weight"),
-    )
-    running = Window.partitionBy(*keys, "_cell").orderBy("_off")
-    up_to = F.sum("_weight").over(running.rangeBetween(Window.unboundedPreceding, 0))
-    under = F.coalesce(F.sum("_weight").over(running.rangeBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    read = laid.select(*keys, at, "_reach", "_weight", up_to.alias("_up_to"), under.alias("_under"))
+    offsets = sorted({edge.offset for pair in edges.values() for edge in pair})
+    probes = [F.struct(F.lit(o).alias("_probe"), (F.col(at) + o).alias("_place"), F.lit(0).alias("_weight")) for o in offsets]
+    itself = F.struct(F.lit(None).cast("bigint").alias("_probe"), F.col(at).alias("_place"), F.col("_rows").alias("_weight"))
+    laid = placed.select(*keys, at, F.inline(F.array(itself, *probes)))
+    laid = laid.withColumns({"_cell": _floor_div(F.col("_place"), _CELL), "_off": F.pmod("_place", F.lit(_CELL))})
+    before = Window.partitionBy(*keys, "_cell").orderBy("_off").rangeBetween(Window.unboundedPreceding, -1)
+    read = laid.withColumn("_under", F.coalesce(F.sum("_weight").over(before), F.lit(0))).where(F.col("_probe").isNotNull())
     answers = []
-    for name, pair in edges.items():
-        parts = [
-            F.when(F.col("_reach") == reach, F.col("_up_to" if inclusive else "_under") * sign).otherwise(0)
-            for reach, inclusive, sign in pair
-        ]
-        answers.append(F.sum(parts[0] + parts[1]).alias(f"_edge_{name}"))
-    edge_sums = read.groupBy(*keys, at).agg(F.sum("_weight").alias("_rows"), *answers)
-    located = edge_sums.withColumn("_cell", _floor_div(F.col(at), _CELL))
+    for name, (near, far) in edges.items():
+        part = F.when(F.col("_probe") == far.offset, F.col("_under")).otherwise(0)
+        answers.append(F.sum(part - F.when(F.col("_probe") == near.offset, F.col("_under")).otherwise(0)).alias(f"_edge_{name}"))
+    edge_sums = read.groupBy(*keys, at).agg(*answers)
+    located = edge_sums.withColumns({"_cell": _floor_div(F.col(at), _CELL), "_off": F.pmod(at, F.lit(_CELL))})
+
+    def middle(name: str) -> Column:
+        near, far = edges[name]
+        value = None
+        for i in near.steps:
+            for j in far.steps:
+                here = F.col(f"_mid_{name}_{i}{j}")
+                match = (near.step(F.col("_off")) == i) & (far.step(F.col("_off")) == j)
+                value = here if value is None else F.when(match, here).otherwise(value)
+        return value
+
     return located.join(middles, [*keys, "_cell"]).select(
-        *keys, at, "_rows", *((F.col(f"_edge_{n}") + F.col(f"_mid_{n}")).alias(n) for n in spans)
+        *keys, at, *((F.col(f"_edge_{n}") + middle(n)).alias(n) for n in spans)
     )
 
 
