@@ -35,7 +35,9 @@ def canonical(columns, rows):
 
 def difference(df, connection, sql) -> str | None:
     """None if equal, else a short account of the difference."""
-    cursor = connection.execute(sql)
+    # as a view, since whoever checks a query may wrap its SQL in one
+    connection.execute(f"create or replace temp view stated as {sql}")
+    cursor = connection.execute("select * from stated")
     expected_columns = [d[0] for d in cursor.description]
     expected = canonical(expected_columns, cursor.fetchall())
     found = canonical(df.columns, [tuple(r) for r in df.collect()])

@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, shuffle_partitions=4, app="tripworks-tests")
+    session = local_session(8, shuffle_partitions=4, app="tripworks-tests", shared=tempfile.mkdtemp(prefix="tripworks-"))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

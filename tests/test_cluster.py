@@ -83,6 +83,19 @@ def test_distances_to_heavy_centres(trips):
 
 
 def test_heavy_features_add_no_join(trips):
-    out = cluster.heavy_cluster_features(trips, k=10, quantile=0.8, seed=1)
+    model = cluster.fit_location_clusters(trips, k=10, seed=1)
+    located = cluster.assign_clusters(trips, model, "p", "d")
+    out = cluster.heavy_cluster_features(located, "p", "d", 0.8, model.clusterCenters())
+    means = cluster.heavy_cluster_features(located, "p", "d", 0.8)
+    assert means.columns == out.columns
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and len(out.columns) == 1 + 4 * 2
+
+
+def test_equally_near_centres_and_missing_points(spark):
+    df = spark.createDataFrame(
+        [(0.0, 0.0, 5.0, 5.0), (None, 0.0, 1.0, 1.0)],
+        "pickup_latitude double, pickup_longitude double, dropoff_latitude double, dropoff_longitude double",
+    )
+    out = cluster.assign_to_centres(df, [(1.0, 0.0), (0.0, 1.0), (5.0, 5.0)], "p", "d").collect()
+    assert [(r["p"], r["d"]) for r in out] == [(0, 2), (None, 0)]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tripworks.operators import cluster, features
 from tripworks.plans import feature_build, queries
 from tripworks.sources import fixtures
-from tripworks.sources.stages import StageStore
+from tripworks.sources.stages import FeatureCache, StageStore
 
 
 @pytest.fixture(scope="module")
@@ -16,10 +16,10 @@ def inputs(spark):
 
 
 def test_stages_are_stored_and_resumed(spark, folder, inputs):
-    cfg = feature_build.Config(clusters=8, cluster_iterations=3, min_count=10, weather_year=1996)
+    cfg = feature_build.Config(clusters=8, cluster_iterations=3, min_count=10)
     store = StageStore(spark, folder)
     built = feature_build.build_features(*inputs, cfg, store)
-    assert store.latest() == feature_build.LAST_STAGE == 7
+    assert store.under(cfg.digest()).latest() == feature_build.LAST_STAGE == 7
     assert built.count() == inputs[0].count()
     for name in ("pickup_kmeans_8_cluster", "cnt_pickup_hour_pickup_kmeans_8_cluster", "snow_fall", "is_holyday", "pca_direction"):
         assert name in built.columns
@@ -28,6 +28,8 @@ def test_stages_are_stored_and_resumed(spark, folder, inputs):
     again = feature_build.build_features(None, None, None, cfg, store)
     assert sorted(again.columns) == sorted(built.columns)
     assert "pickup_datetime" not in feature_build.model_input(built).columns
+    other = feature_build.Config(clusters=8, cluster_iterations=3, min_count=11)
+    assert other.digest() != cfg.digest() and store.under(other.digest()).latest() is None
 
 
 def test_optional_steps(inputs):
@@ -72,3 +74,30 @@ def test_grid_cells_are_numbered_by_row_and_column(spark):
     )
     r = cluster.with_grid_clusters(df, 40.63, -74.03).first()
     assert (r["pickup_cell"], r["dropoff_cell"]) == (0, 102)
+
+
+def test_fewer_points_than_clusters_and_one_fit(spark, inputs, monkeypatch, folder):
+    fits = []
+    fit = cluster.fit_location_clusters
+    monkeypatch.setattr(cluster, "fit_location_clusters", lambda *a, **k: fits.append(1) or fit(*a, **k))
+    trips = inputs[0].orderBy("id").limit(8)
+    cache = FeatureCache(spark, folder)
+    cfg = feature_build.Config(clusters=100, cluster_iterations=3, min_count=0, heavy_quantile=0.5, window_minutes=(10,), cache=cache)
+    df = feature_build.build_features(trips, *inputs[1:], cfg)
+    assert df.count() == 8 and len(fits) == 1
+    assert {"pickup_kmeans_100_cluster", "this_pickup_kmeans_100_clusterafter_10minutes_traffic"} <= set(df.columns)
+    again = feature_build.build_features(trips, *inputs[1:], cfg)
+    assert sorted(map(str, again.select("id", *sorted(c for c in df.columns if "traffic" in c)).collect())) == sorted(
+        map(str, df.select("id", *sorted(c for c in df.columns if "traffic" in c)).collect())
+    )
+
+
+def test_wide_rows_are_shuffled_by_id_once(spark, inputs):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = feature_build.build_features(*inputs, queries._grid_config(window_minutes=(10,)))
+        plan = df._jdf.queryExecution().executedPlan()
+        lines = [x for x in plan.toString().splitlines() if "Exchange hashpartitioning(id#" in x]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(lines) <= 3  # the wide frame, the traffic counts, the routes

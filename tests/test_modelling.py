@@ -67,10 +67,23 @@ def test_sweep_keeps_the_best_value(trips):
     tuned, table = modelling.sweep(trips, learner, {"maxDepth": [3, 1]}, folds=2)
     errors = {r["value"]: r["error"] for r in table.collect()}
     best = min(errors, key=errors.get)
-    assert tuned.getOrDefault("maxDepth") == best
+    assert str(tuned.getOrDefault("maxDepth")) == best
     assert [r["value"] for r in table.where("best").collect()] == [best]
 
 
+def test_sweep_by_either_metric_and_text_parameters(trips):
+    learner = modelling.bagged_trees(trees=2, depth=2)
+    for metric in modelling.METRICS:
+        tuned, table = modelling.sweep(trips, learner, {"featureSubsetStrategy": ["all", "onethird"]}, folds=2, metric=metric)
+        assert tuned.getOrDefault("featureSubsetStrategy") == table.where("best").first()["value"]
+
+
+def test_rounds_stop_early(trips):
+    frame = modelling.model_frame(trips, folds=2).where("split = 'train'")
+    learner = modelling.boosted_trees(rounds=12, depth=2, step=1.0)
+    assert modelling.best_rounds(frame, learner, 2, tolerance=0.5) <= modelling.best_rounds(frame, learner, 2, tolerance=0.0)
+
+
 def test_error_measures(spark):
     data = [(math.log(100.0), math.log(110.0)), (math.log(50.0), -3.0)]
     r = modelling.error_metrics(spark.createDataFrame(data, "label double, prediction double")).first()

@@ -5,8 +5,9 @@ from compare import difference, duck
 from conftest import SMALL
 
 import __spark_entry__ as contract
+from tripworks.plans import oracles, queries
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = queries.REGISTRY, oracles.all_sql()
 
 
 @pytest.fixture(scope="module")

@@ -45,18 +45,32 @@ def test_narrowing_finds_exact_percentiles(spark, monkeypatch, name):
     values = columns_of_values()[name]
     df = spark.createDataFrame([(v,) for v in values], "x double")
     expected = np.percentile(values, [0, 25, 50, 99, 100])
-    assert profile.exact_percentiles(df, "x", [0.0, 0.25, 0.5, 0.99, 1.0]) == pytest.approx(list(expected))
+    shares = [0.0, 0.25, 0.5, 0.99, 1.0]
+    assert profile.exact_percentiles(df, ["x"], shares)["x"] == pytest.approx(list(expected))
     # A bracket this wide and a limit this small force several rounds.
     monkeypatch.setattr(profile, "_SKETCH_ACCURACY", 20)
-    v = df.select(F.col("x").alias("v"))
-    ordered = sorted(values)
-    for rank in {0, len(values) // 3, len(values) - 1}:
-        assert profile.value_at_rank(v, rank, len(values), max_distinct=10) == ordered[rank]
+    assert profile.exact_percentiles(df, ["x"], shares, few=10)["x"] == pytest.approx(list(expected))
+
+
+def test_passes_do_not_depend_on_the_number_of_ranks(spark):
+    df = spark.range(50_000).select(F.col("id").alias("x"), (F.col("id") * 7 % 50_000).alias("y"))
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(columns, shares):
+        spark.sparkContext.setJobGroup(name := f"{columns}{shares}", "")
+        found = profile.exact_percentiles(df, columns, shares)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return found, len(tracker.getJobIdsForGroup(name))
+
+    one, few_jobs = jobs(["x"], [0.5])
+    all_, more_jobs = jobs(["x", "y"], [0.1, 0.25, 0.5, 0.75, 0.9])
+    assert one["x"] == [24_999.5] and all_["y"] == all_["x"] == pytest.approx([s * 49_999 for s in (0.1, 0.25, 0.5, 0.75, 0.9)])
+    assert more_jobs <= few_jobs + 2
 
 
 def test_percentiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "x double")
-    assert profile.exact_percentiles(df, "x", [0.5]) == [None]
+    assert profile.exact_percentiles(df, ["x"], [0.5]) == {"x": [None]}
 
 
 def test_describe(spark):
@@ -81,6 +95,10 @@ def test_low_cardinality_columns_are_found_exactly(spark):
         F.lit("a").alias("text"),
     )
     assert profile.low_cardinality_columns(df, 10) == ["ten", "one_and_missing"]
+    for many in (256, 257, 512, 600, 20_000):
+        wide = df.select(*df.columns, (F.col("many") % many).alias("exact"), (F.col("many") % (many + 1)).alias("over"))
+        found = profile.low_cardinality_columns(wide, many)
+        assert "exact" in found and ("over" in found) == (many >= 20_000)
     filled = profile.impute_low_cardinality(df)
     assert dict(filled.dtypes)["ten"] == "tinyint" and dict(filled.dtypes)["many"] == "bigint"
     assert {r[0] for r in filled.select("one_and_missing").distinct().collect()} == {1, -1}

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripworks.operators import profile
-from tripworks.sources import files, fixtures, schema, scratch, sinks
+from tripworks.sources import files, fixtures, hadoop, schema, scratch, sinks
 from tripworks.sources.stages import FeatureCache, StageStore, join_features
 
 TRAIN_CSV = """id,vendor_id,pickup_datetime,dropoff_datetime,passenger_count,pickup_longitude,pickup_latitude,dropoff_longitude,dropoff_latitude,store_and_fwd_flag,trip_duration
@@ -126,10 +126,39 @@ def test_daily_weather_turns_traces_into_numbers(spark, folder):
 
     body = "date,max,min,avg,prec,fall,depth\n2-1-2016,42,34,38.0,0.25,T,T\n1-1-2016,40,30,35.5,T,1.5,0\n"
     weather = files.read_weather(spark, write(folder, "w.csv", body))
-    rows = {r["pickup_date"].day: r for r in enrich.daily_weather(weather, 2016).collect()}
+    rows = {r["pickup_date"].day: r for r in enrich.daily_weather(weather).collect()}
     assert (rows[2]["precipitation"], rows[2]["snow_fall"], rows[2]["snow_depth"]) == (0.25, -1.0, -1.0)
     assert (rows[1]["precipitation"], rows[1]["snow_fall"], rows[1]["average_temperature"]) == (-1.0, 1.5, 35.5)
     trips = spark.createDataFrame([("a", dt.datetime(2016, 1, 1, 23, 59)), ("b", dt.datetime(2016, 1, 3))], "id string, pickup_datetime timestamp_ntz")
-    joined = enrich.join_weather(trips, weather, 2016)
+    joined = enrich.join_weather(trips, weather)
     assert joined.columns == ["id", "pickup_datetime", "snow_fall"]
     assert {r["id"]: r["snow_fall"] for r in joined.collect()} == {"a": 1.5, "b": None}
+
+
+def test_weather_keeps_one_row_per_trip(spark):
+    from tripworks.operators import enrich
+
+    days = [("3-1-2016", "2"), ("3-1-2015", "9"), ("3-1-2016", "4"), ("2016-01-03", "7"), ("31-2-2016", "7"), ("x", "7"), (None, "7")]
+    weather = spark.createDataFrame(days, "date string, snow_fall string")
+    trips = spark.createDataFrame([("a", dt.datetime(2016, 1, 3, 5))], "id string, pickup_datetime timestamp_ntz")
+    assert [r["snow_fall"] for r in enrich.join_weather(trips, weather).collect()] == [3.0]
+    assert [r["snow_fall"] for r in enrich.join_weather(trips, weather, year=2016).collect()] == [5.0]
+    assert enrich.unparsed_days(weather).count() == 4
+
+
+def test_whole_numbers_written_as_decimals(spark, folder):
+    path = write(folder, "a.csv", "x,NUMBER OF PERSONS INJURED\n1,1.0\n2,\n3,7\n4,NaN\n5,9007199254740993\n")
+    assert [r[0] for r in files.read_accidents(spark, path).collect()] == [1, None, 7, None, 9007199254740993]
+    bad = write(folder, "b.csv", "x,NUMBER OF PERSONS INJURED\n1,1.5\n")
+    with pytest.raises(Exception, match="not a whole number"):
+        files.read_accidents(spark, bad).collect()
+
+
+def test_scratch_is_kept_in_the_shared_folder_and_cleared(spark, folder, monkeypatch):
+    shared = spark.conf.get(scratch.SETTING)
+    assert scratch.scratch_root(spark) == f"{shared}/tripworks-{spark.sparkContext.applicationId}"
+    monkeypatch.setattr(scratch, "scratch_root", lambda spark: f"{folder}/own")
+    kept = scratch.materialise(spark.range(5), "five")
+    assert kept.count() == 5 and kept.inputFiles()[0].startswith(f"file://{folder}/own/five-")
+    scratch.clear_scratch(spark)
+    assert not hadoop.exists(spark, f"{folder}/own")

@@ -24,10 +24,9 @@ def features(df, sets, **settings):
     return {r["id"]: r for r in stats.attach_statistics(df, measured, sets, **settings).collect()}
 
 
-@pytest.mark.parametrize("broadcast_rows", [joins.BROADCAST_ROWS, 0])
-def test_means_come_from_train_and_reach_test(spark, monkeypatch, broadcast_rows):
-    for module in (joins, stats):
-        monkeypatch.setattr(module, "BROADCAST_ROWS", broadcast_rows)
+@pytest.mark.parametrize("broadcast_bytes", [joins.BROADCAST_BYTES, -1])
+def test_means_come_from_train_and_reach_test(spark, monkeypatch, broadcast_bytes):
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", broadcast_bytes)
     df = spark.createDataFrame(ROWS, SCHEMA)
     sets = [KeySet(("k",), {"y": "mean"}), KeySet(("k", "j"), {"y": "pair", "n": "cnt"})]
     found = features(df, sets)
@@ -64,14 +63,14 @@ def test_sliced_join_equals_plain_join(spark):
     key = F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.col("id") + 100)
     df = spark.range(30_000).select(F.col("id").cast("string").alias("id"), key.cast("long").alias("k"))
     lookup = df.where("k is not null and k % 11 != 0").select("k", (F.col("k") * 2).alias("v")).distinct()
-    sliced = joins.attach(df, lookup, ["k"])
+    sliced = joins.attach(df, lookup, ["k"], slice_rows=1_000)
     plain = df.join(lookup, "k", "left").select("id", "k", "v")
     assert sorted(map(tuple, sliced.select("id", "k", "v").collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
 
 
 def test_heavy_key_is_spread_over_slices(spark):
     df = spark.range(20_000).select(F.col("id").cast("string").alias("id"), F.lit(1).alias("k"))
-    joined = joins.attach(df, df.select("k", F.lit(5).alias("v")).distinct(), ["k"])
+    joined = joins.attach(df, df.select("k", F.lit(5).alias("v")).distinct(), ["k"], slice_rows=100)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -102,3 +101,27 @@ def test_names_of_the_feature_sets():
     assert [s.max_groups for s in multi] == [None, None, None, 10_000, 1_680_000, 240_000, 2_400, 2_400]
     suffixed = stats.single_key_sets("p", "d", 36, suffix="_n_clusters_36")
     assert suffixed[1].attach["log_trip_duration"] == "log_trip_duration_gby_pickup_hour_n_clusters_36"
+
+
+def test_key_below_a_thousandth_is_cut_when_it_exceeds_the_target(spark):
+    # one key of 300 rows among 400,000: no share to speak of, but three times the target
+    key = F.when(F.col("id") < 300, F.lit(-1)).otherwise(F.col("id"))
+    df = spark.range(400_000).select(F.col("id").cast("string").alias("id"), key.alias("k"))
+    counts = df.groupBy("k").agg(F.count(F.lit(1)).alias("_rows"))
+    lookup = df.where("k < 1000").select("k", F.lit(1).alias("v")).distinct()
+    joined = joins.attach(df, lookup, ["k"], key_counts=counts, slice_rows=100)
+    assert joined.where("k = -1 and v = 1").count() == 300 and joined.count() == 400_000
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "_slice" in plan
+
+
+def test_sets_derived_from_a_finer_one_are_the_same(spark):
+    df = spark.range(5_000).select(
+        (F.col("id") % 24).alias("h"), (F.col("id") % 7).alias("b"), F.when(F.col("id") % 11 > 0, F.col("id") % 5).alias("c"),
+        F.when(F.col("id") % 13 > 0, F.col("id").cast("double")).alias("y"),
+    )
+    sets = [KeySet(k, {}) for k in (("h",), ("b",), ("h", "b"), ("c",), ("h", "c"))]
+    direct = stats.grouped(df, sets, {"y": F.col("y")}, sums=True)
+    derived = stats.grouped(df, sets, {"y": F.col("y")}, sums=True, through=[("h", "b"), ("h", "c")])
+    assert direct.columns == derived.columns
+    assert sorted(map(str, direct.collect())) == sorted(map(str, derived.collect()))

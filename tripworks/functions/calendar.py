@@ -93,7 +93,8 @@ def is_holiday_eve(month: Column, day: Column, weekday: Column) -> Column:
     return _matches(HOLIDAY_EVE_RULES, month, day, weekday)
 
 
-def day_month_date(text: Column, year: int) -> Column:
-    """Date from ``d-m-...`` text; the year in the text is replaced by the table's year."""
-    parts = F.split(text, "-")
-    return F.make_date(F.lit(year), parts[1].cast("int"), parts[0].cast("int"))
+def day_month_date(text: Column, year: int | None = None) -> Column:
+    """Date from ``d-m-yyyy`` text, or NULL if it is none. ``year`` takes the place of the text's own."""
+    if year is not None:
+        text = F.regexp_replace(text, "-[^-]*$", f"-{year}")
+    return F.try_to_date(text, "d-M-yyyy")

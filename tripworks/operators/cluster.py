@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tripworks.functions import geo
 from tripworks.sources import schema
@@ -39,24 +39,40 @@ def fit_location_clusters(df: DataFrame, k: int = 100, seed: int = 1000, max_ite
     return estimator.fit(points.select("features", "weight"))
 
 
+def nearest_centre(lat: Column, lng: Column, centres: Sequence[Sequence[float]]) -> Column:
+    """Number of the nearest of the given centres, the first of equally near ones; NULL without coordinates."""
+    distances = F.transform(
+        F.array(*(F.array(*(F.lit(float(x)) for x in c)) for c in centres)),
+        lambda c: (lat - c[0]) * (lat - c[0]) + (lng - c[1]) * (lng - c[1]),
+    )
+    nearest = F.array_position(distances, F.array_min(distances)) - 1
+    return F.when(lat.isNotNull() & lng.isNotNull(), nearest.cast("int"))
+
+
+def assign_to_centres(df: DataFrame, centres: Sequence[Sequence[float]], pickup: str, dropoff: str) -> DataFrame:
+    """Nearest of the given centres for both ends of each trip; at most k constants enter the plan."""
+    return df.withColumns(
+        {
+            name: nearest_centre(F.col(f"{end}_latitude"), F.col(f"{end}_longitude"), centres)
+            for end, name in zip(ENDS, (pickup, dropoff))
+        }
+    )
+
+
 def assign_clusters(
     df: DataFrame, model: KMeansModel, pickup: str | None = None, dropoff: str | None = None
 ) -> DataFrame:
-    """Nearest centre of both ends of each trip. Trips without coordinates get NULL."""
-    k = len(model.clusterCenters())
-    names = (pickup or schema.pickup_cluster(k), dropoff or schema.dropoff_cluster(k))
-    for end, name in zip(ENDS, names):
-        lat, lng = f"{end}_latitude", f"{end}_longitude"
-        vectors = VectorAssembler(inputCols=["_lat", "_lng"], outputCol="_point")
-        missing = F.col(lat).isNull() | F.col(lng).isNull()
-        filled = df.withColumns({"_lat": F.coalesce(lat, F.lit(0.0)), "_lng": F.coalesce(lng, F.lit(0.0))})
-        columns = {model.featuresCol: "_point", model.predictionCol: "_cluster"}
-        df = (
-            model.transform(vectors.transform(filled), columns)
-            .withColumn(name, F.when(~missing, F.col("_cluster")))
-            .drop("_lat", "_lng", "_point", "_cluster")
-        )
-    return df
+    """Nearest fitted centre of both ends of each trip. Trips without coordinates get NULL."""
+    centres = model.clusterCenters()
+    k = len(centres)
+    return assign_to_centres(df, centres, pickup or schema.pickup_cluster(k), dropoff or schema.dropoff_cluster(k))
+
+
+def mean_centres(df: DataFrame, pickup: str, dropoff: str, clusters: Sequence[int]) -> dict[int, tuple[float, float]]:
+    """Mean point of the trip ends in each of the named clusters, for clusters that were not fitted here."""
+    ends = [F.struct(F.col(n).alias("c"), F.col(f"{e}_latitude").alias("lat"), F.col(f"{e}_longitude").alias("lng")) for e, n in zip(ENDS, (pickup, dropoff))]
+    points = df.select(F.inline(F.array(*ends))).where(F.col("c").isin(*clusters))
+    return {r["c"]: (r["lat"], r["lng"]) for r in points.groupBy("c").agg(F.avg("lat").alias("lat"), F.avg("lng").alias("lng")).collect()}
 
 
 def with_grid_clusters(
@@ -88,7 +104,7 @@ def heavy_clusters(traffic: DataFrame, quantile: float = 0.9) -> DataFrame:
 
 
 def with_heavy_cluster_distances(
-    df: DataFrame, centres: Sequence[Sequence[float]], heavy: Sequence[int]
+    df: DataFrame, centres: Sequence[Sequence[float]] | Mapping[int, Sequence[float]], heavy: Sequence[int]
 ) -> DataFrame:
     """Distance and bearing from both ends of a trip to every heavy centre.
 
@@ -105,11 +121,16 @@ def with_heavy_cluster_distances(
     return df.withColumns(added)
 
 
-def heavy_cluster_features(df: DataFrame, k: int = 100, quantile: float = 0.9, seed: int = 42) -> DataFrame:
-    """Fit clusters, find the heavy ones and return the distance features by trip id."""
-    model = fit_location_clusters(df, k=k, seed=seed)
-    located = assign_clusters(df, model, "_pickup_cluster", "_dropoff_cluster")
-    traffic = cluster_traffic(located, "_pickup_cluster", "_dropoff_cluster")
-    heavy = [r["cluster"] for r in heavy_clusters(traffic, quantile).collect()]  # at most k rows
+def heavy_cluster_features(
+    located: DataFrame, pickup: str, dropoff: str, quantile: float = 0.9, centres: Sequence[Sequence[float]] | None = None
+) -> DataFrame:
+    """Distances to the heavy clusters by trip id, for trips that already hold their clusters.
+
+    ``centres`` are those of the fit that located the trips; without one, the mean points of the
+    heavy clusters stand in.
+    """
+    traffic = cluster_traffic(located, pickup, dropoff)
+    heavy = [r["cluster"] for r in heavy_clusters(traffic, quantile).collect()]  # at most one row per cluster
+    points = centres if centres is not None else mean_centres(located, pickup, dropoff, heavy)
     ends = [f"{e}_{axis}" for e in ENDS for axis in ("latitude", "longitude")]
-    return with_heavy_cluster_distances(df.select("id", *ends), model.clusterCenters(), heavy).drop(*ends)
+    return with_heavy_cluster_distances(located.select("id", *ends), points, heavy).drop(*ends)

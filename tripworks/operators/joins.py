@@ -8,13 +8,20 @@ from operator import or_
 
 from pyspark.sql import DataFrame, functions as F
 
-# A lookup up to this many narrow rows is broadcast; a larger one is shuffled.
-BROADCAST_ROWS = 200_000
-# A key is heavy when it has more than 1/HEAVY_SHARE of the rows, so there are fewer than
-# HEAVY_SHARE heavy keys in any data and their list is always small enough to broadcast.
-HEAVY_SHARE = 1_000
-# All rows are cut into about this many slices; a heavy key gets its share of them.
-SLICES = 10_000
+# A lookup of up to this many bytes, by its rows and the default size of their types, is broadcast.
+BROADCAST_BYTES = 32 * 1024 * 1024
+# Rows of one key that may meet in one task of a shuffle join; a key with more is cut into slices.
+# There are at most (rows / SLICE_ROWS) such keys, so their list stays short whatever the data.
+SLICE_ROWS = 2_000_000
+
+
+def _row_bytes(df: DataFrame) -> int:
+    return df._jdf.schema().defaultSize()
+
+
+def fits_broadcast(lookup: DataFrame, rows: int | None) -> bool:
+    """Whether a lookup of at most ``rows`` rows is small enough to send to every task."""
+    return rows is not None and rows * _row_bytes(lookup) <= BROADCAST_BYTES
 
 
 def attach(
@@ -25,31 +32,31 @@ def attach(
     rows: int | None = None,
     spread: str = "id",
     key_counts: DataFrame | None = None,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Left join ``lookup`` on ``keys``. ``rows`` is a proven or measured bound on its size.
 
     Rows whose key is missing never match and get NULL, like keys not in the lookup. For a large
     lookup, ``key_counts`` may hold the rows of ``df`` per key in ``_rows`` if they are known.
     """
-    if rows is not None and rows <= BROADCAST_ROWS:
+    if fits_broadcast(lookup, rows):
         return df.join(F.broadcast(lookup), list(keys), "left")
     if key_counts is None:
         key_counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return _attach_sliced(df, lookup, list(keys), spread, key_counts)
+    return _attach_sliced(df, lookup, list(keys), spread, key_counts, slice_rows)
 
 
 def _attach_sliced(
-    df: DataFrame, lookup: DataFrame, keys: list[str], spread: str, key_counts: DataFrame
+    df: DataFrame, lookup: DataFrame, keys: list[str], spread: str, key_counts: DataFrame, slice_rows: int
 ) -> DataFrame:
     """Shuffle join where heavy keys are cut into slices and missing keys are scattered.
 
     A row of a heavy key goes to the slice its ``spread`` column hashes to, and the one lookup row
-    of that key is repeated once per slice: about SLICES extra rows over all heavy keys together.
+    of that key is repeated once per slice.
     """
-    total = key_counts.agg(F.sum("_rows")).scalar()
     heavy = F.broadcast(
-        key_counts.where(F.col("_rows") * F.lit(HEAVY_SHARE) > total).select(
-            *keys, F.ceil(F.col("_rows") * F.lit(SLICES) / total).cast("int").alias("_slices")
+        key_counts.where(F.col("_rows") > slice_rows).select(
+            *keys, F.ceil(F.col("_rows") / F.lit(slice_rows)).cast("int").alias("_slices")
         )
     )
     no_slice = F.array(F.lit(0))
@@ -62,7 +69,7 @@ def _attach_sliced(
     scatter = F.xxhash64(F.col(spread))
     sliced = df.join(heavy, keys, "left").withColumn(
         "_slice",
-        F.when(key_missing, 1 + F.pmod(scatter, F.lit(SLICES)).cast("int"))
+        F.when(key_missing, -1 - F.pmod(scatter, F.lit(1 << 30)).cast("int"))
         .when(F.col("_slices").isNotNull(), 1 + F.pmod(scatter, F.col("_slices")).cast("int"))
         .otherwise(0),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from math import ceil, log
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -96,72 +97,114 @@ def check_before_modelling(df: DataFrame, features: Sequence[str]) -> dict[str,
 
 # --- distributions --------------------------------------------------------------------------------
 
-# Exact percentiles keep one counter per distinct value in one task, so that many may meet there.
-MAX_DISTINCT = 1_000_000
+# Values of one rank's bracket that may meet in one task to be sorted out exactly.
+FEW_VALUES = 10_000
 _SKETCH_ACCURACY = 10_000
 
 
-def _few_distinct(df: DataFrame, columns: Sequence[str], limit: int) -> set[str]:
-    """Columns that surely have at most ``limit`` values, allowing for the sketch's error."""
-    sketches = [F.approx_count_distinct(f"`{c}`", 0.01) for c in columns]
-    return {c for c, n in zip(columns, df.agg(*sketches).first()) if n * 1.1 <= limit}
+@dataclass
+class _Search:
+    """The search for one rank of one column: all that is left lies strictly between two values."""
 
+    value: Column
+    rank: int  # among the values left, from 0
+    left: int
+    low: float | None = None
+    high: float | None = None
+    found: float | None = None
 
-def exact_percentiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float | None]:
-    """Percentiles with linear interpolation, equal to ``percentile`` but safe for any column.
+    def inside(self) -> Column:
+        """The value where it is still looked at, else NULL."""
+        here = self.value.isNotNull()
+        if self.low is not None:
+            here = here & (self.value > self.low)
+        if self.high is not None:
+            here = here & (self.value < self.high)
+        return F.when(here, self.value)
 
-    A column with few distinct values takes one pass. Otherwise a sketch brackets each wanted rank
-    and only the values inside the bracket are looked at again, until few enough are left. The
-    driver holds a handful of numbers per round.
-    """
-    values = df.select(F.col(f"`{column}`").cast("double").alias("v")).where(F.col("v").isNotNull())
-    if _few_distinct(values, ["v"], MAX_DISTINCT):
-        return list(values.agg(F.percentile("v", F.array(*map(F.lit, shares)))).first()[0] or [None] * len(shares))
-    return _ranked_percentiles(values, shares)
-
-
-def _ranked_percentiles(values: DataFrame, shares: Sequence[float]) -> list[float]:
-    rows = values.count()
-    found = []
-    for share in shares:
-        place = share * (rows - 1)
-        low = value_at_rank(values, int(place), rows)
-        high = low if int(place) == place else value_at_rank(values, int(place) + 1, rows)
-        found.append(low + (high - low) * (place - int(place)))
-    return found
 
+def _ranks(df: DataFrame, searches: Sequence[_Search], few: int) -> None:
+    """Find all ranks of all columns together; the number of passes does not depend on how many.
 
-def value_at_rank(values: DataFrame, rank: int, rows: int, max_distinct: int = MAX_DISTINCT) -> float:
-    """The value of column ``v`` at ``rank`` (from 0) in sorted order, by narrowing a bracket.
-
-    Every round counts exactly what lies below, at, between and above the bracket's ends, so a poor
-    sketch costs a round but never the result, and a value that fills the column ends the search.
+    A round brackets each open rank by a sketch of what is left for it, then counts exactly what lies
+    below, at, between and above the bracket's ends. A poor sketch costs a round but never the
+    result, and a value that fills a column ends its search. Once at most ``few`` values are left,
+    they are sorted. The driver holds a handful of numbers per rank.
     """
-    inside = values
-    while not _few_distinct(inside, ["v"], max_distinct):
-        share, slack = rank / max(rows - 1, 1), 2.0 / _SKETCH_ACCURACY
-        bracket = [max(0.0, share - slack), min(1.0, share + slack)]
-        low, high = inside.agg(F.percentile_approx("v", bracket, _SKETCH_ACCURACY)).first()[0]
-        v = F.col("v")
-        zones = [v < low, v == low, (v > low) & (v < high), (v == high) & (v > low), v > high]
-        counts = inside.agg(*(F.count_if(zone) for zone in zones)).first()
-        zone = 0
-        while rank >= counts[zone]:
-            rank -= counts[zone]
-            zone += 1
-        if zone in (1, 3):
-            return low if zone == 1 else high
-        inside, rows = inside.where(zones[zone]), counts[zone]
-    # Few distinct values are left; the discrete percentile at this share is the one at the rank.
-    share = (rank + 0.5) / rows
-    return inside.agg(F.expr(f"percentile_disc({share!r}D) WITHIN GROUP (ORDER BY v)")).first()[0]
-
-
-def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    while True:
+        open_ = [s for s in searches if s.found is None]
+        if not open_:
+            return
+        aims = []
+        for s in open_:
+            share, slack = s.rank / max(s.left - 1, 1), 2.0 / _SKETCH_ACCURACY
+            if s.left <= few:
+                aims.append(F.element_at(F.array_sort(F.collect_list(s.inside())), s.rank + 1))
+            else:
+                ends = [max(0.0, share - slack), min(1.0, share + slack)]
+                aims.append(F.percentile_approx(s.inside(), ends, _SKETCH_ACCURACY))
+        answers = df.agg(*(a.alias(f"a{i}") for i, a in enumerate(aims))).first()
+        brackets = []
+        for s, answer in zip(open_, answers):
+            if s.left <= few:
+                s.found = answer
+            else:
+                brackets.append((s, *answer))
+        if not brackets:
+            continue
+        counts = []
+        for s, low, high in brackets:
+            v = s.inside()
+            zones = (v < low, v == low, (v > low) & (v < high), (v == high) & (v > low))
+            counts += [F.count_if(zone) for zone in zones]
+        numbers = df.agg(*(c.alias(f"c{i}") for i, c in enumerate(counts))).first()
+        for i, (s, low, high) in enumerate(brackets):
+            below, at_low, between, at_high = numbers[4 * i : 4 * i + 4]
+            above = s.left - below - at_low - between - at_high
+            for size, step in (
+                (below, {"high": low}), (at_low, {"found": low}), (between, {"low": low, "high": high}),
+                (at_high, {"found": high}), (above, {"low": high}),
+            ):
+                if s.rank < size:
+                    for name, value in step.items():
+                        setattr(s, name, value)
+                    s.left = size
+                    break
+                s.rank -= size
+
+
+def exact_percentiles(
+    df: DataFrame, columns: Sequence[str], shares: Sequence[float], few: int = FEW_VALUES
+) -> dict[str, list[float | None]]:
+    """Percentiles of each column with linear interpolation, equal to ``percentile`` but safe at any size."""
+    values = {c: F.col(f"`{c}`").cast("double") for c in columns}
+    rows = df.agg(*(F.count(v).alias(f"n{i}") for i, v in enumerate(values.values()))).first()
+    wanted: dict[tuple[str, int], _Search] = {}
+    for (column, value), n in zip(values.items(), rows):
+        for share in shares if n else ():
+            place = share * (n - 1)
+            for rank in {int(place), min(int(place) + 1, n - 1)}:
+                wanted[column, rank] = _Search(value, rank, n)
+    _ranks(df, list(wanted.values()), few)
+    result = {}
+    for column, n in zip(columns, rows):
+        found = []
+        for share in shares:
+            if not n:
+                found.append(None)
+                continue
+            place = share * (n - 1)
+            low, high = wanted[column, int(place)].found, wanted[column, min(int(place) + 1, n - 1)].found
+            found.append(low + (high - low) * (place - int(place)))
+        result[column] = found
+    return result
+
+
+def describe(df: DataFrame, columns: Sequence[str], few: int = FEW_VALUES) -> DataFrame:
     """count, mean, std, min, quartiles and max per column, one row per statistic."""
     quartiles = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
-    few = _few_distinct(df, columns, MAX_DISTINCT)
-    aggregates, found = [], {}
+    found = exact_percentiles(df, columns, list(quartiles.values()), few)
+    aggregates, entries = [], []
     for i, column in enumerate(columns):
         value = F.col(f"`{column}`").cast("double")
         aggregates += [
@@ -171,16 +214,8 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.min(value).alias(f"min{i}"),
             F.max(value).alias(f"max{i}"),
         ]
-        if column in few:
-            aggregates.append(F.percentile(value, F.array(*map(F.lit, quartiles.values()))).alias(f"quartiles{i}"))
-            found[column] = [F.col(f"quartiles{i}")[j] for j in range(3)]
-        else:
-            values = df.select(value.alias("v")).where(F.col("v").isNotNull())
-            found[column] = [F.lit(q) for q in _ranked_percentiles(values, list(quartiles.values()))]
-    entries = []
-    for i, column in enumerate(columns):
         values = {s: F.col(f"{s}{i}") for s in ("count", "mean", "std", "min")}
-        values |= dict(zip(quartiles, found[column]))
+        values |= {q: F.lit(v).cast("double") for q, v in zip(quartiles, found[column])}
         values["max"] = F.col(f"max{i}")
         entries += [
             F.struct(F.lit(column).alias("column_name"), F.lit(s).alias("statistic"), v.alias("value")) for s, v in values.items()
@@ -256,21 +291,23 @@ def impute_constant(df: DataFrame, column: str, value) -> DataFrame:
 
 _SKETCH_ERROR = 0.05
 _SKETCH_REGISTERS = 512  # what Spark uses for that error
+# Up to half as many values as registers leave half of them empty. The sketch then counts by empty
+# registers, and its estimate is at most registers * ln 2, which is within the range (400) in which it does.
+SKETCHED = _SKETCH_REGISTERS // 2
 
 
 def low_cardinality_columns(df: DataFrame, max_distinct: int = 10) -> list[str]:
-    """Numeric columns with at most ``max_distinct`` values, exactly, without shuffling wide columns.
+    """Numeric columns with at most ``max_distinct`` values, exactly.
 
-    A sketch rules out the columns with many values. It cannot rule out a wanted one: so few
-    values touch at most as many registers, which caps the estimate. Exact counts are then needed
-    only for columns whose values collapse before the shuffle.
+    Up to ``SKETCHED``, a sketch rules out the columns with many values first. It cannot rule out a
+    wanted one: so few values touch at most as many registers, which caps the estimate. Above, all
+    numeric columns are counted exactly.
     """
-    numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
-    if not numeric:
-        return []
-    cap = ceil(_SKETCH_REGISTERS * log(_SKETCH_REGISTERS / (_SKETCH_REGISTERS - max_distinct))) + 1
-    estimates = df.agg(*(F.approx_count_distinct(f"`{c}`", _SKETCH_ERROR).alias(c) for c in numeric)).first()
-    maybe = [c for c in numeric if estimates[c] <= cap]
+    maybe = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
+    if maybe and max_distinct <= SKETCHED:
+        cap = ceil(_SKETCH_REGISTERS * log(_SKETCH_REGISTERS / (_SKETCH_REGISTERS - max_distinct))) + 1
+        estimates = df.agg(*(F.approx_count_distinct(f"`{c}`", _SKETCH_ERROR).alias(c) for c in maybe)).first()
+        maybe = [c for c in maybe if estimates[c] <= cap]
     if not maybe:
         return []
     exact = df.agg(*(F.count_distinct(f"`{c}`").alias(c) for c in maybe)).first()

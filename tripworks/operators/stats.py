@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tripworks.functions.numeric import ratio, round_half_even
-from tripworks.operators.joins import BROADCAST_ROWS, attach
+from tripworks.operators.joins import attach, fits_broadcast
 from tripworks.sources import schema
 from tripworks.sources.scratch import materialise
 
@@ -26,40 +26,70 @@ class KeySet:
 
 
 def grouped(
-    rows: DataFrame, key_sets: Sequence[KeySet], measures: Mapping[str, Column], sums: bool = False
+    rows: DataFrame,
+    key_sets: Sequence[KeySet],
+    measures: Mapping[str, Column],
+    sums: bool = False,
+    through: Sequence[Sequence[str]] = (),
 ) -> DataFrame:
     """Row count and mean of every measure for all key sets, on request its sum and non-null count.
 
-    Grouping sets share one scan and one shuffle of partial aggregates. ``key_set`` numbers the
-    grouping; keys that do not belong to it are NULL, and groups with a missing key are left out.
+    Grouping sets share one scan and one shuffle of partial aggregates. Key sets within one of the
+    column lists in ``through`` are derived from the groups of that list: there, rows are added up
+    once, and only groups are repeated per key set. ``key_set`` numbers the grouping; keys that do
+    not belong to it are NULL, and groups with a missing key are left out.
     """
     names = list(dict.fromkeys(k for s in key_sets for k in s.keys))
-    aggregates = [F.count(F.lit(1)).alias("n")]
+    if len({frozenset(s.keys) for s in key_sets}) != len(key_sets):
+        raise ValueError("two key sets have the same columns")
+    parts = ["n", *(f"{m}{part}" for m in measures for part in ("_sum", "_n"))]
+    values = [F.lit(1).cast("bigint").alias("n")]
     for name, column in measures.items():
-        aggregates.append(F.avg(column).alias(name))
-        if sums:
-            aggregates += [F.sum(column).alias(f"{name}_sum"), F.count(column).alias(f"{name}_n")]
-    if len(key_sets) == 1:
-        stats = rows.groupBy(*names).agg(*aggregates).withColumn("key_set", F.lit(0))
-    else:
-        sets = [[F.col(k) for k in s.keys] for s in key_sets]
-        stats = rows.groupingSets(sets, *names).agg(F.grouping_id().alias("_gid"), *aggregates)
-        gids = {
-            sum(1 << (len(names) - 1 - i) for i, name in enumerate(names) if name not in s.keys): number
-            for number, s in enumerate(key_sets)
-        }
-        if len(gids) != len(key_sets):
-            raise ValueError("two key sets have the same columns")
-        number_of = F.create_map(*(F.lit(v) for pair in gids.items() for v in pair))
-        stats = stats.withColumn("key_set", number_of[F.col("_gid").cast("int")]).drop("_gid")
+        values += [column.cast("double").alias(f"{name}_sum"), column.isNotNull().cast("bigint").alias(f"{name}_n")]
+    columns = list(dict.fromkeys([*names, *(k for family in through for k in family)]))
+    base = rows.select(*columns, *values)
+    added_up = [F.sum(p).alias(p) for p in parts]
+    kinds = dict(base.dtypes)
+
+    families: dict[tuple[str, ...], list[int]] = {}
+    for number, s in enumerate(key_sets):
+        home = next((tuple(f) for f in through if set(s.keys) <= set(f)), ())
+        families.setdefault(home, []).append(number)
+    whole = None
+    for family, numbers in families.items():
+        source = base.groupBy(*family).agg(*added_up) if family else base
+        part = _grouping_sets(source, {n: key_sets[n] for n in numbers}, added_up)
+        missing = [k for k in names if k not in part.columns]
+        part = part.select(*part.columns, *(F.lit(None).cast(kinds[k]).alias(k) for k in missing))
+        whole = part if whole is None else whole.unionByName(part)
+
     keep = F.lit(False)
     for number, s in enumerate(key_sets):
-        whole = F.col("key_set") == number
+        full = F.col("key_set") == number
         for key in s.keys:
-            whole = whole & F.col(key).isNotNull()
-        keep = keep | (whole & (F.col("n") > s.min_count))
-    parts = ("", "_sum", "_n") if sums else ("",)
-    return stats.where(keep).select("key_set", *names, "n", *(f"{m}{part}" for m in measures for part in parts))
+            full = full & F.col(key).isNotNull()
+        keep = keep | (full & (F.col("n") > s.min_count))
+    shown = []
+    for m in measures:
+        shown.append(F.try_divide(f"{m}_sum", f"{m}_n").alias(m))
+        shown += [f"{m}_sum", f"{m}_n"] if sums else []
+    return whole.where(keep).select("key_set", *names, "n", *shown)
+
+
+def _grouping_sets(rows: DataFrame, key_sets: Mapping[int, KeySet], aggregates: Sequence[Column]) -> DataFrame:
+    """The aggregates of numbered key sets; keys that do not belong to a set are NULL."""
+    if len(key_sets) == 1:
+        number, only = next(iter(key_sets.items()))
+        return rows.groupBy(*only.keys).agg(*aggregates).withColumn("key_set", F.lit(number))
+    sets = [[F.col(k) for k in s.keys] for s in key_sets.values()]
+    used = list(dict.fromkeys(k for s in key_sets.values() for k in s.keys))
+    stats = rows.groupingSets(sets, *used).agg(F.grouping_id().alias("_gid"), *aggregates)
+    gids = {
+        sum(1 << (len(used) - 1 - i) for i, name in enumerate(used) if name not in s.keys): number
+        for number, s in key_sets.items()
+    }
+    number_of = F.create_map(*(F.lit(v) for pair in gids.items() for v in pair))
+    return stats.withColumn("key_set", number_of[F.col("_gid").cast("int")]).drop("_gid")
 
 
 def group_means(
@@ -103,16 +133,12 @@ def attach_statistics(
     are not passed on.
     """
     stored = materialise(stats, "group-stats")
-    measured: dict[int, int] = {}
-    needs_count = any(s.max_groups is None or s.max_groups > BROADCAST_ROWS for s in key_sets)
-    if needs_count:
-        measured = {r["key_set"]: r["count"] for r in stored.groupBy("key_set").count().collect()}
     # Every join copies the row it extends. Packed into one struct, a wide row is a single value to
     # copy, and what each lookup adds is another; they are unpacked once at the end.
     shown = [c for c in df.columns if c not in hide]
     needed = dict.fromkeys([*(["id", "split"] if own else ["id"]), *(k for s in key_sets for k in s.keys), *own])
     packed = df.select(F.struct(*shown).alias("_row"), *needed)
-    unpacked = []
+    unpacked, lookups = [], []
     for number, s in enumerate(key_sets):
         features = []
         for statistic, name in s.attach.items():
@@ -124,12 +150,14 @@ def attach_statistics(
             else:
                 features.append(F.col(statistic).alias(name))
             unpacked.append(found.alias(name))
-        lookup = stored.where(F.col("key_set") == number).select(
-            *s.keys, F.struct(*features).alias(f"_found{number}")
-        )
-        rows = measured.get(number, 0) if needs_count else s.max_groups
+        found_here = stored.where(F.col("key_set") == number)
+        lookups.append(found_here.select(*s.keys, F.struct(*features).alias(f"_found{number}")))
+    proven = all(fits_broadcast(lookup, s.max_groups) for lookup, s in zip(lookups, key_sets))
+    measured = {} if proven else {r["key_set"]: r["count"] for r in stored.groupBy("key_set").count().collect()}
+    for number, (s, lookup) in enumerate(zip(key_sets, lookups)):
+        rows = s.max_groups if proven else measured.get(number, 0)
         counts = None
-        if rows is None or rows > BROADCAST_ROWS:  # count the keys on the frame that came in, not on the joins so far
+        if not fits_broadcast(lookup, rows):  # count the keys on the frame that came in, not on the joins so far
             counts = df.groupBy(*s.keys).agg(F.count(F.lit(1)).alias("_rows"))
         packed = attach(packed, lookup, s.keys, rows=rows, key_counts=counts)
     return packed.select("_row.*", *unpacked)
@@ -213,6 +241,16 @@ def with_sine_keys(df: DataFrame) -> DataFrame:
     )
 
 
+# Hour and weekday follow from the hour of the week, so they add no groups to a list that holds it.
+WEEK_HOUR_KEYS = ("pickup_week_hour", "pickup_hour", "pickup_weekday")
+
+
+def _families(key_sets: Sequence[KeySet]) -> list[tuple[str, ...]]:
+    """For each largest set with the hour of the week, the list its smaller sets can be derived from."""
+    whole = [s.keys for s in key_sets if "pickup_week_hour" in s.keys and len(s.keys) > 1]
+    return [(*WEEK_HOUR_KEYS, *(k for k in keys if k not in WEEK_HOUR_KEYS)) for keys in whole]
+
+
 def with_group_features(
     df: DataFrame,
     key_sets: Sequence[KeySet],
@@ -223,7 +261,8 @@ def with_group_features(
     """Means over training rows, attached to all rows. ``df`` holds the target columns."""
     keyed = with_sine_keys(df)
     measures = {t: F.col(t) for t in targets}
-    stats = grouped(keyed.where(F.col("split") == schema.TRAIN), key_sets, measures, sums=leave_one_out)
+    train = keyed.where(F.col("split") == schema.TRAIN)
+    stats = grouped(train, key_sets, measures, sums=leave_one_out, through=_families(key_sets))
     hide = (WEEK_SINE_KEY, HOUR_SINE_KEY, *(() if keep_targets else targets))
     return attach_statistics(keyed, stats, key_sets, targets if leave_one_out else (), hide)
 

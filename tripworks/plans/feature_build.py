@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+import hashlib
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame
 
 from tripworks.operators import cluster, enrich, features, profile, rows, stats, traffic
 from tripworks.sources import schema
 from tripworks.sources.scratch import materialise
-from tripworks.sources.stages import StageStore
+from tripworks.sources.stages import FeatureCache, StageStore, join_features
 
 LAST_STAGE = 7
 
@@ -24,7 +25,8 @@ class Config:
     cluster_iterations: int = 20
     min_count: int = 100
     max_missing_rate: float = 1.0
-    weather_year: int = 2016
+    # Takes the place of the years in the weather table, for trips of another year than its own.
+    weather_year: int | None = None
     weekend_days: tuple[int, ...] = (0, 6)
     max_distance: float | None = None
     max_duration: float | None = None
@@ -37,6 +39,15 @@ class Config:
     locate: Callable[[DataFrame], DataFrame] | None = None
     cluster_columns: tuple[str, str] | None = None
 
+    # Keeps window traffic and heavy clusters between builds if given.
+    cache: FeatureCache | None = None
+
+    def digest(self) -> str:
+        """Short name of all settings that decide what is built."""
+        settings = {f.name: getattr(self, f.name) for f in fields(self) if f.name != "cache"}
+        settings["locate"] = self.locate and f"{self.locate.__module__}.{self.locate.__qualname__}"
+        return hashlib.md5(repr(sorted(settings.items())).encode()).hexdigest()[:12]
+
     @property
     def pickup_cluster(self) -> str:
         return self.cluster_columns[0] if self.cluster_columns else schema.pickup_cluster(self.clusters)
@@ -61,21 +72,30 @@ def clean(df: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
-def locate(df: DataFrame, cfg: Config) -> DataFrame:
-    """Add cluster ids and targets. Everything after reads this frame more than once, so write it."""
+Centres = Sequence[Sequence[float]]
+
+
+def locate(df: DataFrame, cfg: Config) -> tuple[DataFrame, Centres | None]:
+    """Add cluster ids and targets, and tell the centres if they were fitted here.
+
+    Everything after reads this frame more than once, so write it.
+    """
+    centres = None
     if cfg.locate is not None:
         located = cfg.locate(df)
     else:
         model = cluster.fit_location_clusters(df, cfg.clusters, cfg.cluster_seed, cfg.cluster_iterations)
-        located = cluster.assign_clusters(df, model)
-    return materialise(features.with_targets(located), "located")
+        centres = model.clusterCenters()  # fewer than cfg.clusters if there are fewer points
+        located = cluster.assign_to_centres(df, centres, cfg.pickup_cluster, cfg.dropoff_cluster)
+    return materialise(features.with_targets(located), "located"), centres
 
 
 def group_features(located: DataFrame, cfg: Config) -> DataFrame:
     """Single-key and multi-key statistics in one pass over the training rows, joined to all rows."""
+    bound = cfg.clusters if cfg.locate is None else None  # nothing bounds ids that come from elsewhere
     key_sets = [
-        *stats.single_key_sets(cfg.pickup_cluster, cfg.dropoff_cluster, cfg.clusters),
-        *stats.multi_key_sets(cfg.pickup_cluster, cfg.dropoff_cluster, cfg.clusters, cfg.min_count),
+        *stats.single_key_sets(cfg.pickup_cluster, cfg.dropoff_cluster, bound),
+        *stats.multi_key_sets(cfg.pickup_cluster, cfg.dropoff_cluster, bound, cfg.min_count),
     ]
     return stats.with_group_features(located, key_sets, leave_one_out=cfg.leave_one_out, keep_targets=False)
 
@@ -86,20 +106,43 @@ def drop_sparse(df: DataFrame, cfg: Config) -> DataFrame:
     return profile.drop_sparse_columns(df, cfg.max_missing_rate, keep=("id", "split", "trip_duration"))
 
 
-def other_features(df: DataFrame, cfg: Config, located: DataFrame | None = None) -> DataFrame:
+def traffic_features(located: DataFrame, cfg: Config) -> DataFrame:
+    """Traffic in the time windows by trip id, counted on the few columns it needs."""
+    times = ("pickup_datetime", "dropoff_datetime")
+    narrow = located.select("id", *times, cfg.pickup_cluster, cfg.dropoff_cluster)
+    counted = traffic.with_pickup_traffic(narrow, cfg.window_minutes, cfg.pickup_cluster)
+    counted = traffic.with_dropoff_traffic(counted, cfg.window_minutes, cfg.dropoff_cluster, source=narrow)
+    return counted.drop(*times, cfg.pickup_cluster, cfg.dropoff_cluster)
+
+
+def heavy_features(located: DataFrame, cfg: Config, centres: Centres | None = None) -> DataFrame:
+    """Distances to the heavy clusters by trip id."""
+    return cluster.heavy_cluster_features(located, cfg.pickup_cluster, cfg.dropoff_cluster, cfg.heavy_quantile, centres)
+
+
+def other_features(
+    df: DataFrame, cfg: Config, located: DataFrame | None = None, centres: Centres | None = None
+) -> DataFrame:
     """Binary flags, and on request window traffic and distances to heavy clusters.
 
-    Traffic and clusters are counted on the located trips, so none of the features joined since
-    then is computed again for them.
+    Traffic and clusters are counted on the located trips and come as narrow frames by trip id. The
+    wide frame meets them, and the routes after them, by the same key, so it is shuffled once. With
+    a cache they are kept there under the parameters they depend on.
     """
     located = located or df
+
+    def kept(name: str, build: Callable[[], DataFrame], **parameters) -> DataFrame:
+        if cfg.cache is None:
+            return build()
+        return cfg.cache.get(name, {"config": cfg.digest(), **parameters}, build)
+
     df = features.with_binary_flags(df)
     if cfg.window_minutes:
-        df = traffic.with_pickup_traffic(df, cfg.window_minutes, cfg.pickup_cluster, located)
-        df = traffic.with_dropoff_traffic(df, cfg.window_minutes, cfg.dropoff_cluster, source=located)
+        minutes = "-".join(map(str, cfg.window_minutes))
+        df = join_features(df, kept("traffic", lambda: traffic_features(located, cfg), minutes=minutes))
     if cfg.heavy_quantile is not None:
-        heavy = cluster.heavy_cluster_features(located, cfg.clusters, cfg.heavy_quantile, cfg.cluster_seed)
-        df = df.join(heavy, "id", "left")
+        build = lambda: heavy_features(located, cfg, centres)
+        df = join_features(df, kept("heavy_clusters", build, quantile=cfg.heavy_quantile))
     return df
 
 
@@ -113,7 +156,7 @@ def side_features(
     streets = enrich.join_routes(trips.select("id", "split", "trip_duration"), routes)
     df = enrich.with_step_ratios(enrich.join_routes(df, routes))
     df = enrich.drop_route_steps(stats.with_street_encoding(df, streets))
-    return enrich.join_weather(df, weather, cfg.weather_year)
+    return enrich.join_weather(df, weather, year=cfg.weather_year)
 
 
 def final_features(df: DataFrame, cfg: Config) -> DataFrame:
@@ -126,14 +169,15 @@ def build_features(
 ) -> DataFrame:
     """All features of all trips, one row per trip of ``trips``.
 
-    With a store, each stage is written under its number and a finished one is read back instead
-    of being built again; without one only the frames that are read twice are written.
+    With a store, each stage is written under its number, apart for each configuration, and a
+    finished one is read back instead of being built again; without one only the frames that are
+    read twice are written.
     """
-    located: list[DataFrame] = []
+    found: list = [None, None]  # located trips and centres, if this run made them
 
     def clusters_and_groups(df: DataFrame) -> DataFrame:
-        located.append(locate(df, cfg))
-        return group_features(located[0], cfg)
+        found[:] = locate(df, cfg)
+        return group_features(found[0], cfg)
 
     steps: list[Callable[[DataFrame], DataFrame]] = [
         rows.encode_flag,
@@ -141,7 +185,7 @@ def build_features(
         lambda df: clean(df, cfg),
         clusters_and_groups,
         lambda df: drop_sparse(df, cfg),
-        lambda df: other_features(df, cfg, located[0] if located else None),
+        lambda df: other_features(df, cfg, *found),
         lambda df: side_features(df, trips, routes, weather, cfg),
         lambda df: final_features(df, cfg),
     ]
@@ -150,6 +194,7 @@ def build_features(
         for step in steps:
             df = step(df)
         return df
+    store = store.under(cfg.digest())
     done = next((n for n in range(LAST_STAGE, -1, -1) if store.exists(n)), -1)
     if done >= 0:
         df = store.load(done)

@@ -8,11 +8,12 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Estimator
-from pyspark.ml.evaluation import Evaluator
+from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tripworks.functions.numeric import from_log_target, log_target, numeric_id
@@ -83,14 +84,51 @@ def fold_means(per_fold: DataFrame) -> DataFrame:
     return per_fold.agg(*(F.avg(c).alias(c) for c in ("mse", "rmse", "rmsle")))
 
 
-class LogErrorEvaluator(Evaluator):
-    """Root mean squared error of log(1+duration), for model selection."""
+# What a sweep may look at: root mean squared error on the log scale, or of log(1 + duration).
+METRICS: dict[str, Callable[[Column, Column], Column]] = {"rmse": squared_error, "rmsle": squared_log_error}
 
-    def _evaluate(self, dataset: DataFrame) -> float:
-        return dataset.agg(F.sqrt(F.avg(squared_log_error(F.col("label"), F.col("prediction"))))).first()[0]
 
-    def isLargerBetter(self) -> bool:
-        return False
+# --- a learner that SQL can state -----------------------------------------------------------------
+
+
+class GroupMean(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
+    """Mean label by the value of the first feature, drawn to the overall mean by ``weight`` rows of it.
+
+    A baseline for the boosted trees, and the learner whose folds and sweeps are checked against SQL.
+    The first feature must be a category of at most ``MOST_GROUPS`` values.
+    """
+
+    MOST_GROUPS = 10_000
+    weight = Param(Params._dummy(), "weight", "rows of the overall mean added to each group", TypeConverters.toFloat)
+
+    def __init__(self, weight: float = 0.0):
+        super().__init__()
+        self._set(weight=weight)
+
+    def _fit(self, dataset: DataFrame) -> GroupMeanModel:
+        label, group = F.col(self.getLabelCol()), vector_to_array(F.col(self.getFeaturesCol()))[0]
+        sums = dataset.groupBy(group.alias("g")).agg(F.sum(label).alias("s"), F.count(label).alias("n"))
+        groups = sums.where("n > 0").limit(self.MOST_GROUPS + 1).collect()
+        if len(groups) > self.MOST_GROUPS:
+            raise ValueError("the first feature has too many values for a category")
+        total, rows = sum(r["s"] for r in groups), sum(r["n"] for r in groups)
+        overall, weight = total / rows if rows else 0.0, self.getOrDefault(self.weight)
+        means = {r["g"]: (r["s"] + weight * overall) / (r["n"] + weight) for r in groups}
+        return self._copyValues(GroupMeanModel(means, overall))
+
+
+class GroupMeanModel(Model, HasFeaturesCol, HasLabelCol, HasPredictionCol):
+    weight = GroupMean.weight
+
+    def __init__(self, means: Mapping[float, float], overall: float):
+        super().__init__()
+        self.means, self.overall = means, overall
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        group = vector_to_array(F.col(self.getFeaturesCol()))[0]
+        lookup = F.create_map(*(F.lit(float(x)) for pair in self.means.items() for x in pair))
+        known = F.try_element_at(lookup, group) if self.means else F.lit(None)
+        return dataset.withColumn(self.getPredictionCol(), F.coalesce(known, F.lit(self.overall)))
 
 
 # --- fitting --------------------------------------------------------------------------------------
@@ -102,16 +140,25 @@ def _for_each_fold(spark: SparkSession, folds: int, work: Callable[[int], Any],
         return list(pool.map(inheritable_thread_target(spark)(work), range(folds)))
 
 
-def best_rounds(train: DataFrame, learner: GBTRegressor, folds: int, parallelism: int = 2) -> int:
-    """Number of boosting rounds with the lowest mean validation error over the folds."""
+def best_rounds(
+    train: DataFrame, learner: GBTRegressor, folds: int, parallelism: int = 2, tolerance: float = 0.001
+) -> int:
+    """Number of boosting rounds with the lowest mean validation error over the folds.
+
+    Each fold stops adding trees once they improve its held-out error by less than ``tolerance`` of
+    it; from there on its error counts as unchanged.
+    """
+    early = {learner.validationIndicatorCol: "_held_out", learner.validationTol: tolerance}
 
     def errors(i: int) -> list[float]:
-        model = learner.fit(train.where(F.col("fold") != i))
-        return model.evaluateEachIteration(train.where(F.col("fold") == i), "squared")
+        marked = train.withColumn("_held_out", F.col("fold") == i)
+        model = learner.copy(early).fit(marked)
+        return model.evaluateEachIteration(marked.where("_held_out"), "squared")
 
     per_fold = _for_each_fold(train.sparkSession, folds, errors, parallelism)
-    means = [sum(step) / folds for step in zip(*per_fold)]
-    return min(range(len(means)), key=means.__getitem__) + 1
+    longest = max(map(len, per_fold))
+    means = [sum(e[min(i, len(e) - 1)] for e in per_fold) / folds for i in range(longest)]
+    return min(range(longest), key=means.__getitem__) + 1
 
 
 def boosted_predictions(
@@ -181,32 +228,48 @@ class Tuned:
 
 
 def tune_parameter(
-    train: DataFrame, learner: Estimator, parameter: str, values: Sequence[Any], folds: int = 3, parallelism: int = 2
+    train: DataFrame,
+    learner: Estimator,
+    parameter: str,
+    values: Sequence[Any],
+    folds: int = 3,
+    parallelism: int = 2,
+    metric: str = "rmse",
 ) -> tuple[Estimator, Tuned]:
-    """Cross-validate one parameter with the others fixed; the learner returned holds the best value."""
-    param = learner.getParam(parameter)
-    search = CrossValidator(
-        estimator=learner,
-        estimatorParamMaps=ParamGridBuilder().addGrid(param, list(values)).build(),
-        evaluator=LogErrorEvaluator(),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
-    errors = [float(e) for e in search.fit(train).avgMetrics]
+    """Cross-validate one parameter with the others fixed; the learner returned holds the best value.
+
+    The error of a value is the mean over the folds of the error on the fold left out; of equally
+    good values the first is taken. Only the fits that are scored are made.
+    """
+    param, error = learner.getParam(parameter), METRICS[metric]
+
+    def score(task: int) -> float:
+        value, fold = values[task // folds], task % folds
+        model = learner.copy({param: value}).fit(train.where(F.col("fold") != fold))
+        scored = model.transform(train.where(F.col("fold") == fold))
+        return scored.agg(F.sqrt(F.avg(error(F.col("label"), F.col("prediction"))))).first()[0]
+
+    scores = _for_each_fold(train.sparkSession, len(values) * folds, score, parallelism)
+    errors = [sum(scores[i * folds : (i + 1) * folds]) / folds for i in range(len(values))]
     best = values[min(range(len(errors)), key=errors.__getitem__)]
     return learner.copy({param: best}), Tuned(parameter, best, list(zip(values, errors)))
 
 
 def sweep(
-    df: DataFrame, learner: Estimator, grid: Mapping[str, Sequence[Any]], folds: int = 3, parallelism: int = 2, **frame_settings
+    df: DataFrame,
+    learner: Estimator,
+    grid: Mapping[str, Sequence[Any]],
+    folds: int = 3,
+    parallelism: int = 2,
+    metric: str = "rmse",
+    **frame_settings,
 ) -> tuple[Estimator, DataFrame]:
-    """Tune the parameters one after another. Returns the tuned learner and the table of errors."""
+    """Tune the parameters one after another. Returns the tuned learner and the table of errors, values as text."""
     frame = materialise(model_frame(df, folds=folds, **frame_settings), "model-frame")
     train = frame.where(F.col("split") == TRAIN)
     report = []
     for parameter, values in grid.items():
-        learner, tuned = tune_parameter(train, learner, parameter, values, folds, parallelism)
-        report += [(parameter, float(v), e, v == tuned.best) for v, e in tuned.errors]
-    table = df.sparkSession.createDataFrame(report, "parameter string, value double, error double, best boolean")
+        learner, tuned = tune_parameter(train, learner, parameter, values, folds, parallelism, metric)
+        report += [(parameter, str(v), e, v == tuned.best) for v, e in tuned.errors]
+    table = df.sparkSession.createDataFrame(report, "parameter string, value string, error double, best boolean")
     return learner, table

@@ -12,6 +12,7 @@ COORDINATES = ("pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropo
 
 
 COARSE = {"pca_direction": 4}
+GIVEN_CENTRES = [(40.64 + 0.035 * i, -74.01 + 0.045 * j) for i in range(5) for j in range(5)]
 
 
 def r6(expression: str, digits: int = 6) -> str:
@@ -51,11 +52,14 @@ select concat('id', lpad(cast(l_orderkey as varchar), cast(greatest(7, length(ca
 from lineitem join part on l_partkey = p_partkey group by l_orderkey
 """
 
+TRACED = ("precipitation", "snow_fall", "snow_depth")
 WEATHER = """
 select distinct concat(cast(day(o_orderdate) as varchar), '-', cast(month(o_orderdate) as varchar), '-',
  cast(year(o_orderdate) as varchar)) as date,
- case when day(o_orderdate) % 7 = 0 then 'T' else cast(day(o_orderdate) % 5 as varchar) end as snow_fall
-from orders where year(o_orderdate) = 1996
+ case when day(o_orderdate) % 6 = 0 then 'T' else '0.' || cast(day(o_orderdate) % 10 as varchar) end as precipitation,
+ case when day(o_orderdate) % 7 = 0 then 'T' else cast(day(o_orderdate) % 5 as varchar) end as snow_fall,
+ case when day(o_orderdate) % 11 = 0 then 'T' else cast(day(o_orderdate) % 3 as varchar) end as snow_depth
+from orders
 """
 
 
@@ -184,8 +188,10 @@ STEPS = [
     ),
     (
         "daily",
-        "select make_date(1996, cast(split_part(date, '-', 2) as integer), cast(split_part(date, '-', 1) as integer)) as day, "
-        "case when snow_fall = 'T' then -1.0::double else cast(snow_fall as double) end as snow_fall from weather",
+        "select make_date(cast(split_part(date, '-', 3) as integer), cast(split_part(date, '-', 2) as integer), "
+        "cast(split_part(date, '-', 1) as integer)) as day, "
+        + ", ".join(f"case when {c} = 'T' then -1.0::double else cast({c} as double) end as {c}" for c in TRACED)
+        + " from weather",
     ),
     (
         "street_means",
@@ -267,6 +273,19 @@ def _dropoff_windows(minutes, side="after"):
     return [_window("base", "dropoff_cell", "dropoff_datetime", m, side, f"this_dropoff_cellpre_{m}minutes_traffic") for m in minutes]
 
 
+def _hour_means(folds: int, weight: str) -> str:
+    """CTEs: labelled trips, and the mean label by hour that each fold's model holds. All folds hold all hours."""
+    return (
+        f"with labelled as (select id, pickup_hour, ln(trip_duration) as label, {FOLD.format(n=folds)} as fold from train), "
+        "test as (select id, pickup_hour from base where split = 'test'), "
+        "sums as (select fold, pickup_hour, sum(label) as s, count(*) as n from labelled group by all), "
+        "hours as (select pickup_hour, sum(s) as s, sum(n) as n from sums group by all), "
+        "wholes as (select fold, (select sum(s) from sums) - sum(s) as s, (select sum(n) from sums) - sum(n) as n from sums group by fold), "
+        f"by_hour as (select w.fold, h.pickup_hour, (h.s - coalesce(f.s, 0) + {weight} * w.s / w.n) / (h.n - coalesce(f.n, 0) + {weight}) as p "
+        "from hours h cross join wholes w left join sums f on f.fold = w.fold and f.pickup_hour = h.pickup_hour)"
+    )
+
+
 def _levels(source: str, levels, measures: dict[str, str]) -> str:
     """Long form of several groupings; groups with a missing key are left out."""
     parts = []
@@ -425,11 +444,6 @@ def _bodies() -> dict[str, str]:
         for e in ("pickup", "dropoff")
         for kind, f in (("haversine", haversine), ("bearing", bearing))
     )
-    heavy_long = " union all ".join(
-        f"select id, '{e}_heavy_traffic_cluster' || cluster || '_{kind}' as name, {e}_{kind} as value from far"
-        for e in ("pickup", "dropoff")
-        for kind in ("haversine", "bearing")
-    )
     return {
         "trips_base": f"select id, split, vendor_id, pickup_datetime, dropoff_datetime, passenger_count, {_r(*COORDINATES)}, "
         f"trip_duration, {FLAG} as is_store_and_fwd_flag from trips",
@@ -517,7 +531,7 @@ def _bodies() -> dict[str, str]:
         "notnull_steps": "select id, split, step_direction from trips join routes using (id) where step_direction is not null",
         "second_routes": f"select trips.id as id, {PLAIN_STEPS}, total_distance as second_total_distance, "
         "total_travel_time as second_total_travel_time, number_of_steps as second_number_of_steps from trips left join routes using (id)",
-        "weather_join": f"select id, pickup_datetime, {r6_as('daily.snow_fall', 'snow_fall')} from trips "
+        "weather_join": f"select id, pickup_datetime, {', '.join(r6_as(f'daily.{c}', c) for c in TRACED)} from trips "
         "left join daily on daily.day = cast(pickup_datetime as date)",
         "step_count_distribution": _levels(
             "(select " + ", ".join(f"{e} as steps_{w}_count" for w, e in step_count.items()) + " from routes)",
@@ -533,10 +547,9 @@ def _bodies() -> dict[str, str]:
         "rolling_trip_count": f"select id, {_window('trips', None, 'pickup_datetime', 60, 'trailing', 'count_60min')} from trips",
         "cluster_traffic": "select cluster, traffic from cell_traffic",
         "heavy_clusters": "select cluster, traffic from heavy",
-        "heavy_cell_distances": f"pivot (with far as (select id, cluster, {heavy_values} from trips, "
+        "heavy_cell_distances": f"select id, cluster, {heavy_values} from trips, "
         "(select cluster, 40.63::double + (cluster // 100 + 0.5::double) * 0.05::double as lat, "
-        "-74.03::double + (cluster % 100 + 0.5::double) * 0.05::double as lng from heavy)) "
-        f"{heavy_long}) on name using first(value) group by id",
+        "-74.03::double + (cluster % 100 + 0.5::double) * 0.05::double as lng from heavy)",
         "missing_profile": _missing(TRIP_COLUMNS),
         "drift_check": _drift(DRIFT_COLUMNS),
         "drift_worst": f"select * from ({_drift(DRIFT_COLUMNS)}) order by train_test_mean_diff desc nulls last, feature limit 5",
@@ -552,10 +565,10 @@ def _bodies() -> dict[str, str]:
         "lowcard_impute": "select id, cast(coalesce(vendor_id, -1) as tinyint) as vendor_id, "
         f"cast(coalesce(passenger_count, -1) as tinyint) as passenger_count, trip_duration, {_r('pickup_latitude')} from trips",
         "counts_by_category": _levels(
-            "(select *, cast(pickup_datetime as date) as pickup_date from train)",
+            "(select *, cast(pickup_datetime as date) as pickup_date from base)",
             [
-                *((n,) for n in "pickup_date vendor_id passenger_count store_and_fwd_flag pickup_month pickup_day pickup_hour pickup_weekday".split()),
-                ("pickup_weekday", "pickup_hour"),
+                *(("split", n) for n in "pickup_date vendor_id passenger_count store_and_fwd_flag pickup_month pickup_day pickup_hour pickup_weekday".split()),
+                ("split", "pickup_weekday", "pickup_hour"),
             ],
             {},
         ),
@@ -573,6 +586,33 @@ def _bodies() -> dict[str, str]:
         "sqrt(avg(pow(ln(1 + exp(greatest(p, 0))) - ln(1 + exp(label)), 2))) as rmsle from scored group by fold) "
         "select * from folds union all select 'mean', avg(mse), avg(rmse), avg(rmsle) from folds)",
         "all_features": _all_features(),
+        "nearest_centres": "select id, "
+        + ", ".join(
+            f"cast(list_position({e}_d, list_min({e}_d)) - 1 as integer) as {e}_centre"
+            for e in ("pickup", "dropoff")
+        )
+        + " from (select id, "
+        + ", ".join(
+            "[" + ", ".join(
+                f"({e}_latitude - {lat!r}::double) * ({e}_latitude - {lat!r}::double) + "
+                f"({e}_longitude - ({lng!r}::double)) * ({e}_longitude - ({lng!r}::double))"
+                for lat, lng in GIVEN_CENTRES
+            ) + f"] as {e}_d"
+            for e in ("pickup", "dropoff")
+        )
+        + " from trips)",
+        "cached_traffic": f"select id, split, {', '.join([*_pickup_windows((10, 15)), *_dropoff_windows((10, 15))])} from base",
+        "oof_hour_mean": f"select * from ({_hour_means(5, '20')} select id, split, fold, {r6_as('exp(p)', 'trip_duration')} from ("
+        "select id, 'train' as split, fold, pickup_hour, label from labelled) l left join by_hour using (fold, pickup_hour) "
+        f"union all select id, 'test', null, {r6('exp(avg(p))')} from test cross join (select distinct fold from labelled) f "
+        "left join by_hour using (fold, pickup_hour) group by id)",
+        "oof_hour_mean_by_fold": f"select * from ({_hour_means(5, '20')} select id, fold, {r6_as('exp(p)', 'trip_duration')} from test "
+        "cross join (select distinct fold from labelled) f left join by_hour using (fold, pickup_hour))",
+        "sweep_hour_mean": "select * from (with scores as (" + " union all ".join(
+            f"select '{w}' as value, {k} as place, avg(e) as error from ({_hour_means(3, w)} "
+            "select fold, sqrt(avg(pow(label - p, 2))) as e from labelled join by_hour using (fold, pickup_hour) group by fold)"
+            for k, w in enumerate(("0.0", "50.0", "5000.0"))
+        ) + f") select 'weight' as parameter, value, {r6_as('error', 'error')}, place = (select arg_min(place, error) from scores) as best from scores)",
     }
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -12,6 +13,8 @@ from tripworks.operators import cluster, enrich, features, profile, rows, stats,
 from tripworks.plans import feature_build, modelling
 from tripworks.session import prepare
 from tripworks.sources import fixtures, schema
+from tripworks.sources.scratch import scratch_root
+from tripworks.sources.stages import FeatureCache, join_features
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -360,8 +363,8 @@ def second_routes(spark, sf):
 
 @query
 def weather_join(spark, sf):
-    df = enrich.join_weather(_trips(spark, sf), fixtures.weather(spark, sf), 1996)
-    return df.select("id", "pickup_datetime", "snow_fall")
+    df = enrich.join_weather(_trips(spark, sf), fixtures.weather(spark, sf), enrich.TRACED_COLUMNS)
+    return df.select("id", "pickup_datetime", *enrich.TRACED_COLUMNS)
 
 
 @query
@@ -373,7 +376,7 @@ def step_count_distribution(spark, sf):
 
 @query
 def weather_counts(spark, sf):
-    return profile.counts_by(enrich.daily_weather(fixtures.weather(spark, sf), 1996), ["snow_fall"])
+    return profile.counts_by(enrich.daily_weather(fixtures.weather(spark, sf)), ["snow_fall"])
 
 
 @query
@@ -425,12 +428,18 @@ def heavy_clusters(spark, sf):
 
 @query
 def heavy_cell_distances(spark, sf):
-    """Distances to the middles of the busy cells, one column set per cell."""
+    """Distances of every trip to the middles of the busy cells, one row per trip and cell."""
     df = _trips(spark, sf).select("id", *COORDINATES)
     heavy = cluster.heavy_clusters(cluster.cluster_traffic(_celled(df), *CELLS), 0.8)
     ids = [r["cluster"] for r in heavy.collect()]  # one row per heavy cell
     middles = {c: (fixtures.SOUTH + (c // 100 + 0.5) * 0.05, fixtures.WEST + (c % 100 + 0.5) * 0.05) for c in ids}
-    return cluster.with_heavy_cluster_distances(df, middles, ids).drop(*COORDINATES)
+    wide = cluster.with_heavy_cluster_distances(df, middles, ids)
+    names = {f"{e}_{m}": (e, m) for e in cluster.ENDS for m in ("haversine", "bearing")}
+    each = [
+        F.struct(F.lit(c).alias("cluster"), *(F.col(f"{e}_heavy_traffic_cluster{c}_{m}").alias(n) for n, (e, m) in names.items()))
+        for c in ids
+    ]
+    return wide.select("id", F.inline(F.array(*each)))
 
 
 # --- profiling ------------------------------------------------------------------------------------
@@ -476,9 +485,9 @@ def lowcard_impute(spark, sf):
 
 @query
 def counts_by_category(spark, sf):
-    df = _train(_dated(spark, sf)).withColumn("pickup_date", F.to_date("pickup_datetime"))
+    df = _dated(spark, sf).withColumn("pickup_date", F.to_date("pickup_datetime"))
     names = "pickup_date vendor_id passenger_count store_and_fwd_flag pickup_month pickup_day pickup_hour pickup_weekday"
-    return profile.counts_by_category(df, [*((n,) for n in names.split()), ("pickup_weekday", "pickup_hour")])
+    return profile.counts_by_category(df, [*(("split", n) for n in names.split()), ("split", "pickup_weekday", "pickup_hour")])
 
 
 @query
@@ -529,7 +538,7 @@ def error_metrics(spark, sf):
 
 def _grid_config(**settings):
     return feature_build.Config(
-        locate=_celled, cluster_columns=CELLS, clusters=10_000, weather_year=1996, **settings
+        locate=_celled, cluster_columns=CELLS, clusters=10_000, **settings
     )
 
 
@@ -552,14 +561,61 @@ def kmeans_assign(spark, sf):
     return cluster.assign_clusters(df, model).drop(*COORDINATES)
 
 
+# Centres that are given, so that SQL can state which is nearest.
+GIVEN_CENTRES = [(40.64 + 0.035 * i, -74.01 + 0.045 * j) for i in range(5) for j in range(5)]
+
+
+@query
+def nearest_centres(spark, sf):
+    df = _trips(spark, sf).select("id", *COORDINATES)
+    return cluster.assign_to_centres(df, GIVEN_CENTRES, "pickup_centre", "dropoff_centre").drop(*COORDINATES)
+
+
 @query
 def heavy_cluster_distances(spark, sf):
-    return cluster.heavy_cluster_features(_trips(spark, sf).select("id", *COORDINATES), k=20, quantile=0.8, seed=1000)
+    df = _trips(spark, sf).select("id", *COORDINATES)
+    model = cluster.fit_location_clusters(df, k=20, seed=1000)
+    located = cluster.assign_clusters(df, model, "pickup_cluster", "dropoff_cluster")
+    return cluster.heavy_cluster_features(located, "pickup_cluster", "dropoff_cluster", 0.8, model.clusterCenters())
+
+
+@query
+def cached_traffic(spark, sf):
+    """Window traffic built into a feature cache and joined to the trips from there."""
+    trips = _trips(spark, sf)
+    cache = FeatureCache(spark, f"{scratch_root(spark)}/features-{uuid.uuid4().hex}")
+    cfg = _grid_config(window_minutes=(10, 15))
+    build = lambda: feature_build.traffic_features(_celled(trips), cfg)
+    kept = [cache.get("traffic", {"config": cfg.digest()}, build) for _ in range(2)]  # built once, read twice
+    return join_features(trips.select("id", "split"), kept[1])
 
 
 def _model_input(spark, sf):
-    df = features.with_calendar(features.with_distances(_trips(spark, sf)))
-    return rows.encode_flag(df).drop("dropoff_datetime", "pickup_datetime")
+    """The built features, as the learners take them."""
+    return feature_build.model_input(_grid_features(spark, sf, min_count=100))
+
+
+HOUR = ["pickup_hour"]
+
+
+@query
+def oof_hour_mean(spark, sf):
+    """Out-of-fold predictions of the mean log duration by hour, and its mean over the folds for test trips."""
+    result = modelling.out_of_fold(_dated(spark, sf), modelling.GroupMean(weight=20.0), features=HOUR)
+    held_out = result.train.select("id", "fold", "trip_duration", F.lit("train").alias("split"))
+    return held_out.unionByName(result.test.withColumns({"fold": F.lit(None).cast("int"), "split": F.lit("test")}))
+
+
+@query
+def oof_hour_mean_by_fold(spark, sf):
+    """What each fold's model predicts for the test trips."""
+    return modelling.out_of_fold(_dated(spark, sf), modelling.GroupMean(weight=20.0), features=HOUR).per_fold
+
+
+@query
+def sweep_hour_mean(spark, sf):
+    grid = {"weight": [0.0, 50.0, 5000.0]}
+    return modelling.sweep(_dated(spark, sf), modelling.GroupMean(), grid, folds=3, features=HOUR)[1]
 
 
 @query

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tripworks") -> SparkSession:
-    """Session for tests and benches on one machine; a cluster brings its own."""
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tripworks", shared: str | None = None
+) -> SparkSession:
+    """Session for tests and benches on one machine; a cluster brings its own. ``shared``: folder for scratch tables."""
+    builder = SparkSession.builder if shared is None else SparkSession.builder.config("spark.checkpoint.dir", shared)
     return prepare(
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")

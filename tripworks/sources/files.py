@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tripworks.operators.rows import prefix_columns, stack_splits
 from tripworks.sources import schema
@@ -12,23 +12,28 @@ from tripworks.sources import schema
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
+def _whole_number(text: Column) -> Column:
+    """Text to bigint; ``1.0`` is how integer columns with gaps are often written. Fractions are an error."""
+    number = text.try_cast("double")
+    whole = F.coalesce(text.try_cast("bigint"), F.when(number == F.floor(number), number.cast("bigint")))
+    bad = F.raise_error(F.concat(F.lit("not a whole number: "), text))
+    missing = text.isNull() | F.isnan(F.coalesce(number, F.lit(0.0)))
+    return F.when(missing, F.lit(None)).when(whole.isNotNull(), whole).otherwise(bad).cast("bigint")
+
+
+def _typed(text: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.TimestampNTZType):
+        return F.to_timestamp_ntz(text, F.lit(TIMESTAMP_FORMAT))
+    return _whole_number(text) if isinstance(kind, T.LongType) else text.cast(kind)
+
+
 def _by_header(spark: SparkSession, paths: str | Sequence[str], declared: T.StructType) -> DataFrame:
     """Read columns by header name, whatever their order, and cast them to the declared types."""
     files = [paths] if isinstance(paths, str) else list(paths)
     # Without a schema, only the header line is looked at and every column is text.
     parts = [spark.read.option("header", True).csv(path) for path in files]
     picked = [
-        part.select(
-            *(
-                (
-                    F.to_timestamp_ntz(F.col(f"`{f.name}`"), F.lit(TIMESTAMP_FORMAT))
-                    if isinstance(f.dataType, T.TimestampNTZType)
-                    else F.col(f"`{f.name}`").cast(f.dataType)
-                ).alias(f.name)
-                for f in declared
-            )
-        )
-        for part in parts
+        part.select(*(_typed(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in declared)) for part in parts
     ]
     whole = picked[0]
     for part in picked[1:]:

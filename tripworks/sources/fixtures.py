@@ -4,26 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tripworks.sources import hadoop
-
 SOUTH, WEST = 40.63, -74.03
 
 
-ONE_SPLIT_BYTES = 128 * 1024 * 1024
-BYTES_PER_TASK = 256 * 1024
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables.
-
-    A table below the size of one file split would be read, and all that follows computed, by a
-    single task; its rows are dealt out to several. Larger tables come in enough splits as they are.
-    """
-    path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.parquet(path)
-    size = hadoop.total_bytes(spark, path)
-    tasks = min(spark.sparkContext.defaultParallelism, size // BYTES_PER_TASK)
-    return df.repartition(tasks) if size <= ONE_SPLIT_BYTES and tasks > 1 else df
+    """One of the given tables."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _trip_id(key: Column) -> Column:
@@ -92,16 +78,21 @@ def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def weather(spark: SparkSession, sf_dir: str, year: int = 1996) -> DataFrame:
-    """Daily weather of one year: at most 366 rows however many orders there are."""
+def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily weather of all days with orders: one row per day however many orders there are."""
     date = F.col("o_orderdate")
     day = F.dayofmonth(date)
+
+    def reading(every: int, value: Column) -> Column:
+        return F.when(day % every == 0, "T").otherwise(value)
+
     return (
         table(spark, sf_dir, "orders")
-        .where(F.year(date) == year)
         .select(
             F.concat_ws("-", day.cast("string"), F.month(date).cast("string"), F.year(date).cast("string")).alias("date"),
-            F.when(day % 7 == 0, "T").otherwise((day % 5).cast("string")).alias("snow_fall"),
+            reading(6, F.concat(F.lit("0."), (day % 10).cast("string"))).alias("precipitation"),
+            reading(7, (day % 5).cast("string")).alias("snow_fall"),
+            reading(11, (day % 3).cast("string")).alias("snow_depth"),
         )
         .distinct()
     )

@@ -23,11 +23,6 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
 
 
-def total_bytes(spark: SparkSession, path: str) -> int:
-    fs, hadoop_path = _fs(spark, path)
-    return fs.getContentSummary(hadoop_path).getLength()
-
-
 def touch(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _fs(spark, path)
     fs.create(hadoop_path, True).close()
@@ -36,3 +31,8 @@ def touch(spark: SparkSession, path: str) -> None:
 def delete_file(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _fs(spark, path)
     fs.delete(hadoop_path, False)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _fs(spark, path)
+    fs.delete(hadoop_path, True)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripworks.sources import hadoop
+
 SETTING = "spark.checkpoint.dir"
 
 
@@ -14,15 +18,21 @@ _local_roots: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names. Only a local session may fall back to its own folder."""
+    """This application's part of the shared folder the cluster names.
+
+    Only a local session, whose one process sees all its files, may go without that setting; its
+    folder is removed when the process ends.
+    """
+    context = spark.sparkContext
     root = spark.conf.get(SETTING, None)
     if root:
-        return root.rstrip("/")
-    context = spark.sparkContext
+        return f"{root.rstrip('/')}/tripworks-{context.applicationId}"
     if not context.master.startswith("local"):
         raise ValueError(f"set {SETTING} to a folder that all executors share")
     if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="tripworks-")
+        folder = tempfile.mkdtemp(prefix="tripworks-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _local_roots[context.applicationId] = folder
     return _local_roots[context.applicationId]
 
 
@@ -32,3 +42,8 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all tables this application has materialised. Frames that read them are void from then on."""
+    hadoop.delete_folder(spark, scratch_root(spark))

@@ -23,6 +23,10 @@ class StageStore:
     def path(self, stage: int) -> str:
         return f"{self.root}/stage_{int(stage)}"
 
+    def under(self, name: str) -> StageStore:
+        """A store of its own inside this one."""
+        return StageStore(self.spark, f"{self.root}/{name}")
+
     def exists(self, stage: int) -> bool:
         """Finished means marked as a whole, or every split in it marked."""
         path = self.path(stage)
@@ -53,7 +57,9 @@ class StageStore:
     def load(self, stage: int, split: str | None = None) -> DataFrame:
         if not self.exists(stage):
             raise FileNotFoundError(f"no finished stage {stage} under {self.root}")
-        df = self.spark.read.option("mergeSchema", True).parquet(self.path(stage))
+        # Splits written one by one may differ in their columns; a stage written as a whole does not.
+        whole = hadoop.exists(self.spark, f"{self.path(stage)}/{_MARK}")
+        df = self.spark.read.option("mergeSchema", not whole).parquet(self.path(stage))
         return df if split is None else df.where(F.col("split") == split)
 
     def ensure(self, stage: int, build: Callable[[], DataFrame]) -> DataFrame:
