@@ -591,8 +591,8 @@ def cached_traffic(spark, sf):
 
 
 def _model_input(spark, sf):
-    """The built features, as the learners take them."""
-    return feature_build.model_input(_grid_features(spark, sf, min_count=100))
+    df = features.with_calendar(features.with_distances(_trips(spark, sf)))
+    return rows.encode_flag(df).drop("dropoff_datetime", "pickup_datetime")
 
 
 HOUR = ["pickup_hour"]
@@ -626,7 +626,9 @@ def gbt_predict(spark, sf):
 
 @query
 def oof_gbt(spark, sf):
-    result = modelling.out_of_fold(_model_input(spark, sf), modelling.boosted_trees(rounds=3, depth=4))
+    """All built features, as the learners take them, through boosted trees."""
+    built = feature_build.model_input(_grid_features(spark, sf))
+    result = modelling.out_of_fold(built, modelling.boosted_trees(rounds=3, depth=4))
     both = [result.train.select("id", "trip_duration", F.lit("train").alias("split"))]
     return both[0].unionByName(result.test.withColumn("split", F.lit("test")))
 
