@@ -11,7 +11,7 @@ from math import exp, inf, log
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-# Pages, at most, that teach the model beside the hand-labelled ones: those with the least hash of address.
+# Pages, about, that teach the model beside the hand-labelled ones: those whose address has a small hash.
 FIT_PAGES = 2_000
 # Counts added to each outcome before probabilities are taken.
 SMOOTH = 1.0
@@ -331,13 +331,15 @@ def count_labels(pages: DataFrame, html: str) -> DataFrame:
 
 
 def fit(pages: DataFrame, url: str = "url", html: str = "html", most: int = FIT_PAGES) -> Model:
-    """Counts over the hand-labelled pages and over at most ``most`` of ``pages``, chosen by hash of address.
+    """Counts over the hand-labelled pages and over about ``most`` of ``pages``, chosen by hash of address.
 
     Hand-labelled pages are as many observations as the sampled ones, so a single design of pages
     cannot drown them.
     """
     counts: dict[tuple[str, int, int], int] = {}
-    sample = pages.where(F.col(html).isNotNull()).select(url, html).orderBy(F.xxhash64(url), url, F.xxhash64(html)).limit(most)
+    known = pages.where(F.col(html).isNotNull())
+    share = min(1.0, most / max(1, known.count()))
+    sample = known.where(F.pmod(F.xxhash64(url, F.length(html)), F.lit(1 << 30)) < int(share * (1 << 30)))
     for r in count_labels(sample.select(F.col(html).alias("html")), "html").collect():  # a few hundred kinds
         counts[(r["what"], r["label"], r["given"])] = r["n"]
     total = sum(counts.values())
