@@ -41,7 +41,7 @@ ROUTES = _struct(
     ("step_direction", T.StringType()),
     ("step_location_list", T.StringType()),
 )
-# Route columns that only describe single steps; dropped once the features are built.
+# Route columns that only describe single steps; dropped once the features are built.
 ROUTE_STEP_COLUMNS = (
     "starting_street",
     "end_street",
@@ -53,7 +53,7 @@ ROUTE_STEP_COLUMNS = (
     "step_location_list",
 )
 
-# The weather file holds these by position after its date column. All are read as text, because
+# The weather file holds these by position after its date column. All are read as text, because
 # amounts too small to measure are written as a letter.
 WEATHER_COLUMNS = (
     "maximum_temerature",
@@ -65,6 +65,7 @@ WEATHER_COLUMNS = (
 )
 WEATHER = _struct(("date", T.StringType()), *((name, T.StringType()) for name in WEATHER_COLUMNS))
 
+# Fixed value.
 INJURED = "NUMBER OF PERSONS INJURED"
 
 MODEL_DROPPED = ("pickup_datetime", "dropoff_datetime")
