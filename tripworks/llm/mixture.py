@@ -80,6 +80,7 @@ def copies(
     sized = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), n_words(F.col(text).cast("string")).alias("size"), tie.alias("tie")
     )
+    sized = materialise(sized, "sizes")  # texts are read once, though ranking looks at its input twice
     place = materialise(ranked(sized, ["source"], ["size", "tie"], "place"), "places").drop("tie")
     sums = materialise(place.groupBy("source").agg(F.sum("size").alias("source_size")), "source-sizes")
     share = targets(sums, weights, budget, most).select(F.col("source").alias("of"), "source_size", "target")
@@ -93,6 +94,12 @@ def copies(
     )
 
 
+def _key(size: str) -> Column:
+    """doc_id, size and source as one text that is never null and tells them apart."""
+    source = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("?"))
+    return F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("?")), F.col(size).cast("string"), source)
+
+
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixture: each row of ``docs`` as often as ``copies`` says, with its ``copy`` number from 1.
 
@@ -101,18 +108,17 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     """
     rest = docs.drop(*(c for c in docs.columns if c.lower() == "copy"))
     taken = copies(rest, **options)
-    total = taken.groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("total"), F.count(F.lit(1)).alias("rows"))
-    total = total.where("total > 0").toDF("k_id", "k_source", "k_size", "k_total", "k_rows")
-    total = total.select(F.xxhash64("k_id", "k_source", "k_size").alias("k"), F.struct("*").alias("t"))
     size, key, nth = (free_name(rest, n) for n in ("mixed_size", "mixed_key", "mixed_nth"))
+    of, got = free_name(rest, "mixed_of"), free_name(rest, "mixed_got")
+    total = taken.withColumn(key, _key("size")).groupBy(key).agg(F.sum("copies").alias("total"), F.count(F.lit(1)).alias("rows"))
+    total = total.where("total > 0").select(F.col(key).alias(of), F.struct("total", "rows").alias(got))
     sized = rest.withColumn(size, n_words(F.col("text").cast("string")))
-    sized = sized.withColumn(key, F.xxhash64("doc_id", "source", size))
-    same = (
-        sized["doc_id"].eqNullSafe(total["t.k_id"]) & sized["source"].eqNullSafe(total["t.k_source"]) & (sized[size] == total["t.k_size"])
-    )
-    met = sized.join(total, (sized[key] == total["k"]) & same)
-    order = W.partitionBy(key, "doc_id", "source", size).orderBy(F.xxhash64("text"))
-    share = F.floor(F.col("t.k_total") / F.col("t.k_rows")) + (F.col(nth) <= F.col("t.k_total") % F.col("t.k_rows")).cast("bigint")
+    sized = sized.withColumn(key, _key(size))
+    # joined and numbered by the one key, so texts are shuffled once
+    met = sized.join(total, sized[key] == total[of])
+    order = W.partitionBy(key).orderBy(F.xxhash64("text"))
+    n, rows = F.col(got)["total"], F.col(got)["rows"]
+    share = F.floor(n / rows) + (F.col(nth) <= n % rows).cast("bigint")
     each = F.sequence(F.lit(1), share.cast("int"))
     numbered = met.withColumn(nth, F.row_number().over(order)).where(share > 0)
     return numbered.withColumn("copy", F.explode(each)).select(*rest.columns, "copy")
