@@ -108,19 +108,29 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.when(F.contains(text, F.lit(HINTS[kind])), spans).otherwise(F.array().cast("array<struct<start:int,end:int,value:string>>"))
 
 
-def _overlaps(x: Column, y: Column) -> Column:
-    return (x["start"] < y["end"]) & (y["start"] < x["end"])
+def _blanked(text: Column, spans: Column) -> Column:
+    """``text`` with blanks in place of the spans, as long as before."""
 
+    def step(done: Column, x: Column) -> Column:
+        gap = F.substring(text, done["at"] + 1, F.greatest(x["start"] - done["at"], F.lit(0)))
+        blank = F.repeat(F.lit(" "), x["end"] - F.greatest(x["start"], done["at"]))
+        return F.struct(F.concat(done["parts"], F.array(gap, blank)).alias("parts"), F.greatest(done["at"], x["end"]).alias("at"))
+
+    start = F.struct(F.array().cast("array<string>").alias("parts"), F.lit(0).alias("at"))
+    rest = lambda done: F.concat(F.array_join(done["parts"], ""), F.substring(text, done["at"] + 1, F.length(text)))
+    ordered = F.array_sort(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))))
+    return F.aggregate(ordered, start, step, rest)
 
-def _context(text: Column, mention: Column, held: Column) -> Column:
-    """Words around a mention, as (term, start, end): whole ones that touch none of ``held``."""
+
+def _context(blanked: Column, size: Column, mention: Column) -> Column:
+    """Words around a mention, as (term, start, end), whole ones; no mention is left in the text."""
 
     def side(start: Column, end: Column) -> Column:
-        part = F.substring(text, start + 1, end - start)
+        part = F.substring(blanked, start + 1, end - start)
 
         def whole(x: Column) -> Column:
             cut_left = (x["start"] == 0) & (start > 0) & (start != mention["end"])
-            cut_right = (x["end"] == end - start) & (end != mention["start"]) & (end < F.length(text))
+            cut_right = (x["end"] == end - start) & (end != mention["start"]) & (end < size)
             return ~cut_left & ~cut_right
 
         return F.transform(
@@ -129,8 +139,8 @@ def _context(text: Column, mention: Column, held: Column) -> Column:
         )
 
     before = side(F.greatest(mention["start"] - CONTEXT, F.lit(0)), mention["start"])
-    after = side(mention["end"], F.least(mention["end"] + CONTEXT, F.length(text)))
-    return F.filter(F.concat(before, after), lambda w: ~F.exists(held, lambda y: _overlaps(w, y)))
+    after = side(mention["end"], F.least(mention["end"] + CONTEXT, size))
+    return F.concat(before, after)
 
 
 def mark_base(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str, str]]:
@@ -147,10 +157,14 @@ def mark_base(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str,
 
     typed = typed.withColumn(names["base"], F.concat(*map(named, KINDS)))
     base = F.col(names["base"])
-    mentions = F.transform(
-        base,
-        lambda m: F.struct(m["kind"].alias("kind"), F.lower(m["value"]).alias("value"), _context(whole, m, base).alias("words")),
-    )
+
+    def mention(blanked: Column, size: Column) -> Column:
+        def one(m: Column) -> Column:
+            return F.struct(m["kind"].alias("kind"), F.lower(m["value"]).alias("value"), _context(blanked, size, m).alias("words"))
+
+        return F.transform(base, one)
+
+    mentions = let(_blanked(whole, base), lambda blanked: let(F.length(blanked), lambda size: mention(blanked, size)))
     return typed.withColumn(names["mentions"], F.when(F.size(base) > 0, mentions)).drop(names["whole"]), names
 
 
@@ -195,8 +209,9 @@ def find(docs: DataFrame, keep: list[str], text: str = "text") -> tuple[DataFram
     terms = disclosing(marked, names, docs, text)
     names["terms"] = free_name(marked, "terms")
     terms = terms.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "removed"))).alias(names["terms"]))
-    terms = materialise(terms.withColumnRenamed("row", "of_row"), "term-spans")
-    met = marked.join(terms, marked[names["row"]] == terms["of_row"], "left").drop("of_row", names["mentions"])
+    of = free_name(marked, "of_row")
+    terms = materialise(terms.withColumnRenamed("row", of), "term-spans")
+    met = marked.join(terms, marked[names["row"]] == terms[of], "left").drop(of, names["mentions"])
     return met, names
 
 
