@@ -15,7 +15,8 @@ from tripworks.sources.scratch import materialise
 TREES = 8
 # Rows of a leaf, about, as long as the sample can tell that many leaves apart.
 LEAF = 512
-# The trees are fitted on at most this many rows; each leaf must hold SEEN of them. All rows are indexed.
+# The trees are fitted on about this many rows, by hash of their id; each leaf must hold SEEN of them.
+# All rows are indexed.
 SAMPLE = 32_768
 SEEN = 16
 # A query's queue is emptied until the leaves taken hold this many rows per indexed row, over all trees.
@@ -198,7 +199,8 @@ def nearest(
     index = materialise(_merged(good, k), "vectors")
     stats = index.agg(F.count(F.lit(1)), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))), F.max(F.size("v"))).first()
     total, longest, size = stats[0], stats[1] or 0.0, stats[2] or 1
-    sample = index.select("v").orderBy(F.xxhash64("v"), "v").limit(SAMPLE).collect()
+    keep = F.pmod(F.xxhash64("node"), F.lit(1 << 30)) < int(min(1.0, SAMPLE / max(1, total)) * (1 << 30))
+    sample = index.where(keep).orderBy("node").select("v").collect()
     points = np.array([r["v"] for r in sample], dtype=float).reshape(-1, size)
     fitted = fit(_lifted(points, longest), total, trees, leaf)
     leaves = 1 << fitted.depth
