@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint, n_words int, fp string, target double, row int, copy int, rule string"
+DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint, n_words int, fp string, target double, row int, copy int, rule string, of_row int, t string, k int"
 WORDS = "the of and river stone Green lamp été über niño 42 x".split()
 
 
@@ -31,7 +31,7 @@ def odd_rows() -> list[tuple]:
         (9, "+" * 5000 + "@" * 5000 + "1" * 5000, "en", "c"),
         (10, "\x00\U0001f600 <|endoftext|>  ", "en", "c"),
     ]
-    return [(*r, None if r[1] is None else len(r[1]), 7, "seven", 0.5, 3, 9, "none") for r in texts]
+    return [(*r, None if r[1] is None else len(r[1]), 7, "seven", 0.5, 3, 9, "none", 4, "t", 5) for r in texts]
 
 
 def odd_documents(spark):
