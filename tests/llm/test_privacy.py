@@ -94,6 +94,16 @@ def test_terms_beside_an_entity_are_judged_by_their_information(spark):
     assert all(not got[i] for i in range(6, total))
 
 
+def test_entities_of_one_or_two_documents_are_scored(spark):
+    prepare(spark)
+    texts = ["then Pedro said one@mail.org", "then Maria said two@mail.org", "then Maria said two@mail.org again"]
+    texts += ["then Petra said three@mail.org"] + [f"Petra said word{i}" for i in range(4)] + [f"then they said again{i}" for i in range(392)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: [texts[r["doc_id"]][s["start"] : s["end"]] for s in r["terms"] or []] for r in privacy.personal_data(df).collect()}
+    assert got[0] == ["Pedro"] and got[1] == ["Maria"] and got[2] == ["Maria", "again"]
+    assert not any(got[i] for i in range(3, len(texts)))  # Petra is in four more documents: too weak at one
+
+
 def test_sanitised_texts(spark):
     prepare(spark)
     df, texts = disclosure_docs(spark)

@@ -30,8 +30,9 @@ OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 # Words this many characters before and after a mention are its context.
 CONTEXT = 120
 WORD = r"[\p{L}\p{N}]+"
-# A term must occur beside an entity in this many documents before their co-occurrence counts.
-SUPPORT = 3
+# Doubt left by a pair seen in one document; b documents leave DOUBT^b. Rare pairs need a stronger
+# signal by that, and none is left out.
+DOUBT = 0.4
 # Share of an entity's information a term may give away; from the second on nothing of the term stays.
 DISCLOSED = 0.9
 REVEALED = 0.99
@@ -175,27 +176,32 @@ def term_counts(docs: DataFrame, terms: DataFrame, text: str = "text") -> DataFr
     return counted.join(terms, "term", "left_semi")
 
 
+def _share(total: int, d: Column, t: Column, b: Column) -> Column:
+    """Share of an entity's bits that a term tells, see ``disclosing``; null for an entity without any."""
+    informs = F.log2(F.lit(float(total)) / d)
+    tells = F.log2(F.lit(float(total)) * b * (1 - F.pow(F.lit(DOUBT), b)) / (d * t))
+    return F.when(informs > 0, tells / informs)
+
+
 def disclosing(marked: DataFrame, names: dict[str, str], docs: DataFrame, text: str = "text") -> DataFrame:
     """(row, start, end, removed): words beside an entity that give it away.
 
     With N documents, an entity in d of them carries log2(N/d) bits. A term in t of them, beside the
-    entity in b, tells log2(N b / (d t)) of those. The share told must reach ``DISCLOSED`` and b
-    ``SUPPORT``; from ``REVEALED`` on the term is removed, below that generalised.
+    entity in b, tells log2(N c / (d t)) of those, where c = b (1 - DOUBT^b) is the smoothed count.
+    Entities and pairs of any count are scored. The share told must reach ``DISCLOSED``; from
+    ``REVEALED`` on the term is removed, below that generalised.
     """
     mention = marked.where(F.col(names["mentions"]).isNotNull()).select(F.col(names["row"]).alias("row"), F.explode(names["mentions"]).alias("m"))
     mention = mention.select("row", "m.kind", "m.value", "m.words")
-    entities = mention.groupBy("kind", "value").agg(F.count_distinct("row").alias("d")).where(F.col("d") >= SUPPORT)
+    entities = mention.groupBy("kind", "value").agg(F.count_distinct("row").alias("d"))
     entities = materialise(entities, "entities")
     beside = mention.join(entities, ["kind", "value"]).select("row", "kind", "value", "d", F.explode("words").alias("w"))
     beside = materialise(beside.select("row", "kind", "value", "d", "w.*"), "beside")
-    pairs = beside.groupBy("kind", "value", "d", "term").agg(F.count_distinct("row").alias("b")).where(F.col("b") >= SUPPORT)
+    pairs = beside.groupBy("kind", "value", "d", "term").agg(F.count_distinct("row").alias("b"))
     pairs = materialise(pairs, "pairs")
     terms = materialise(pairs.select("term").distinct(), "terms")
     counts = materialise(term_counts(docs, terms, text), "term-counts")
-    total = marked.count()
-    informs = F.log2(F.lit(float(total)) / F.col("d"))
-    tells = F.log2(F.lit(float(total)) * F.col("b") / (F.col("d") * F.col("df")))
-    share = F.when(informs > 0, tells / informs)
+    share = _share(marked.count(), F.col("d"), F.col("df"), F.col("b"))
     told = pairs.join(counts, "term").withColumn("share", share).where(F.col("share") >= DISCLOSED)
     told = materialise(told.select("kind", "value", "term", (F.col("share") >= REVEALED).alias("removed")), "told")
     hit = beside.join(told, ["kind", "value", "term"])
