@@ -104,6 +104,24 @@ def test_entities_of_one_or_two_documents_are_scored(spark):
     assert not any(got[i] for i in range(3, len(texts)))  # Petra is in four more documents: too weak at one
 
 
+def test_terms_are_counted_and_spanned_over_whole_texts(spark):
+    prepare(spark)
+    far = " they said" * 60
+    texts = [f"Zorro{far} to zz@mail.org{far} by ZORRO" for _ in range(6)] + ["Zorro came"] + [f"they said to word{i} by far" for i in range(4000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: [texts[r["doc_id"]][s["start"] : s["end"]] for s in r["terms"] or []] for r in privacy.personal_data(df).collect()}
+    assert all(got[i] == ["Zorro", "ZORRO"] for i in range(6))
+    assert got[6] == ["Zorro"]  # no mention there, but the name gives it away all the same
+    assert not any(got[i] for i in range(7, len(texts)))
+
+
+def test_words_have_their_places(spark):
+    text = "\U0001f600 " + "".join("-" * (i % 5) + f" Wört{i}" for i in range(700)) + " !"
+    for t in (text, "", "one", "-", " ".join("x" * 256), " ".join("x" * 512) + " "):
+        row = spark.createDataFrame([(t,)], "t string").select(privacy._words(privacy.F.col("t")).alias("w")).first()
+        assert [(w["term"], w["start"], w["end"]) for w in row["w"]] == [(m[0].lower(), m.start(), m.end()) for m in re.finditer(r"\w+", t)]
+
+
 def test_sanitised_texts(spark):
     prepare(spark)
     df, texts = disclosure_docs(spark)

@@ -27,8 +27,6 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 
-# Words this many characters before and after a mention are its context.
-CONTEXT = 120
 WORD = r"[\p{L}\p{N}]+"
 # Doubt left by a pair seen in one document; b documents leave DOUBT^b. Rare pairs need a stronger
 # signal by that, and none is left out.
@@ -123,33 +121,40 @@ def _blanked(text: Column, spans: Column) -> Column:
     return F.aggregate(ordered, start, step, rest)
 
 
-def _context(blanked: Column, size: Column, mention: Column) -> Column:
-    """Words around a mention, as (term, start, end), whole ones; no mention is left in the text."""
+def _words(text: Column) -> Column:
+    """All words as (term, start, end), terms in lower case; starts are added up lot by lot."""
+    values, gaps = F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.split(text, WORD, -1)
+    pieces = F.zip_with(values, gaps, lambda x, gap: F.struct(F.lower(x).alias("term"), F.length(gap).alias("gap"), F.length(x).alias("size")))
+    none = F.array().cast("array<struct<term:string,start:int,end:int>>")
 
-    def side(start: Column, end: Column) -> Column:
-        part = F.substring(blanked, start + 1, end - start)
+    def add(done: Column, x: Column) -> Column:
+        start = done["at"] + x["gap"]
+        word = F.struct(x["term"].alias("term"), start.alias("start"), (start + x["size"]).alias("end"))
+        return F.struct((start + x["size"]).alias("at"), F.concat(done["words"], F.array(word)).alias("words"))
 
-        def whole(x: Column) -> Column:
-            cut_left = (x["start"] == 0) & (start > 0) & (start != mention["end"])
-            cut_right = (x["end"] == end - start) & (end != mention["start"]) & (end < size)
-            return ~cut_left & ~cut_right
+    def lot(done: Column, of: Column) -> Column:
+        own = F.aggregate(of, F.struct(done["at"].alias("at"), none.alias("words")), add)
+        return let(own, lambda o: F.struct(o["at"].alias("at"), F.concat(done["lots"], F.array(o["words"])).alias("lots")))
 
-        return F.transform(
-            F.filter(found(part, WORD), whole),
-            lambda x: F.struct(F.lower(x["value"]).alias("term"), (x["start"] + start).alias("start"), (x["end"] + start).alias("end")),
-        )
+    def cut(all_: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), (F.size(all_) / LOT).cast("int")), lambda k: F.slice(all_, k * LOT + 1, F.lit(LOT)))
 
-    before = side(F.greatest(mention["start"] - CONTEXT, F.lit(0)), mention["start"])
-    after = side(mention["end"], F.least(mention["end"] + CONTEXT, size))
-    return F.concat(before, after)
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<struct<term:string,start:int,end:int>>>").alias("lots"))
+    # the gap after the last word belongs to none
+    lots = let(F.filter(pieces, lambda x: x["term"].isNotNull()), cut)
+    return F.flatten(F.aggregate(lots, start, lot)["lots"])
+
+
+def _distinct_words(text: Column) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lower))
 
 
 def mark_base(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str, str]]:
-    """``docs`` with a ``row`` number, ``base`` spans (kind, start, end, value) and their ``context`` words.
+    """``docs`` with a ``row`` number, ``base`` spans (kind, start, end, value) and, if there are any, the text ``blanked`` there.
 
     Also the names these columns got, so none of ``docs`` is replaced.
     """
-    names = {n: free_name(docs, n) for n in ("row", "whole", "base", "mentions")}
+    names = {n: free_name(docs, n) for n in ("row", "whole", "base", "blanked")}
     typed = docs.withColumns({names["row"]: F.monotonically_increasing_id(), names["whole"]: F.coalesce(F.col(text).cast("string"), F.lit(""))})
     whole = F.col(names["whole"])
 
@@ -158,22 +163,13 @@ def mark_base(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str,
 
     typed = typed.withColumn(names["base"], F.concat(*map(named, KINDS)))
     base = F.col(names["base"])
+    return typed.withColumn(names["blanked"], F.when(F.size(base) > 0, _blanked(whole, base))).drop(names["whole"]), names
 
-    def mention(blanked: Column, size: Column) -> Column:
-        def one(m: Column) -> Column:
-            return F.struct(m["kind"].alias("kind"), F.lower(m["value"]).alias("value"), _context(blanked, size, m).alias("words"))
-
-        return F.transform(base, one)
 
-    mentions = let(_blanked(whole, base), lambda blanked: let(F.length(blanked), lambda size: mention(blanked, size)))
-    return typed.withColumn(names["mentions"], F.when(F.size(base) > 0, mentions)).drop(names["whole"]), names
-
-
-def term_counts(docs: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
-    """(term, df) for the terms asked for: documents, of all, that hold the term."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text).cast("string")), F.lit(WORD), F.lit(0)))
-    counted = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return counted.join(terms, "term", "left_semi")
+def term_counts(texts: DataFrame, most: float) -> DataFrame:
+    """(term, df): documents, of all, that hold the term; terms in up to ``most`` of them."""
+    words = texts.select(F.explode(_distinct_words(F.col("text"))).alias("term"))
+    return words.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") <= most)
 
 
 def _share(total: int, d: Column, t: Column, b: Column) -> Column:
@@ -183,42 +179,76 @@ def _share(total: int, d: Column, t: Column, b: Column) -> Column:
     return F.when(informs > 0, tells / informs)
 
 
-def disclosing(marked: DataFrame, names: dict[str, str], docs: DataFrame, text: str = "text") -> DataFrame:
-    """(row, start, end, removed): words beside an entity that give it away.
+def _entity_sets(mentions: DataFrame) -> DataFrame:
+    """(row, d, h, g): sets of documents, by size and two hashes, that any entity of a row occurs in.
 
-    With N documents, an entity in d of them carries log2(N/d) bits. A term in t of them, beside the
-    entity in b, tells log2(N c / (d t)) of those, where c = b (1 - DOUBT^b) is the smoothed count.
-    Entities and pairs of any count are scored. The share told must reach ``DISCLOSED``; from
-    ``REVEALED`` on the term is removed, below that generalised.
+    Entities of the same documents disclose alike and are one set, so a list of addresses is one.
+    """
+    value = F.transform("base", lambda x: F.struct(x["kind"].alias("kind"), F.lower(x["value"]).alias("value")))
+    held = mentions.select("row", F.explode(F.array_distinct(value)).alias("e")).select("row", "e.kind", "e.value")
+    held = materialise(held, "entities")
+    sets = held.groupBy("kind", "value").agg(
+        F.count(F.lit(1)).alias("d"),
+        F.sum(F.xxhash64("row").cast("decimal(20,0)")).alias("h"),
+        F.bit_xor(F.xxhash64("row", F.lit(1))).alias("g"),
+    )
+    return materialise(held.join(sets, ["kind", "value"]).select("row", "d", "h", "g").distinct(), "entity-sets")
+
+
+def disclosing(marked: DataFrame, names: dict[str, str], text: str = "text") -> DataFrame:
+    """(row, start, end, removed): words that give away an entity which occurs in their documents.
+
+    With N documents, an entity in d of them carries log2(N/d) bits. A term in t of them, in b together
+    with the entity, tells log2(N c / (d t)) of those, where c = b (1 - DOUBT^b) is the smoothed count.
+    Entities and pairs of any count are scored, over whole texts. The share told must reach
+    ``DISCLOSED``; from ``REVEALED`` on the term is removed, below that generalised, wherever it stands.
     """
-    mention = marked.where(F.col(names["mentions"]).isNotNull()).select(F.col(names["row"]).alias("row"), F.explode(names["mentions"]).alias("m"))
-    mention = mention.select("row", "m.kind", "m.value", "m.words")
-    entities = mention.groupBy("kind", "value").agg(F.count_distinct("row").alias("d"))
-    entities = materialise(entities, "entities")
-    beside = mention.join(entities, ["kind", "value"]).select("row", "kind", "value", "d", F.explode("words").alias("w"))
-    beside = materialise(beside.select("row", "kind", "value", "d", "w.*"), "beside")
-    pairs = beside.groupBy("kind", "value", "d", "term").agg(F.count_distinct("row").alias("b"))
-    pairs = materialise(pairs, "pairs")
-    terms = materialise(pairs.select("term").distinct(), "terms")
-    counts = materialise(term_counts(docs, terms, text), "term-counts")
-    share = _share(marked.count(), F.col("d"), F.col("df"), F.col("b"))
-    told = pairs.join(counts, "term").withColumn("share", share).where(F.col("share") >= DISCLOSED)
-    told = materialise(told.select("kind", "value", "term", (F.col("share") >= REVEALED).alias("removed")), "told")
-    hit = beside.join(told, ["kind", "value", "term"])
-    return hit.groupBy("row", "start", "end").agg(F.bool_or("removed").alias("removed"))
+    texts = marked.select(
+        F.col(names["row"]).alias("row"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
+        F.col(names["base"]).alias("base"), F.col(names["blanked"]).alias("blanked"),
+    )
+    mentions = texts.where("blanked is not null")
+    sets = _entity_sets(mentions)
+    total, widest = marked.count(), sets.agg(F.max("d")).first()[0] or 0
+    # b is at most d, so a term in more documents than this tells too little of any entity
+    most = total ** (1 - DISCLOSED) * widest**DISCLOSED * (1 + 1e-9)
+    counts = materialise(term_counts(texts, most), "term-counts")
+    rare = mentions.select("row", F.explode(_distinct_words(F.col("blanked"))).alias("term")).join(counts, "term")
+    rare = materialise(rare.select("row", "term", "df"), "rare-terms")
+
+    def share(b: Column) -> Column:
+        return _share(total, F.col("d"), F.col("df"), b)
+
+    # the share grows with b, which is at most d and at most t
+    pairs = rare.join(sets, "row").where(share(F.least("d", "df")) >= DISCLOSED)
+    scored = pairs.groupBy("d", "h", "g", "term", "df").agg(F.count(F.lit(1)).alias("b")).withColumn("share", share(F.col("b")))
+    told = scored.where(F.col("share") >= DISCLOSED).groupBy("term", "df").agg(F.bool_or(F.col("share") >= REVEALED).alias("removed"))
+    near = rare.groupBy("term").agg(F.count(F.lit(1)).alias("near"))
+    told = materialise(told.join(near, "term"), "told")
+
+    hits = rare.select("row", "term").join(told.select("term", "removed"), "term").select("row", "term", "removed")
+    away = told.where(F.col("df") > F.col("near")).select("term", "removed")
+    if not away.isEmpty():  # terms that documents without any entity hold too
+        others = texts.where("blanked is null").select("row", F.explode(_distinct_words(F.col("text"))).alias("term"))
+        hits = hits.union(others.join(away, "term").select("row", "term", "removed"))
+    hits = materialise(hits, "hits")
+    holds = texts.join(hits.select("row").distinct(), "row", "left_semi")
+    placed = holds.select("row", F.explode(_words(F.coalesce("blanked", "text"))).alias("w")).select("row", "w.*")
+    return placed.join(hits, ["row", "term"]).select("row", "start", "end", "removed")
 
 
 def find(docs: DataFrame, keep: list[str], text: str = "text") -> tuple[DataFrame, dict[str, str]]:
     """The columns ``keep`` with base spans and ``terms``: array of (start, end, removed) by start, or null."""
     marked, names = mark_base(docs, text)
-    marked = materialise(marked.select(*keep, *(names[n] for n in ("row", "base", "mentions"))), "base-spans")
-    terms = disclosing(marked, names, docs, text)
+    kept = dict.fromkeys([*keep, text])
+    marked = materialise(marked.select(*kept, *(names[n] for n in ("row", "base", "blanked"))), "base-spans")
+    terms = disclosing(marked, names, text)
     names["terms"] = free_name(marked, "terms")
     terms = terms.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "removed"))).alias(names["terms"]))
     of = free_name(marked, "of_row")
     terms = materialise(terms.withColumnRenamed("row", of), "term-spans")
-    met = marked.join(terms, marked[names["row"]] == terms[of], "left").drop(of, names["mentions"])
-    return met, names
+    met = marked.join(terms, marked[names["row"]] == terms[of], "left")
+    return met.select(*keep, *(names[n] for n in ("row", "base", "terms"))), names
 
 
 def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
