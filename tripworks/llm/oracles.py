@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripworks.llm import chat, decontaminate, mixture
+from tripworks.llm import audit, chat, decontaminate, manifest, mixture
 from tripworks.llm.frames import ASCII_UPPER
 
 _WORDS = "regexp_extract_all(translate(coalesce({text}, ''), '%s', '%s'), '%s')" % (
@@ -92,9 +92,110 @@ from spans group by conv_id, part, speaker
 """
 
 
+def filter_audit() -> str:
+    return f"""
+with documents_read as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as t,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents),
+labelled as (
+  select doc_id, coalesce(bool_or(quality = 1), false) as good, coalesce(bool_or(toxic = 1), false) as toxic
+  from labels where doc_id is not null group by doc_id),
+judged as (
+  select part, coalesce(good, false) as good, coalesce(toxic, false) as toxic,
+    [len(w) < {audit.FEWEST_WORDS}, 100 * len(list_distinct(w)) < {audit.DISTINCT_PER_100} * len(w),
+     100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > {audit.CAPITALS_PER_100} * length(t),
+     regexp_matches(t, '{audit.SIGNS}'),
+     coalesce(min(d.doc_id) over (partition by t) < d.doc_id, false)] as f
+  from documents_read d left join labelled l on d.doc_id = l.doc_id),
+letters as (select unnest(range(1, 6)) as f),
+orders as (
+  select [a.f, b.f, c.f, d.f, e.f] as o from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+cells as (
+  select part, f, count(*) as n, count(*) filter (where good) as good, count(*) filter (where toxic) as toxic
+  from judged group by part, f),
+steps as (
+  select part, array_to_string(list_transform(o, lambda x: 'ABCDE'[x]), '') as filter_order, step, o[step] as this,
+    n, good, toxic, f[o[step]] as fails,
+    list_bool_or(list_transform(o[1 : step - 1], lambda x: f[x])) as before,
+    len(list_filter(f, lambda x: x)) as n_fails
+  from cells, orders, unnest(range(1, 6)) as t(step)),
+counted as (
+  select part, filter_order, cast(step as integer) as step, this,
+    cast(coalesce(sum(n) filter (where not fails and not coalesce(before, false)), 0) as bigint) as kept,
+    cast(coalesce(sum(n) filter (where fails and not coalesce(before, false)), 0) as bigint) as removed,
+    cast(coalesce(sum(n) filter (where fails and coalesce(before, false)), 0) as bigint) as redundant,
+    cast(coalesce(sum(n) filter (where fails and n_fails = 1), 0) as bigint) as unique_fails,
+    cast(coalesce(sum(good) filter (where fails and not coalesce(before, false)), 0) as bigint) as good_lost,
+    cast(coalesce(sum(toxic) filter (where fails and not coalesce(before, false)), 0) as bigint) as toxic_lost
+  from steps group by part, filter_order, step, this)
+select * exclude (this), cast(sum(removed) over (partition by part, this) as bigint) as shapley from counted
+"""
+
+
+def merkle(levels: int = 6, dataset_levels: int = 3) -> str:
+    """Stated for up to 16 ** levels rows of a source and 16 ** dataset_levels sources."""
+
+    def leaf(text: str) -> str:
+        fields = [text if c == "text" else f"cast({c} as varchar)" for c in manifest.COLUMNS]
+        return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+    step = "case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end"
+    byte = f"list_reduce(list_prepend(xor(c0, b), range(8)), lambda c, i: {step})"
+    crc = f"xor(4294967295, list_reduce(list_prepend(4294967295, bytes), lambda c0, b: {byte}))"
+
+    def climb(name: str, base: str, key: str, depth: int) -> str:
+        out = [f"{name}0 as materialized ({base})"]
+        for n in range(depth):
+            out.append(f"""
+{name}s{n} as materialized (
+  select *, idx // {manifest.ARITY} as run, count(*) over (partition by {key}) as nodes,
+    string_agg(digest, '') over (partition by {key}, idx // {manifest.ARITY} order by idx rows between unbounded preceding and 1 preceding) as l,
+    string_agg(digest, '') over (partition by {key}, idx // {manifest.ARITY} order by idx rows between 1 following and unbounded following) as r
+  from {name}{n}),
+{name}{n + 1} as materialized (
+  select {key}, run as idx, case when any_value(nodes) = 1 then any_value(digest) else sha256(string_agg(digest, '' order by idx)) end as digest
+  from {name}s{n} group by {key}, run)""")
+        return ",".join(out)
+
+    def folded(at: str, alias: str) -> str:
+        return f"case when {alias}.nodes = 1 then {at} else sha256(coalesce({alias}.l, '') || {at} || coalesce({alias}.r, '')) end"
+
+    sides = [f"g{n}" for n in range(levels)] + [f"d{n}" for n in range(dataset_levels)]
+    joins = "\n".join(
+        f"join {a[0]}s{a[1:]} {a} on {a}.{'k' if a[0] == 'g' else 'one'} = {'x.k' if a[0] == 'g' else '1'} and {a}.idx = "
+        + (f"x.idx // {manifest.ARITY ** int(a[1:])}" if a[0] == "g" else f"y.idx // {manifest.ARITY ** int(a[1:])}")
+        for a in sides
+    )
+    met = " || ".join(f"coalesce({a}.l, '') || coalesce({a}.r, '')" for a in sides)
+    folds = ""
+    for n, a in enumerate(sides):
+        folds += f", {folded('at_' + str(n), a)} as at_{n + 1}"
+    return f"""
+with read as materialized (
+  select doc_id, coalesce('=' || source, '') as k, {leaf("text")} as digest, {leaf(f"translate(text, '{ASCII_UPPER}', '{ASCII_UPPER.lower()}')")} as lowered,
+    list_transform(string_split(cast(doc_id as varchar), ''), lambda x: cast(ascii(x) as bigint)) as bytes
+  from documents),
+leaves as materialized (
+  select *, row_number() over (partition by k order by doc_id nulls first, digest) - 1 as idx,
+    case when coalesce({crc} % {manifest.TAMPERED} = 0, false) then lowered else digest end as at_0
+  from read),
+{climb("g", "select k, idx, digest from leaves", "k", levels)},
+{climb("d", f"select 1 as one, row_number() over (order by k) - 1 as idx, digest, k from g{levels}", "one", dataset_levels)},
+found as (
+  select x.doc_id, x.digest as leaf, y.digest as subroot, (select digest from d{dataset_levels}) as root,
+    sha256({met}) as proof_sha256, x.at_0{folds}
+  from leaves x join d0 y on x.k = y.k
+{joins})
+select doc_id, leaf, subroot, root, proof_sha256, at_{len(sides)} as folded_root, at_{len(sides)} = root as verified from found
+"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op2_benchmark_decontamination": contamination(),
         "op9_source_mixing": mixing(),
         "op10_chat_formatting": rotation(),
+        "op11_filter_audit": filter_audit(),
+        "op12_merkle_manifest": merkle(),
     }

@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tripworks.llm import addresses, chat, decontaminate, html, language, mixture, neighbours, privacy, simhash, tokens
+from tripworks.llm import (
+    addresses,
+    audit,
+    chat,
+    decontaminate,
+    html,
+    language,
+    manifest,
+    mixture,
+    neighbours,
+    privacy,
+    simhash,
+    tokens,
+)
 from tripworks.llm.frames import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +106,14 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(read(spark, sf_dir, "conversations"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.interactions(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(read(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -106,5 +127,7 @@ REGISTRY: dict[str, Query] = {
         op8_url_filters,
         op9_source_mixing,
         op10_chat_formatting,
+        op11_filter_audit,
+        op12_merkle_manifest,
     )
 }
