@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripworks.llm import audit, chat, decontaminate, manifest, mixture
+from tripworks.llm import audit, chat, decontaminate, manifest, mixture, repeats
 from tripworks.llm.frames import ASCII_UPPER
 
 _WORDS = "regexp_extract_all(translate(coalesce({text}, ''), '%s', '%s'), '%s')" % (
@@ -191,6 +191,28 @@ select doc_id, leaf, subroot, root, proof_sha256, at_{len(sides)} as folded_root
 """
 
 
+def repeated_bytes(length: int = repeats.LENGTH) -> str:
+    return f"""
+with texts as materialized (
+  select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+places as (select r, doc_id, s, substr(h, 2 * s + 1, 2 * {length}) as k
+  from texts, unnest(range(0, len(h) // 2 - {length} + 1)) as t(s) where doc_id is not null),
+firsts as (select k, min(doc_id) as first from places group by k having min(doc_id) < max(doc_id)),
+hits as (select r, s from places join firsts using (k) where first < doc_id),
+marked as (select *, case when s <= lag(s) over (partition by r order by s) + {length} then 0 else 1 end as new from hits),
+numbered as (select *, sum(new) over (partition by r order by s) as run from marked),
+runs as (select r, run, min(s) as begins, max(s) + {length} as ends from numbered group by r, run),
+gaps as (select *, coalesce(lag(ends) over (partition by r order by run), 0) as since from runs),
+cut as (
+  select r, sum(ends - begins) as n_removed, count(*) as n_spans, max(ends) as last,
+    string_agg(substr(h, 2 * since + 1, 2 * (begins - since)), '' order by run) as kept
+  from gaps join texts using (r) group by r)
+select doc_id, cast(len(h) // 2 as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+  coalesce(n_spans, 0) as n_spans, sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
+from texts left join cut using (r)
+"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op2_benchmark_decontamination": contamination(),
@@ -198,4 +220,5 @@ def all_sql() -> dict[str, str]:
         "op10_chat_formatting": rotation(),
         "op11_filter_audit": filter_audit(),
         "op12_merkle_manifest": merkle(),
+        "op13_suffix_array_dedup": repeated_bytes(),
     }

@@ -17,6 +17,7 @@ from tripworks.llm import (
     mixture,
     neighbours,
     privacy,
+    repeats,
     simhash,
     tokens,
 )
@@ -114,6 +115,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(read(spark, sf_dir, "documents"))
 
 
+def op13_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(read(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -129,5 +134,6 @@ REGISTRY: dict[str, Query] = {
         op10_chat_formatting,
         op11_filter_audit,
         op12_merkle_manifest,
+        op13_suffix_array_dedup,
     )
 }
