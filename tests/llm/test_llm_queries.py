@@ -21,6 +21,9 @@ CONTRACT = {
     7: "doc_id bigint, fingerprint string, component_id bigint",
     8: "page_id bigint, host string, path string, rule string, verdict string",
     9: "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
+    11: "part string, filter_order string, step int, kept bigint, removed bigint, redundant bigint, unique_fails bigint, good_lost bigint, toxic_lost bigint, shapley bigint",
+    12: "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean",
+    13: "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
 }
 
 
@@ -37,7 +40,7 @@ def test_query_equals_sql(spark, connection, name):
 def test_all_are_registered():
     names = [*queries.REGISTRY, "pipeline"]
     assert set(names) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.REGISTRY) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.REGISTRY) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.REGISTRY))
@@ -47,7 +50,7 @@ def test_results_have_the_columns_asked_for_and_a_row_each(spark, name):
     for column in CONTRACT.get(int(name[2:].split("_")[0]), "").split(", "):
         if column:
             assert kinds[column.split()[0]] == column.split()[1]
-    table = {"op1": "pages", "op8": "pages", "op5": None, "op10": None}.get(name.split("_")[0], "documents")
+    table = {"op1": "pages", "op8": "pages", "op5": None, "op10": None, "op11": None}.get(name.split("_")[0], "documents")
     if table:
         assert found.count() == spark.read.parquet(f"{SMALL}/{table}.parquet").count()
 
