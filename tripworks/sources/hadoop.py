@@ -36,3 +36,12 @@ def delete_file(spark: SparkSession, path: str) -> None:
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _fs(spark, path)
     fs.delete(hadoop_path, True)
+
+
+def size(spark: SparkSession, paths: list[str]) -> int:
+    """Bytes of all these files."""
+    total = 0
+    for path in paths:
+        fs, hadoop_path = _fs(spark, path)
+        total += fs.getFileStatus(hadoop_path).getLen()
+    return total

@@ -50,12 +50,12 @@ def shuffles_freed(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(FREE_SHUFFLES, before)
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` once and read it back: later uses share one computation, and lineage ends here."""
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
     with shuffles_freed(spark):
-        df.write.parquet(path)
+        df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
