@@ -43,6 +43,22 @@ def test_spliced_chunks_are_counted_as_the_whole(tokenizer, chunk, overlap):
             assert tokens.spliced(tokenizer, text, chunk, overlap) == whole(tokenizer, text), text[:80]
 
 
+def test_long_pieces_at_the_real_sizes_come_to_an_end(tokenizer):
+    words = " word" * 40_000
+    text = "a" * 140_000 + words[: 196_608 - 140_000] + "=" * 100_000 + " end"
+    counter = tokens.Counter(tokenizer)
+    assert counter.count([text]) == [len(tokenizer.encode(text, add_special_tokens=False))]
+
+
+def test_what_is_remembered_is_short_and_bounded(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 50)
+    counter = tokens.Counter(tokenizer)
+    texts = [" ".join(f"w{i}x{k}" for k in range(7)) + " " + "漢" * 60_000 for i in range(40)] + [" ".join(f"v{k}" for k in range(200))]
+    want = [len(tokenizer.encode(t, add_special_tokens=False)) for t in texts]
+    assert [n for t in texts for n in counter.count([t])] == want
+    assert max(map(len, counter.known)) <= tokens.SHORT and len(counter.known) <= 250
+
+
 def test_pieces_concatenate():
     for text in odd_texts():
         assert "".join(tokens.pieces(text)) == text

@@ -15,8 +15,9 @@ CHUNK = 65_536
 OVERLAP = 256
 # Tokens over which a text counts as long.
 LIMIT = 1024
-# Distinct pieces whose counts a task remembers. When full, it starts anew.
-REMEMBERED = 1_000_000
+# Parts of texts whose counts a task remembers, and the most characters of one. When full, it starts anew.
+REMEMBERED = 300_000
+SHORT = 32
 
 # Before a blank between two visible characters: see pieces().
 _CUT = re.compile(r"(?<=\S)(?= \S)")
@@ -63,6 +64,7 @@ def spliced(tokenizer, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) ->
     chunk (more than a special string or a look ahead), both have the true end there, and from a true end on the right chunk is right. The left
     chunk counts up to the last such place, the right one from it. Without one, the right chunk
     starts anew, twice as far to the left; from the left chunk's own beginning, the chunk is grown.
+    The right chunk always reaches a chunk beyond the end of the left one, so each round gets on.
     """
     special = max((len(t.content) for t in tokenizer.get_added_tokens_decoder().values()), default=0)
     guard = special + 2
@@ -76,14 +78,14 @@ def spliced(tokenizer, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) ->
                 left = encode(tokenizer, text[start : start + size])
                 break
             begin = end - shared
-            right = encode(tokenizer, text[begin : begin + chunk])
+            right = encode(tokenizer, text[begin : end + chunk])
             ends = {begin + e for e, _ in right}
             safe = [start + e for e, _ in left if begin < start + e <= end - guard and start + e in ends]
             if safe:
                 at = safe[-1]
                 total += sum(n for e, n in left if start + e <= at)
                 left = [(begin + e - at, n) for e, n in right if begin + e > at]
-                start, size = at, begin + chunk - at
+                start, size = at, end + chunk - at
                 break
             shared *= 2
     return total + sum(n for _, n in left)
@@ -108,16 +110,18 @@ class Counter:
 
     def count(self, texts: list[str]) -> list[int]:
         parts = [pieces(t) if len(t) <= self.chunk else None for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
         new = list({p for ps in parts if ps is not None for p in ps} - self.known.keys())
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update(zip(new, map(len, found), strict=True))
-        look = self.known.__getitem__
-        return [
+        counts = dict(zip(new, map(len, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+        look = lambda p: self.known[p] if p in self.known else counts[p]
+        found = [
             spliced(self.tokenizer, t, self.chunk, self.overlap) if ps is None else sum(map(look, ps))
             for t, ps in zip(texts, parts, strict=True)
         ]
+        short = {p: n for p, n in counts.items() if len(p) <= SHORT}
+        if len(self.known) + len(short) > REMEMBERED:
+            self.known = {}
+        self.known.update(short)
+        return found
 
 
 def token_counts(
