@@ -94,6 +94,43 @@ def test_odd_markup(model):
     assert time.time() - start < 60
 
 
+CLEAN = """<!doctype html><html><head><title>T</title></head><body><header><nav><a href=/>Home</a> <a href=/w>World</a></nav></header><article><h1>Rain</h1>
+<p>Rain fell, all day, on the hills and in the town.</p><p>Then, at last, it stopped, and the sun came out.</p><p>Nobody knew why, or when.</p></article>
+<footer><p>Copyright, all rights reserved.</p></footer></body></html>"""
+BEFORE, AFTER = "<p>Then, at last", "<p>Nobody knew"
+BROKEN = {
+    "head without end": CLEAN.replace("</head>", ""),
+    "head without end or body": CLEAN.replace("</head><body>", ""),
+    "form around the page": CLEAN.replace("<body>", "<body><form id=aspnet action=/x>").replace("</body>", "</form></body>"),
+    "forms in forms around the page": CLEAN.replace("<body>", "<body><form><form>").replace("</body>", "</form></form></body>"),
+    "form in the article": CLEAN.replace(AFTER, "<form>Your mail<input></form>" + AFTER),
+    "closed svg": CLEAN.replace(AFTER, '<svg class="i"/>' + AFTER),
+    "svg in svg": CLEAN.replace(AFTER, "<svg><text>a</text><svg><text>b</text></svg><text>label</text></svg>" + AFTER),
+    "closed svg in svg": CLEAN.replace(AFTER, "<svg><svg/><text>label</text></svg>" + AFTER),
+    "template in template": CLEAN.replace(AFTER, "<template><p>a<template><p>b</template><p>label</template>" + AFTER),
+    "quote in a bare value": CLEAN.replace(AFTER, "<img alt=Bob's src=x>" + AFTER),
+    "quotes between values": CLEAN.replace(AFTER, '<img alt="a" " title=\'>\' src=x">' + AFTER),
+    "sign in a quoted value": CLEAN.replace(AFTER, "<img alt = 'a > b' title=\"<p>c\">" + AFTER),
+    "comment without content": CLEAN.replace(AFTER, "<!-->" + AFTER),
+    "comment of a dash": CLEAN.replace(AFTER, "<!--->" + AFTER),
+    "comment with an odd end": CLEAN.replace(AFTER, "<!-- a > <p>b --!>" + AFTER),
+}
+
+
+@pytest.mark.parametrize("name", sorted(BROKEN))
+def test_ordinary_flaws_lose_no_text(model, name):
+    text = text_of(CLEAN, model)
+    assert text.startswith("Rain Rain fell") and text.endswith("or when.")
+    assert text_of(BROKEN[name], model) == text
+
+
+def test_markup_is_read_in_linear_time(model):
+    for part in ("<form>", "<svg>", "<header>", "<!--", "<a b=", "<a b='", "<form><article>", "</svg><svg/>", "<template>x"):
+        start = time.time()
+        text_of(part * 30_000, model)
+        assert time.time() - start < 30, part
+
+
 def test_odd_pages(spark, model):
     schema = "page_id bigint, url string, html string, text string, n_chars string"
     rows = [(1, None, None, "t", "c"), (None, "u", "", "t", None), (2, "u", UNSEEN, None, "c"), (2, "u", UNSEEN, None, "c"), (3, "u", "<p>long, long. " * 20_000, "", "")]

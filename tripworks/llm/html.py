@@ -31,6 +31,12 @@ CLOSED_BY = {
     "li": frozenset(["li"]), "dd": frozenset(["dd", "dt"]), "dt": frozenset(["dd", "dt"]), "option": frozenset(["option", "optgroup"]),
     "tr": frozenset(["tr", "tbody", "thead", "tfoot"]), "td": frozenset(["td", "th", "tr", "tbody"]), "th": frozenset(["td", "th", "tr", "tbody"]),
 }
+# What a head may hold; anything else ends it, with or without its end tag.
+IN_HEAD = frozenset("title meta link script style base noscript template basefont bgsound".split())
+# Raw elements that may stand in themselves, and of those the ones that may close themselves.
+NESTED, FOREIGN = frozenset(["svg", "math", "template"]), frozenset(["svg", "math"])
+# A form with one of these is a frame around a page, not a form to fill in.
+FRAMED = frozenset("article main header footer nav h1".split())
 # An end tag or new element closes nothing beyond these.
 FENCE = frozenset("html body table td th article section aside nav main header footer div ul ol form blockquote".split())
 # Never text of a page, whatever its neighbours are.
@@ -50,7 +56,9 @@ HINTS = (
 )
 _HINT = {word: name for name, words in reversed(HINTS) for word in words.split()}
 
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+# A quote opens a value only right after the sign of equality; anywhere else it is a character like others.
+_INSIDE = r"(?:=\s*+\"[^\"]*+(?:\"|\Z)|=\s*+'[^']*+(?:'|\Z)|[^>])*+"
+_MARKUP = re.compile(rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)({_INSIDE})(?:>|\Z)", re.S)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[a-z]+")
 
@@ -74,23 +82,62 @@ def _hint(attributes: str) -> str:
     return next((_HINT[w] for w in words if w in _HINT), "-")
 
 
+def _raw_end(html: str, tag: str, at: int) -> int:
+    """Where the content of a raw element that begins at ``at`` has ended, end tag included."""
+    depth = 1
+    pattern = rf"<(/?){re.escape(tag)}\b({_INSIDE})(?:>|\Z)" if tag in NESTED else rf"<(/){re.escape(tag)}\b([^>]*)(?:>|\Z)"
+    for found in re.compile(pattern, re.I | re.S).finditer(html, at):
+        if found[1]:
+            depth -= 1
+        elif not (tag in FOREIGN and found[2].endswith("/")):
+            depth += 1
+        if not depth:
+            return found.end()
+    return len(html)
+
+
+def _unframed(page: Page) -> Page:
+    """Forms that stand around a page are taken out of the tree; what they hold goes to their parents."""
+    holds = [tag in FRAMED for tag in page.tags]
+    for k in range(len(page.tags) - 1, 0, -1):
+        holds[page.parents[k]] |= holds[k]
+    frames = {k for k, tag in enumerate(page.tags) if tag == "form" and holds[k]}
+    if not frames:
+        return page
+    for k in range(1, len(page.tags)):
+        if page.parents[k] in frames:  # whose own parent is none by now
+            page.parents[k] = page.parents[page.parents[k]]
+        page.never[k] = page.tags[k] in NEVER or page.never[page.parents[k]]
+    page.pieces = [(page.parents[node] if node in frames else node, raw) for node, raw in page.pieces]
+    return page
+
+
 def parse(html: str) -> Page:
     """A forgiving reader: any text gives some tree, in one pass and without recursion."""
+    return _unframed(_tree(html))
+
+
+def _tree(html: str) -> Page:
     page, at, here, stack = Page(), 0, 0, [0]
     tags, parents, never, pieces = page.tags, page.parents, page.never, page.pieces
     while True:
         found = _MARKUP.search(html, at)
+        until = len(html) if found is None else found.start()
+        if until > at:
+            if tags[here] == "head" and not html[at:until].isspace():
+                del stack[stack.index(here) :]
+                here = stack[-1]
+            pieces.append((here, html[at:until]))
         if found is None:
-            pieces.append((here, html[at:]))
             return page
-        if found.start() > at:
-            pieces.append((here, html[at : found.start()]))
         at = found.end()
         if found[2] is None:
             continue
         tag = found[2].lower()
         if tag not in INLINE:
             pieces.append((-1, ""))
+        if tags[here] == "head" and not found[1] and tag not in IN_HEAD:
+            del stack[stack.index(here) :]
         if found[1]:
             for k in range(len(stack) - 1, 0, -1):
                 if tags[stack[k]] == tag:
@@ -114,8 +161,8 @@ def parse(html: str) -> Page:
         page.marks.append(found[3] if "data-y" in found[3] else "")
         node = len(tags) - 1
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(html, at)
-            at = end.end() if end else len(html)
+            if not (tag in FOREIGN and found[0].endswith("/>")):
+                at = _raw_end(html, tag, at)
         elif tag not in VOID and not found[0].endswith("/>"):
             stack.append(node)
         here = stack[-1]
