@@ -78,6 +78,51 @@ def disclosure_docs(spark):
     return spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), texts
 
 
+def evidence(total, d, t, b):
+    chance = d * t / total
+    return b * math.log2(b / chance) - (b - chance) / math.log(2) if b > chance else 0.0
+
+
+def words_of(text):
+    return [(m[0].lower(), m.start(), m.end()) for m in re.finditer(r"[^\W_]+", text)]
+
+
+def brute_terms(texts):
+    """Spans of told terms per document, from sets of documents."""
+    seen, entities = [], []
+    for text in texts:
+        spans, blank = brute(text), list(text or "")
+        for _, a, b in spans:
+            blank[a:b] = " " * (b - a)
+        seen.append("".join(blank))
+        entities.append({(kind, text[a:b].lower()) for kind, a, b in spans})
+    total, terms = len(texts), [{w for w, _, _ in words_of(t)} for t in seen]
+    holds = {}
+    for i, found_in in enumerate(entities):
+        for e in found_in:
+            holds.setdefault(e, set()).add(i)
+    sets = {frozenset(x) for x in holds.values()}
+    tested = sum(len(terms[i]) * len({frozenset(holds[e]) for e in entities[i]}) for i in range(total)) or 1
+    needed, told = math.log2(tested / privacy.FALSE_ALARMS), {}
+    different = lambda docs: len({texts[i] for i in docs})
+    for docs in sets:
+        if math.log2(total / len(docs)) < privacy.LEAST_BITS:
+            continue
+        for term in set().union(*(terms[i] for i in docs)):
+            both, df = [i for i in docs if term in terms[i]], sum(term in t for t in terms)
+            share = math.log2(total * len(both) / (len(docs) * df)) / math.log2(total / len(docs))
+            sure = evidence(total, different(docs), df - len(both) + different(both), different(both))
+            if share >= privacy.DISCLOSED and sure >= needed and different(both) >= privacy.FEWEST:
+                told[term] = told.get(term, False) or share >= privacy.REVEALED
+    return [[(a, b, told[w]) for w, a, b in words_of(t) if w in told] for t in seen]
+
+
+def terms_found(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found_in = {r["doc_id"]: [(s["start"], s["end"], s["removed"]) for s in r["terms"] or []] for r in privacy.personal_data(df).collect()}
+    return [found_in[i] for i in range(len(texts))]
+
+
 def test_terms_beside_an_entity_are_judged_by_their_information(spark):
     prepare(spark)
     df, texts = disclosure_docs(spark)
@@ -92,22 +137,47 @@ def test_terms_beside_an_entity_are_judged_by_their_information(spark):
         words = {texts[i][s["start"] : s["end"]]: s["removed"] for s in got[i]}
         assert words["Zorro"] and "Alba" not in words and "said" not in words and "mail" not in words
     assert all(not got[i] for i in range(6, total))
+    assert terms_found(spark, texts) == brute_terms(texts)
 
 
-def test_entities_of_one_or_two_documents_are_scored(spark):
+def test_terms_told_are_those_of_counts_by_hand(spark):
     prepare(spark)
-    texts = ["then Pedro said one@mail.org", "then Maria said two@mail.org", "then Maria said two@mail.org again"]
-    texts += ["then Petra said three@mail.org"] + [f"Petra said word{i}" for i in range(4)] + [f"then they said again{i}" for i in range(392)]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    got = {r["doc_id"]: [texts[r["doc_id"]][s["start"] : s["end"]] for s in r["terms"] or []] for r in privacy.personal_data(df).collect()}
-    assert got[0] == ["Pedro"] and got[1] == ["Maria"] and got[2] == ["Maria", "again"]
-    assert not any(got[i] for i in range(3, len(texts)))  # Petra is in four more documents: too weak at one
+    rng = random.Random(11)
+    names = [f"name{i}" for i in range(12)]
+    words = [f"word{i}" for i in range(60)]
+    texts = []
+    for i in range(700):
+        who = rng.randrange(40)
+        parts = [rng.choice(words) for _ in range(rng.randrange(1, 12))]
+        if who < len(names):
+            parts += [names[who]] * (rng.random() < 0.9) + [f"mail{who}@box.org"] * (rng.random() < 0.8) + ["+1 555 010 0000"] * (rng.random() < 0.5)
+        elif rng.random() < 0.05:
+            parts.append(rng.choice(names))
+        rng.shuffle(parts)
+        texts.append(" ".join(parts))
+    texts += texts[:40] + [None, "", "mail0@box.org"] + ["once@box.org with a rareword"] + ["copy@box.org copied words twice"] * 30
+    want = brute_terms(texts)
+    assert sum(map(len, want)) > 20 and terms_found(spark, texts) == want
+
+
+def test_what_is_seen_once_tells_nothing_however_large_the_corpus(spark):
+    prepare(spark)
+    texts = ["then Pedro said one@mail.org"] + [f"then they said again{i}" for i in range(5000)]
+    assert not any(terms_found(spark, texts))
+    # nor do copies of one text: they are one observation
+    assert not any(terms_found(spark, texts + texts[:1] * 50))
+
+
+def test_an_entity_in_most_documents_is_no_secret(spark):
+    prepare(spark)
+    texts = [f"contact office@mail.org about imprint {i}" for i in range(60)] + [f"other text {i}" for i in range(60)]
+    assert not any(terms_found(spark, texts))
 
 
 def test_terms_are_counted_and_spanned_over_whole_texts(spark):
     prepare(spark)
     far = " they said" * 60
-    texts = [f"Zorro{far} to zz@mail.org{far} by ZORRO" for _ in range(6)] + ["Zorro came"] + [f"they said to word{i} by far" for i in range(4000)]
+    texts = [f"Zorro{far} to zz@mail.org{far} by ZORRO {i}" for i in range(6)] + ["Zorro came"] + [f"they said to word{i} by far" for i in range(4000)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     got = {r["doc_id"]: [texts[r["doc_id"]][s["start"] : s["end"]] for s in r["terms"] or []] for r in privacy.personal_data(df).collect()}
     assert all(got[i] == ["Zorro", "ZORRO"] for i in range(6))

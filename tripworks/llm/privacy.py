@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tripworks.llm.frames import free_name
-from tripworks.sources.scratch import materialise
+from tripworks.sources import hadoop
+from tripworks.sources.scratch import discard, materialise
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -28,12 +30,17 @@ HINTS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 
 WORD = r"[\p{L}\p{N}]+"
-# Doubt left by a pair seen in one document; b documents leave DOUBT^b. Rare pairs need a stronger
-# signal by that, and none is left out.
-DOUBT = 0.4
+# Pairs, of all that are tested, that may look disclosing by chance.
+FALSE_ALARMS = 0.01
+# Different texts a pair must meet in: whatever a text alone holds meets there, which says nothing.
+FEWEST = 2
 # Share of an entity's information a term may give away; from the second on nothing of the term stays.
 DISCLOSED = 0.9
 REVEALED = 0.99
+# An entity with fewer bits, in more than an eighth of all documents, is no secret.
+LEAST_BITS = 3.0
+# Terms are sent to all tasks up to so many bytes, as measured; beyond, they meet the words in a shuffle.
+SENT_BYTES = 8 << 20
 # Numbers added up one by one in a running sum; sums of such lots come before them.
 LOT = 256
 
@@ -107,18 +114,47 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.when(F.contains(text, F.lit(HINTS[kind])), spans).otherwise(F.array().cast("array<struct<start:int,end:int,value:string>>"))
 
 
-def _blanked(text: Column, spans: Column) -> Column:
-    """``text`` with blanks in place of the spans, as long as before."""
+def _rewritten(text: Column, spans: Column, put: Callable[[Column, Column], Column], drop_late: bool) -> Column:
+    """``text`` with ``put(span, where the text is read up to)`` in place of each span, spans in order of start.
+
+    Of overlapping spans the later ones begin where the earlier end; with ``drop_late`` they are not put
+    at all. Works lot by lot on the stretch of text a lot covers, so the cost is that of the text and
+    the spans, not their product.
+    """
+
+    def one(stretch: Column, base: Column) -> Callable[[Column, Column], Column]:
+        def step(done: Column, x: Column) -> Column:
+            late = x["start"] < done["at"]
+            gap = F.substring(stretch, done["at"] - base + 1, F.greatest(x["start"] - done["at"], F.lit(0)))
+            parts = F.concat(done["parts"], F.array(gap, put(x, done["at"])))
+            return F.struct(
+                (F.when(late, done["parts"]).otherwise(parts) if drop_late else parts).alias("parts"),
+                F.greatest(done["at"], x["end"]).alias("at"),
+            )
+
+        return step
+
+    empty = F.array().cast("array<string>").alias("parts")
+
+    def lot(done: Column, of: Column) -> Column:
+        until = F.greatest(done["at"], F.array_max(F.transform(of, lambda x: x["end"])))
+        stretch = F.substring(text, done["at"] + 1, until - done["at"])
+
+        def rewrite(cut: Column) -> Column:
+            inner = F.aggregate(of, F.struct(empty, done["at"].alias("at")), one(cut, done["at"]))
+            return let(inner, lambda o: F.struct(F.concat(done["parts"], F.array(F.array_join(o["parts"], ""))).alias("parts"), o["at"].alias("at")))
 
-    def step(done: Column, x: Column) -> Column:
-        gap = F.substring(text, done["at"] + 1, F.greatest(x["start"] - done["at"], F.lit(0)))
-        blank = F.repeat(F.lit(" "), x["end"] - F.greatest(x["start"], done["at"]))
-        return F.struct(F.concat(done["parts"], F.array(gap, blank)).alias("parts"), F.greatest(done["at"], x["end"]).alias("at"))
+        return let(stretch, rewrite)
 
-    start = F.struct(F.array().cast("array<string>").alias("parts"), F.lit(0).alias("at"))
+    lots = F.transform(F.sequence(F.lit(0), ((F.size(spans) - 1) / LOT).cast("int")), lambda k: F.slice(spans, k * LOT + 1, F.lit(LOT)))
     rest = lambda done: F.concat(F.array_join(done["parts"], ""), F.substring(text, done["at"] + 1, F.length(text)))
+    return F.when(F.size(spans) > 0, F.aggregate(lots, F.struct(empty, F.lit(0).alias("at")), lot, rest)).otherwise(text)
+
+
+def _blanked(text: Column, spans: Column) -> Column:
+    """``text`` with blanks in place of the spans, as long as before."""
     ordered = F.array_sort(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))))
-    return F.aggregate(ordered, start, step, rest)
+    return let(ordered, lambda o: _rewritten(text, o, lambda x, at: F.repeat(F.lit(" "), x["end"] - F.greatest(x["start"], at)), False))
 
 
 def _words(text: Column) -> Column:
@@ -150,103 +186,152 @@ def _distinct_words(text: Column) -> Column:
 
 
 def mark_base(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str, str]]:
-    """``docs`` with a ``row`` number, ``base`` spans (kind, start, end, value) and, if there are any, the text ``blanked`` there.
+    """``docs`` with a ``row`` number and ``base`` spans (kind, start, end, value).
 
     Also the names these columns got, so none of ``docs`` is replaced.
     """
-    names = {n: free_name(docs, n) for n in ("row", "whole", "base", "blanked")}
+    names = {n: free_name(docs, n) for n in ("row", "whole", "base")}
     typed = docs.withColumns({names["row"]: F.monotonically_increasing_id(), names["whole"]: F.coalesce(F.col(text).cast("string"), F.lit(""))})
     whole = F.col(names["whole"])
 
     def named(kind: str) -> Column:
         return F.transform(base_spans(whole, kind), lambda x: F.struct(F.lit(kind).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value")))
 
-    typed = typed.withColumn(names["base"], F.concat(*map(named, KINDS)))
-    base = F.col(names["base"])
-    return typed.withColumn(names["blanked"], F.when(F.size(base) > 0, _blanked(whole, base))).drop(names["whole"]), names
+    return typed.withColumn(names["base"], F.concat(*map(named, KINDS))).drop(names["whole"]), names
 
 
-def term_counts(texts: DataFrame, most: float) -> DataFrame:
-    """(term, df): documents, of all, that hold the term; terms in up to ``most`` of them."""
-    words = texts.select(F.explode(_distinct_words(F.col("text"))).alias("term"))
-    return words.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") <= most)
+def evidence(total: Column | float, d: Column, t: Column, b: Column) -> Column:
+    """Bits that speak against chance for a term in ``t`` and an entity in ``d`` of ``total`` documents meeting in ``b``.
+
+    The bound of Chernoff on how likely independent ones meet so often.
+    """
+    n = F.lit(float(total))
+    chance = d * t / n
+    bits = b * F.log2(b * n / (d * t)) - (b - chance) * F.log2(F.exp(F.lit(1.0)))
+    return F.when(b > chance, bits).otherwise(0.0)
 
 
-def _share(total: int, d: Column, t: Column, b: Column) -> Column:
-    """Share of an entity's bits that a term tells, see ``disclosing``; null for an entity without any."""
-    informs = F.log2(F.lit(float(total)) / d)
-    tells = F.log2(F.lit(float(total)) * b * (1 - F.pow(F.lit(DOUBT), b)) / (d * t))
-    return F.when(informs > 0, tells / informs)
+def share(total: float, d: Column, t: Column, b: Column) -> Column:
+    """Share of an entity's bits that a term tells: log2(N b / (d t)) of log2(N / d); null for an entity without any."""
+    n = F.lit(float(total))
+    informs = F.log2(n / d)
+    return F.when(informs > 0, F.log2(n * b / (d * t)) / informs)
 
 
 def _entity_sets(mentions: DataFrame) -> DataFrame:
-    """(row, d, h, g): sets of documents, by size and two hashes, that any entity of a row occurs in.
+    """(row, d, texts, h, g): sets of documents, by size, different texts and two hashes, that an entity of a row occurs in.
 
     Entities of the same documents disclose alike and are one set, so a list of addresses is one.
     """
     value = F.transform("base", lambda x: F.struct(x["kind"].alias("kind"), F.lower(x["value"]).alias("value")))
-    held = mentions.select("row", F.explode(F.array_distinct(value)).alias("e")).select("row", "e.kind", "e.value")
+    held = mentions.select("row", "text_hash", F.explode(F.array_distinct(value)).alias("e")).select("row", "text_hash", "e.kind", "e.value")
     held = materialise(held, "entities")
-    sets = held.groupBy("kind", "value").agg(
+    per_text = held.groupBy("kind", "value", "text_hash").agg(
         F.count(F.lit(1)).alias("d"),
         F.sum(F.xxhash64("row").cast("decimal(20,0)")).alias("h"),
         F.bit_xor(F.xxhash64("row", F.lit(1))).alias("g"),
     )
-    return materialise(held.join(sets, ["kind", "value"]).select("row", "d", "h", "g").distinct(), "entity-sets")
+    sets = per_text.groupBy("kind", "value").agg(
+        F.sum("d").alias("d"), F.count(F.lit(1)).alias("texts"), F.sum("h").alias("h"), F.bit_xor("g").alias("g")
+    )
+    found_sets = materialise(
+        held.join(materialise(sets, "entity-counts"), ["kind", "value"]).select("row", "text_hash", "d", "texts", "h", "g").distinct(), "entity-sets"
+    )
+    discard(held)
+    return found_sets
+
+
+def _with_terms(words: DataFrame, terms: DataFrame) -> DataFrame:
+    """``words`` (with a ``term``) that are among ``terms``, a written table; small ones are sent to all tasks."""
+    small = hadoop.size(terms.sparkSession, terms.inputFiles()) <= SENT_BYTES
+    return words.join(F.broadcast(terms) if small else terms, "term")
+
+
+def co_occurrence(texts: DataFrame, total: int) -> DataFrame:
+    """(d, texts, h, g, term, df, b, seen, needed): entity sets and terms that might be told, with their counts.
+
+    ``texts`` has row, text_hash, text and base. d, df and b count documents with the entity, the term and
+    both, over whole texts; ``seen`` counts the different texts among b, as copies are no evidence of
+    their own. Entities and terms that could not reach ``needed`` bits of evidence even if they always
+    met are not counted out: all pairs that are left away stay below it.
+    """
+    mentions = texts.where(F.size("base") > 0)
+    mentions = materialise(mentions.withColumn("words", _distinct_words(_blanked(F.col("text"), F.col("base")))).drop("text"), "mentions")
+    sets = _entity_sets(mentions)
+    per_row = sets.groupBy("row").agg(F.count(F.lit(1)).alias("n"))
+    tested = mentions.join(per_row, "row").agg(F.sum(F.size("words") * F.col("n"))).first()[0] or 1
+    needed = math.log2(tested / FALSE_ALARMS)
+    bits = F.log2(F.lit(float(max(total, 1))) / F.col("d"))
+    able = sets.where((F.col("texts") >= FEWEST) & (bits >= LEAST_BITS) & (evidence(total, F.col("texts"), F.col("texts"), F.col("texts")) >= needed))
+    able = materialise(able, "able-sets")
+    rows = mentions.join(able.select("row").distinct(), "row", "left_semi")
+    held = materialise(rows.select("row", "text_hash", F.explode("words").alias("term")), "held-terms")
+    # a pair meets in no more texts than the term has among these
+    terms = held.select("term", "text_hash").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("texts"))
+    # and in no more than an entity may have, up to which evidence grows
+    most = F.least(F.col("texts").cast("double"), F.lit(total / 2**LEAST_BITS))
+    terms = terms.where((F.col("texts") >= FEWEST) & (evidence(total, most, most, most) >= needed))
+    terms = materialise(terms.select("term"), "able-terms")
+    away = texts.where(F.size("base") == 0).select(F.explode(_distinct_words(F.col("text"))).alias("term"))
+    inside = mentions.select(F.explode("words").alias("term"))
+    counted = _with_terms(away.union(inside), terms).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    counted = materialise(counted, "term-counts")
+    met_in = F.least("d", "df")
+    rare = _with_terms(held, counted)
+    pairs = rare.join(able.drop("text_hash"), "row").where(share(total, F.col("d"), F.col("df"), met_in) >= DISCLOSED)
+    met = pairs.groupBy("d", "texts", "h", "g", "term", "df", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    met = met.groupBy("d", "texts", "h", "g", "term", "df").agg(F.sum("n").alias("b"), F.count(F.lit(1)).alias("seen"))
+    met = materialise(met.withColumn("needed", F.lit(needed)), "co-occurrence")
+    discard(mentions, sets, able, held, terms, counted)
+    return met
+
+
+def told_terms(texts: DataFrame, total: int) -> DataFrame:
+    """(term, removed): terms that give an entity away, see ``disclosing``."""
+    met = co_occurrence(texts, total)
+    told = met.withColumn("share", share(total, F.col("d"), F.col("df"), F.col("b"))).where(F.col("share") >= DISCLOSED)
+    # the term's other documents might be copies of few texts: they count as texts of their own here, which only lowers the evidence
+    sure = told.where(F.col("seen") >= FEWEST).where(evidence(total, F.col("texts"), F.greatest("seen", F.col("df") - F.col("b") + F.col("seen")), F.col("seen")) >= F.col("needed"))
+    return sure.groupBy("term").agg(F.bool_or(F.col("share") >= REVEALED).alias("removed"))
 
 
 def disclosing(marked: DataFrame, names: dict[str, str], text: str = "text") -> DataFrame:
-    """(row, start, end, removed): words that give away an entity which occurs in their documents.
+    """(row, terms): per row with any, (start, end, removed) of words that give away an entity, by start.
 
     With N documents, an entity in d of them carries log2(N/d) bits. A term in t of them, in b together
-    with the entity, tells log2(N c / (d t)) of those, where c = b (1 - DOUBT^b) is the smoothed count.
-    Entities and pairs of any count are scored, over whole texts. The share told must reach
-    ``DISCLOSED``; from ``REVEALED`` on the term is removed, below that generalised, wherever it stands.
+    with the entity, tells log2(N b / (d t)) of those. The share told must reach ``DISCLOSED``, in ``FEWEST``
+    different texts at least, and that they meet so often must not be chance: over all pairs of an entity
+    and a term that meet anywhere, about ``FALSE_ALARMS`` would by chance. From ``REVEALED`` on a term is removed, below that generalised,
+    wherever it stands, also in documents without the entity.
     """
     texts = marked.select(
-        F.col(names["row"]).alias("row"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
-        F.col(names["base"]).alias("base"), F.col(names["blanked"]).alias("blanked"),
+        F.col(names["row"]).alias("row"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), F.col(names["base"]).alias("base")
     )
-    mentions = texts.where("blanked is not null")
-    sets = _entity_sets(mentions)
-    total, widest = marked.count(), sets.agg(F.max("d")).first()[0] or 0
-    # b is at most d, so a term in more documents than this tells too little of any entity
-    most = total ** (1 - DISCLOSED) * widest**DISCLOSED * (1 + 1e-9)
-    counts = materialise(term_counts(texts, most), "term-counts")
-    rare = mentions.select("row", F.explode(_distinct_words(F.col("blanked"))).alias("term")).join(counts, "term")
-    rare = materialise(rare.select("row", "term", "df"), "rare-terms")
-
-    def share(b: Column) -> Column:
-        return _share(total, F.col("d"), F.col("df"), b)
-
-    # the share grows with b, which is at most d and at most t
-    pairs = rare.join(sets, "row").where(share(F.least("d", "df")) >= DISCLOSED)
-    scored = pairs.groupBy("d", "h", "g", "term", "df").agg(F.count(F.lit(1)).alias("b")).withColumn("share", share(F.col("b")))
-    told = scored.where(F.col("share") >= DISCLOSED).groupBy("term", "df").agg(F.bool_or(F.col("share") >= REVEALED).alias("removed"))
-    near = rare.groupBy("term").agg(F.count(F.lit(1)).alias("near"))
-    told = materialise(told.join(near, "term"), "told")
-
-    hits = rare.select("row", "term").join(told.select("term", "removed"), "term").select("row", "term", "removed")
-    away = told.where(F.col("df") > F.col("near")).select("term", "removed")
-    if not away.isEmpty():  # terms that documents without any entity hold too
-        others = texts.where("blanked is null").select("row", F.explode(_distinct_words(F.col("text"))).alias("term"))
-        hits = hits.union(others.join(away, "term").select("row", "term", "removed"))
+    texts = texts.withColumn("text_hash", F.xxhash64("text"))
+    told = materialise(told_terms(texts, marked.count()), "told")
+    seen = F.when(F.size("base") > 0, _blanked(F.col("text"), F.col("base"))).otherwise(F.col("text"))
+    words = texts.select("row", F.explode(_distinct_words(seen)).alias("term"))
+    hits = _with_terms(words, told).groupBy("row").agg(F.collect_list(F.struct("term", "removed")).alias("told"))
     hits = materialise(hits, "hits")
-    holds = texts.join(hits.select("row").distinct(), "row", "left_semi")
-    placed = holds.select("row", F.explode(_words(F.coalesce("blanked", "text"))).alias("w")).select("row", "w.*")
-    return placed.join(hits, ["row", "term"]).select("row", "start", "end", "removed")
+    discard(told)
+
+    def spans(all_: Column) -> Column:
+        kept = F.filter(all_, lambda w: F.exists("told", lambda t: t["term"] == w["term"]))
+        erased = lambda w: F.exists("told", lambda t: (t["term"] == w["term"]) & t["removed"])
+        return F.transform(kept, lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"), erased(w).alias("removed")))
+
+    return texts.withColumn("seen", seen).join(hits, "row").select("row", spans(_words(F.col("seen"))).alias("terms"))
 
 
 def find(docs: DataFrame, keep: list[str], text: str = "text") -> tuple[DataFrame, dict[str, str]]:
     """The columns ``keep`` with base spans and ``terms``: array of (start, end, removed) by start, or null."""
     marked, names = mark_base(docs, text)
     kept = dict.fromkeys([*keep, text])
-    marked = materialise(marked.select(*kept, *(names[n] for n in ("row", "base", "blanked"))), "base-spans")
+    marked = materialise(marked.select(*kept, *(names[n] for n in ("row", "base"))), "base-spans")
     terms = disclosing(marked, names, text)
     names["terms"] = free_name(marked, "terms")
-    terms = terms.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "removed"))).alias(names["terms"]))
     of = free_name(marked, "of_row")
-    terms = materialise(terms.withColumnRenamed("row", of), "term-spans")
+    terms = materialise(terms.select(F.col("row").alias(of), F.col("terms").alias(names["terms"])), "term-spans")
     met = marked.join(terms, marked[names["row"]] == terms[of], "left")
     return met.select(*keep, *(names[n] for n in ("row", "base", "terms"))), names
 
@@ -273,16 +358,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
     terms = F.transform(names["terms"], lambda x: F.struct(x["start"], x["end"], F.when(x["removed"], "").otherwise(f"[{TERM.upper()}]").alias("put")))
     spans = F.array_sort(F.concat(base, F.coalesce(terms, F.array().cast("array<struct<start:int,end:int,put:string>>"))))
     text = F.col("text").cast("string")
-
-    def step(done: Column, x: Column) -> Column:
-        skip = x["start"] < done["at"]
-        gap = F.substring(text, done["at"] + 1, x["start"] - done["at"])
-        parts = F.when(skip, done["parts"]).otherwise(F.concat(done["parts"], F.array(gap, x["put"])))
-        return F.struct(parts.alias("parts"), F.greatest(done["at"], x["end"]).alias("at"))
-
-    start = F.struct(F.array().cast("array<string>").alias("parts"), F.lit(0).alias("at"))
-    rest = lambda done: F.concat(F.array_join(done["parts"], ""), F.substring(text, done["at"] + 1, F.length(text)))
-    changed = F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)
+    changed = let(spans, lambda o: _rewritten(text, o, lambda x, at: x["put"], True))
     out = met.withColumn("text", changed)
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
