@@ -9,11 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tripworks.llm.frames import free_name, lower_ascii
-from tripworks.sources.scratch import materialise
+from tripworks.sources.scratch import discard, materialise
 
 WINDOW = 13
-# Windows searched for in one pass over the documents: bounds what is sent to every task.
-PASS_WINDOWS = 200_000
+# Bytes of the windows searched for in one pass over the documents: bounds what is sent to every task.
+PASS_BYTES = 64 << 20
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _CLEAN = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
@@ -85,8 +85,9 @@ def windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text",
 
 
 def _passes(found: DataFrame, most: int) -> Iterator[list]:
-    """Windows in lots of about ``most``, one lot on the driver at a time; an empty lot if there are none."""
-    lots = max(1, -(-found.count() // most))
+    """Windows in lots of about ``most`` bytes, one lot on the driver at a time; an empty lot if there are none."""
+    size = lambda names: F.aggregate(names, F.lit(0), lambda n, x: n + F.octet_length(x) + 60)
+    lots = max(1, -(-(found.agg(F.sum(size("words") + size("items"))).first()[0] or 0) // most))
     lot = F.pmod(F.xxhash64("words"), F.lit(lots))
     for k in range(lots):
         yield found.where(lot == k).collect()
@@ -135,13 +136,13 @@ def _scan(docs: DataFrame, text: str, n_words: str, hits: str, items: str, lot:
 
 
 def contamination(
-    docs: DataFrame, benchmark: DataFrame, text: str = "text", size: int = WINDOW, most: int = PASS_WINDOWS
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", size: int = WINDOW, most: int = PASS_BYTES
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``n_hit``, ``hit_items`` (sorted item ids as strings) and ``contaminated``.
 
     A document is contaminated if words inside windows are at least a twentieth of its words. The
-    documents are scanned once per ``most`` distinct windows, so what a task holds does not grow with
-    the benchmark. Null and empty texts have no words and are clean; items without words or id have
+    documents are scanned once per ``most`` bytes of distinct windows, and written between scans, so what a
+    task holds does not grow with the benchmark. Null and empty texts have no words and are clean; items without words or id have
     no windows; repeated rows and items count as they are. Columns of ``docs`` that have one of the
     new names are replaced.
     """
@@ -150,7 +151,12 @@ def contamination(
     hits = free_name(rest, "hit_ranges")
     empty = {"n_words": F.lit(None).cast("bigint"), hits: F.array().cast("array<bigint>"), "hit_items": F.array().cast("array<string>")}
     marked = rest.withColumns(empty)
-    for lot in _passes(materialise(windows(benchmark, size=size), "windows"), most):
+    before = None
+    for k, lot in enumerate(_passes(materialise(windows(benchmark, size=size), "windows"), most)):
+        if k:  # the scan before this one has ended before the next lot is sent
+            marked = materialise(marked, "scanned")
+            discard(*([before] if before else []))
+            before = marked
         marked = _scan(marked, text, "n_words", hits, "hit_items", lot)
     length = F.transform(hits, lambda x, i: F.when(i % 2 == 1, x).otherwise(-x))
     n_hit = F.aggregate(length, F.lit(0).cast("bigint"), lambda total, x: total + x)

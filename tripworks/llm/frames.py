@@ -38,6 +38,12 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def row_key(df: DataFrame) -> Column:
+    """128 bits over all columns: rows with one key are equal in every column, nulls included."""
+    columns = [F.struct(*(F.col(f"`{c}`") for c in df.columns))]
+    return F.concat(F.hex(F.xxhash64(*columns)), F.hex(F.xxhash64(F.lit(1), *columns)))
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())
 
@@ -76,8 +82,9 @@ def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b): one row (node, root) per node, root the least node.
 
     Alternating star contraction: each round links every larger neighbour of a node to the node's
-    least neighbour, then every smaller one. Minima are combined before the shuffle, rounds are
-    written to the shared folder, and the last round leaves a star per component.
+    least neighbour, then every smaller one. Minima are combined before the shuffle and written, so that
+    both sides of their join are plain shuffles, of which adaptive execution splits the hub's part.
+    Rounds are written to the shared folder, and the last round leaves a star per component.
     """
     current = materialise(
         edges.where("a <> b")
@@ -88,9 +95,9 @@ def components(edges: DataFrame) -> DataFrame:
     mark = _mark(current)
     while mark[0]:
         both = current.union(current.select("v", "u")).toDF("u", "v")
-        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = materialise(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least")
+        large = materialise(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")), "large")
+        least = materialise(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select(
             F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")
         )

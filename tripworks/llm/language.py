@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tripworks.llm.frames import free_name
+from tripworks.llm.frames import free_name, row_key
 from tripworks.sources.scratch import materialise
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -96,7 +96,7 @@ def text_evidence(docs: DataFrame, columns: dict[str, str], model: np.ndarray) -
             arrays = [*batch.columns[1:], pa.array(scores, pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(arrays, names=[*names, "text_score"])
 
-    kinds = {"row_id": "bigint"}
+    kinds = {"row_id": dict(docs.dtypes)[columns["row_id"]]}
     narrow = docs.select(
         F.col(columns["text"]).cast("string").alias("text"),
         *(F.col(columns[n]).cast(kinds.get(n, "string")).alias(n) for n in names),
@@ -207,13 +207,13 @@ def identify(
 def keep_identified(docs: DataFrame, languages: Sequence[str] = LANGUAGES) -> DataFrame:
     """The documents whose language is accepted, all columns as they were; ``source`` is the host.
 
-    Decisions meet documents by doc_id. Rows without one cannot be named and all stay; of rows that
-    share one all stay if one is accepted.
+    Decisions meet documents by a key over all columns, so every row has its own, with or without an id.
     """
-    named = identify(docs, "doc_id", "text", "lang", "source", languages=languages)
-    verdict = named.where("row_id is not null").groupBy("row_id").agg(F.bool_or("accepted").alias("accepted"))
-    away = materialise(verdict.where(~F.col("accepted")).select(F.col("row_id").alias("doc_id")), "rejected")
-    return docs.join(away, "doc_id", "left_anti").select(*docs.columns)
+    key = free_name(docs, "row_key")
+    keyed = docs.withColumn(key, row_key(docs))
+    named = identify(keyed, key, "text", "lang", "source", languages=languages)
+    away = materialise(named.where(~F.col("accepted")).select(F.col("row_id").alias(key)).distinct(), "rejected")
+    return keyed.join(away, key, "left_anti").select(*docs.columns)
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:

@@ -252,8 +252,8 @@ def co_occurrence(texts: DataFrame, total: int) -> DataFrame:
 
     ``texts`` has row, text_hash, text and base. d, df and b count documents with the entity, the term and
     both, over whole texts; ``seen`` counts the different texts among b, as copies are no evidence of
-    their own. Entities and terms that could not reach ``needed`` bits of evidence even if they always
-    met are not counted out: all pairs that are left away stay below it.
+    their own. A term is looked up in all documents only if, going by the documents that mention an
+    entity, some pair of it could reach the share and the ``needed`` bits: more documents with it lower both.
     """
     mentions = texts.where(F.size("base") > 0)
     mentions = materialise(mentions.withColumn("words", _distinct_words(_blanked(F.col("text"), F.col("base")))).drop("text"), "mentions")
@@ -266,33 +266,42 @@ def co_occurrence(texts: DataFrame, total: int) -> DataFrame:
     able = materialise(able, "able-sets")
     rows = mentions.join(able.select("row").distinct(), "row", "left_semi")
     held = materialise(rows.select("row", "text_hash", F.explode("words").alias("term")), "held-terms")
-    # a pair meets in no more texts than the term has among these
-    terms = held.select("term", "text_hash").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("texts"))
-    # and in no more than an entity may have, up to which evidence grows
-    most = F.least(F.col("texts").cast("double"), F.lit(total / 2**LEAST_BITS))
-    terms = terms.where((F.col("texts") >= FEWEST) & (evidence(total, most, most, most) >= needed))
-    terms = materialise(terms.select("term"), "able-terms")
-    away = texts.where(F.size("base") == 0).select(F.explode(_distinct_words(F.col("text"))).alias("term"))
-    inside = mentions.select(F.explode("words").alias("term"))
-    counted = _with_terms(away.union(inside), terms).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    counted = materialise(counted, "term-counts")
-    met_in = F.least("d", "df")
-    rare = _with_terms(held, counted)
-    pairs = rare.join(able.drop("text_hash"), "row").where(share(total, F.col("d"), F.col("df"), met_in) >= DISCLOSED)
-    met = pairs.groupBy("d", "texts", "h", "g", "term", "df", "text_hash").agg(F.count(F.lit(1)).alias("n"))
-    met = met.groupBy("d", "texts", "h", "g", "term", "df").agg(F.sum("n").alias("b"), F.count(F.lit(1)).alias("seen"))
-    met = materialise(met.withColumn("needed", F.lit(needed)), "co-occurrence")
-    discard(mentions, sets, able, held, terms, counted)
+    # documents with the term among these: no more than all that have it, no fewer than those of any pair
+    near = held.groupBy("term", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    near = near.groupBy("term").agg(F.sum("n").alias("near"), F.count(F.lit(1)).alias("in_texts")).where(F.col("in_texts") >= FEWEST)
+    near = materialise(near.select("term", "near"), "near-terms")
+    pairs = held.join(near, "term").join(able.drop("text_hash"), "row")
+    pairs = pairs.where(share(total, F.col("d"), F.col("near"), F.least("d", "near")) >= DISCLOSED)
+    met = pairs.groupBy("d", "texts", "h", "g", "term", "near", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    met = met.groupBy("d", "texts", "h", "g", "term", "near").agg(F.sum("n").alias("b"), F.count(F.lit(1)).alias("seen"))
+    met = materialise(met.where(_telling(total, "near", needed)).withColumn("needed", F.lit(needed)), "pairs")
+    # of the pairs left, how many documents have the term at all
+    words = F.when(F.size("base") > 0, _blanked(F.col("text"), F.col("base"))).otherwise(F.col("text"))
+    counts = texts.select(F.explode(_distinct_words(words)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    if met.isEmpty():  # nothing to look up
+        counts = counts.limit(0)
+    met = materialise(met.drop("near").join(counts, "term"), "co-occurrence")
+    discard(mentions, sets, able, held, near)
     return met
 
 
+def _telling(total: float, t: str, needed: float) -> Column:
+    """Whether a pair reaches share and evidence, with ``t`` documents that have the term.
+
+    Those of them without the entity might be copies of few texts: they count as texts of their own here,
+    which only lowers the evidence.
+    """
+    told = share(total, F.col("d"), F.col(t), F.col("b")) >= DISCLOSED
+    different = F.greatest("seen", F.col(t) - F.col("b") + F.col("seen"))
+    return told & (F.col("seen") >= FEWEST) & (evidence(total, F.col("texts"), different, F.col("seen")) >= needed)
+
+
 def told_terms(texts: DataFrame, total: int) -> DataFrame:
     """(term, removed): terms that give an entity away, see ``disclosing``."""
     met = co_occurrence(texts, total)
-    told = met.withColumn("share", share(total, F.col("d"), F.col("df"), F.col("b"))).where(F.col("share") >= DISCLOSED)
-    # the term's other documents might be copies of few texts: they count as texts of their own here, which only lowers the evidence
-    sure = told.where(F.col("seen") >= FEWEST).where(evidence(total, F.col("texts"), F.greatest("seen", F.col("df") - F.col("b") + F.col("seen")), F.col("seen")) >= F.col("needed"))
-    return sure.groupBy("term").agg(F.bool_or(F.col("share") >= REVEALED).alias("removed"))
+    told = met.where(_telling(total, "df", F.col("needed")))
+    most = share(total, F.col("d"), F.col("df"), F.col("b"))
+    return told.groupBy("term").agg(F.bool_or(most >= REVEALED).alias("removed"))
 
 
 def disclosing(marked: DataFrame, names: dict[str, str], text: str = "text") -> DataFrame:
@@ -315,12 +324,12 @@ def disclosing(marked: DataFrame, names: dict[str, str], text: str = "text") ->
     hits = materialise(hits, "hits")
     discard(told)
 
-    def spans(all_: Column) -> Column:
-        kept = F.filter(all_, lambda w: F.exists("told", lambda t: t["term"] == w["term"]))
-        erased = lambda w: F.exists("told", lambda t: (t["term"] == w["term"]) & t["removed"])
-        return F.transform(kept, lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"), erased(w).alias("removed")))
-
-    return texts.withColumn("seen", seen).join(hits, "row").select("row", spans(_words(F.col("seen"))).alias("terms"))
+    met = texts.withColumn("seen", seen).join(hits, "row")
+    each = met.select("row", F.col("told.term").alias("names"), "told", F.explode(_words(F.col("seen"))).alias("w"))
+    placed = each.where(F.array_contains("names", F.col("w.term")))
+    erased = F.exists("told", lambda t: (t["term"] == F.col("w.term")) & t["removed"])
+    span = F.struct(F.col("w.start").alias("start"), F.col("w.end").alias("end"), erased.alias("removed"))
+    return placed.select("row", span.alias("span")).groupBy("row").agg(F.array_sort(F.collect_list("span")).alias("terms"))
 
 
 def find(docs: DataFrame, keep: list[str], text: str = "text") -> tuple[DataFrame, dict[str, str]]:

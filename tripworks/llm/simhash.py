@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tripworks.llm.frames import components
+from tripworks.llm.frames import components, free_name, row_key
 from tripworks.sources.scratch import materialise
 
 SEED = 42
@@ -41,17 +41,18 @@ def fingerprint(text: bytes, length: int = 3) -> int:
     return int(bits.view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 3) -> DataFrame:
-    """One row (doc_id, fp) per row of ``docs``."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 3, key: str | None = None) -> DataFrame:
+    """One row (doc_id, fp) per row of ``docs``; with ``key``, a column of strings, that one too."""
+    more = [key] if key else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             found = [fingerprint(t or b"", length) for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64()), *batch.columns[2:]], names=["doc_id", "fp", *more])
 
-    narrow = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id bigint, fp bigint")
+    narrow = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), *more)
+    return narrow.mapInArrow(run, ", ".join(["doc_id bigint, fp bigint", *(f"`{c}` string" for c in more)]))
 
 
 def covering_masks(radius: int, bits: int = BITS) -> list[int]:
@@ -126,28 +127,36 @@ def near_duplicates(
     Repeated rows come back repeated; columns other than these two are not looked at.
     """
     marked = materialise(fingerprints(docs, doc_id, text, length), "fingerprints")
-    nodes = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
-    reach = components(near_links(nodes.select("fp"), radius))
-    linked = materialise(reach.join(nodes, reach.node == nodes.fp).select("fp", "root", "first_id"), "linked")
-    least = linked.groupBy("root").agg(F.min("first_id").alias("least_id"))
-    named = linked.join(least, "root").select("fp", "least_id")
-    lookup = nodes.join(named, "fp", "left").select(
-        "fp", F.coalesce("least_id", "first_id").alias("component_id")
-    )
+    lookup = _least_reached(marked, F.col("doc_id"), radius).withColumnRenamed("least", "component_id")
     return marked.join(lookup, "fp", "left").select("doc_id", "fp", "component_id")
 
 
+def _least_reached(marked: DataFrame, value: Column, radius: int) -> DataFrame:
+    """(fp, least): the least ``value`` among the rows of ``marked`` that links reach from each fingerprint."""
+    nodes = materialise(marked.groupBy("fp").agg(F.min(value).alias("first")), "nodes")
+    reach = components(near_links(nodes.select("fp"), radius))
+    linked = materialise(reach.join(nodes, reach.node == nodes.fp).select("fp", "root", "first"), "linked")
+    least = linked.groupBy("root").agg(F.min("first").alias("least"))
+    named = linked.join(least, "root").select("fp", "least")
+    return nodes.join(named, "fp", "left").select("fp", F.coalesce("least", "first").alias("least"))
+
+
 def keep_one(docs: DataFrame, length: int = 3, radius: int = 2) -> DataFrame:
-    """The row of ``docs`` whose doc_id names its component, once; all columns as they were.
+    """One row of ``docs`` per component of its near-duplicates; all columns as they were.
 
-    Rows without doc_id cannot be named and all stay. Rows equal in doc_id and text are one.
+    Of a component the row with the least doc_id stays, null ids last; of rows that share it the one with
+    the least key over all columns. Rows are told apart by that key, so rows with one id and different
+    texts are judged apart, and rows equal in all columns are one.
     """
-    named = near_duplicates(docs, length=length, radius=radius)
-    away = materialise(named.where("doc_id <> component_id").select("doc_id").distinct(), "copies")
-    seen = named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null")
-    seen = materialise(seen.select("doc_id"), "repeated")
-    rest = docs.join(away, "doc_id", "left_anti").select(*docs.columns)
-    if seen.isEmpty():
-        return rest
-    again = rest.join(seen, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
-    return rest.join(seen, "doc_id", "left_anti").select(*docs.columns).union(again)
+    key, doc_id = free_name(docs, "row_key"), "doc_id"
+    keyed = docs.withColumn(key, row_key(docs))
+    marked = materialise(fingerprints(keyed, doc_id, "text", length, key), "fingerprints")
+    first = _least_reached(marked, F.struct(F.col("doc_id").isNull(), "doc_id", F.col(key).alias("key")), radius)
+    kept = materialise(first.select(F.col("least.key").alias(key)).distinct(), "kept")
+    often = marked.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    again = materialise(often.select(key).join(kept, key, "left_semi"), "equal-rows")
+    stay = keyed.join(kept, key, "left_semi")
+    if again.isEmpty():
+        return stay.select(*docs.columns)
+    once = stay.join(again, key, "left_semi").dropDuplicates([key])
+    return stay.join(again, key, "left_anti").select(*docs.columns).union(once.select(*docs.columns))
