@@ -7,7 +7,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from tripworks.operators import cluster
+from tripworks.operators import cluster, nearest
 from tripworks.sources import fixtures
 
 
@@ -99,3 +99,52 @@ def test_equally_near_centres_and_missing_points(spark):
     )
     out = cluster.assign_to_centres(df, [(1.0, 0.0), (0.0, 1.0), (5.0, 5.0)], "p", "d").collect()
     assert [(r["p"], r["d"]) for r in out] == [(0, 2), (None, 0)]
+
+
+@pytest.mark.parametrize("k,digits", [(1, 6), (2, 6), (30, 1), (100, 6), (400, 3)])
+def test_the_grid_finds_the_nearest_of_all_centres(spark, k, digits):
+    rng = np.random.default_rng(k)
+    centres = np.round(rng.normal([40.7, -73.95], [0.1, 0.05], (k, 2)), digits)
+    near, far = rng.normal([40.7, -73.95], [0.15, 0.1], (4000, 2)), rng.normal(0, 300, (200, 2))
+    points = np.concatenate([near, np.round(near[:500], 1), centres, far, rng.normal(0, 1e7, (50, 2))])
+    df = spark.createDataFrame([(i, float(y), float(x)) for i, (y, x) in enumerate(points)] + [(-1, None, 1.0)], "i int, y double, x double")
+    index = nearest.CentreIndex(centres)
+    found = {r["i"]: r["c"] for r in index.assign(df, {"c": (F.col("y"), F.col("x"))}).collect()}
+    assert found.pop(-1) is None
+    for i, (y, x) in enumerate(points):
+        assert found[i] == int(np.argmin((y - centres[:, 0]) * (y - centres[:, 0]) + (x - centres[:, 1]) * (x - centres[:, 1])))
+
+
+def test_work_per_row_does_not_grow_with_the_centres():
+    rng = np.random.default_rng(4)
+    few, many = (nearest.CentreIndex(rng.uniform(0, 1, (k, 2))) for k in (100, 800))
+    assert few.most <= 10 and many.most <= 10 and many.mean_candidates() < 1.3 * few.mean_candidates()
+
+
+def test_small_batches_come_near_the_full_fit(spark, trips):
+    full = cluster.fit_location_clusters(trips, k=25, seed=3, max_iter=20).clusterCenters()
+    small = cluster.fit_mini_batch_clusters(trips, k=25, seed=3, batch=1000, batches=20)
+    assert len(small) == 25
+    costs = [cluster.clustering_cost(trips, c).first()["cost"] for c in (full, small)]
+    assert costs[1] <= 1.1 * costs[0]
+    points = np.array([(r[f"{e}_latitude"], r[f"{e}_longitude"]) for r in trips.collect() for e in cluster.ENDS])
+    brute = ((points[:, None, :] - np.array(small)[None]) ** 2).sum(axis=2).min(axis=1).sum()
+    assert costs[1] == pytest.approx(brute)
+
+
+def test_a_batch_reads_its_own_folder(spark, trips):
+    from tripworks.sources.scratch import materialise_parts
+
+    points = cluster.stacked_points(trips).withColumn("part", F.pmod(F.xxhash64("lat", "lng"), F.lit(5)).cast("int"))
+    dealt = materialise_parts(points, "part", "test-parts")
+    plan = dealt.where("part = 3")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan
+    sizes = [dealt.where(F.col("part") == k).count() for k in range(5)]
+    assert sum(sizes) == points.count() and max(sizes) < 0.3 * sum(sizes)
+
+
+def test_few_or_no_points(spark):
+    ends = "pickup_latitude double, pickup_longitude double, dropoff_latitude double, dropoff_longitude double"
+    assert cluster.fit_mini_batch_clusters(spark.createDataFrame([], ends), k=3) == []
+    two = spark.createDataFrame([(1.0, 2.0, 1.0, 2.0), (3.0, 4.0, None, 4.0)], ends)
+    assert sorted(cluster.fit_mini_batch_clusters(two, k=5)) == [(1.0, 2.0), (3.0, 4.0)]

