@@ -29,7 +29,8 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 
-WORD = r"[\p{L}\p{N}]+"
+LETTER = r"[\p{L}\p{N}]"
+WORD = f"{LETTER}+"
 # Pairs, of all that are tested, that may look disclosing by chance.
 FALSE_ALARMS = 0.01
 # Different texts a pair must meet in: whatever a text alone holds meets there, which says nothing.
@@ -60,12 +61,13 @@ def _running(lengths: Column, i: Column) -> Callable[[Column], Column]:
     return lambda lots: _sum(F.slice(lots, F.lit(1), full)) + _sum(F.slice(lengths, full * LOT + 1, i % LOT))
 
 
-def found(text: Column, pattern: str) -> Column:
-    """Matches as (start, end, value), in code points from 0, end exclusive.
+def found(text: Column, pattern: str | Column) -> Column:
+    """Matches as (start, end, value), in code points from 0, end exclusive; the pattern may be one per row.
 
     What lies between matches is as long as the pieces the text splits into; starts are running sums.
     """
-    values, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+    regex = F.lit(pattern) if isinstance(pattern, str) else pattern
+    values, between = F.regexp_extract_all(text, regex, F.lit(0)), F.split(text, regex, F.lit(-1))
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
 
     def spans(v: Column, gaps: Column) -> Column:
@@ -84,7 +86,7 @@ def found(text: Column, pattern: str) -> Column:
         return let(both, each)
 
     lengths = F.transform(between, F.length)
-    return F.when(text.rlike(pattern), let(values, lambda v: let(lengths, lambda gaps: spans(v, gaps)))).otherwise(none)
+    return F.when(F.regexp(text, regex), let(values, lambda v: let(lengths, lambda gaps: spans(v, gaps)))).otherwise(none)
 
 
 def _digits(value: Column) -> Column:
@@ -157,30 +159,6 @@ def _blanked(text: Column, spans: Column) -> Column:
     return let(ordered, lambda o: _rewritten(text, o, lambda x, at: F.repeat(F.lit(" "), x["end"] - F.greatest(x["start"], at)), False))
 
 
-def _words(text: Column) -> Column:
-    """All words as (term, start, end), terms in lower case; starts are added up lot by lot."""
-    values, gaps = F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.split(text, WORD, -1)
-    pieces = F.zip_with(values, gaps, lambda x, gap: F.struct(F.lower(x).alias("term"), F.length(gap).alias("gap"), F.length(x).alias("size")))
-    none = F.array().cast("array<struct<term:string,start:int,end:int>>")
-
-    def add(done: Column, x: Column) -> Column:
-        start = done["at"] + x["gap"]
-        word = F.struct(x["term"].alias("term"), start.alias("start"), (start + x["size"]).alias("end"))
-        return F.struct((start + x["size"]).alias("at"), F.concat(done["words"], F.array(word)).alias("words"))
-
-    def lot(done: Column, of: Column) -> Column:
-        own = F.aggregate(of, F.struct(done["at"].alias("at"), none.alias("words")), add)
-        return let(own, lambda o: F.struct(o["at"].alias("at"), F.concat(done["lots"], F.array(o["words"])).alias("lots")))
-
-    def cut(all_: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), (F.size(all_) / LOT).cast("int")), lambda k: F.slice(all_, k * LOT + 1, F.lit(LOT)))
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<struct<term:string,start:int,end:int>>>").alias("lots"))
-    # the gap after the last word belongs to none
-    lots = let(F.filter(pieces, lambda x: x["term"].isNotNull()), cut)
-    return F.flatten(F.aggregate(lots, start, lot)["lots"])
-
-
 def _distinct_words(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lower))
 
@@ -324,12 +302,14 @@ def disclosing(marked: DataFrame, names: dict[str, str], text: str = "text") ->
     hits = materialise(hits, "hits")
     discard(told)
 
-    met = texts.withColumn("seen", seen).join(hits, "row")
-    each = met.select("row", F.col("told.term").alias("names"), "told", F.explode(_words(F.col("seen"))).alias("w"))
-    placed = each.where(F.array_contains("names", F.col("w.term")))
-    erased = F.exists("told", lambda t: (t["term"] == F.col("w.term")) & t["removed"])
-    span = F.struct(F.col("w.start").alias("start"), F.col("w.end").alias("end"), erased.alias("removed"))
-    return placed.select("row", span.alias("span")).groupBy("row").agg(F.array_sort(F.collect_list("span")).alias("terms"))
+    met = texts.withColumn("seen", seen).join(hits, "row").withColumn("names", F.col("told.term"))
+    # the words of the row that are told, as they are written there, make its own pattern
+    forms = F.filter(F.array_distinct(F.regexp_extract_all("seen", F.lit(WORD), F.lit(0))), lambda w: F.array_contains("names", F.lower(w)))
+    pattern = F.concat(F.lit(rf"(?<!{LETTER})(?:"), F.array_join(forms, "|"), F.lit(rf")(?!{LETTER})"))
+    met = met.withColumn("pattern", pattern)
+    erased = lambda w: F.exists("told", lambda t: (t["term"] == F.lower(w["value"])) & t["removed"])
+    span = lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"), erased(w).alias("removed"))
+    return met.select("row", F.transform(found(F.col("seen"), F.col("pattern")), span).alias("terms"))
 
 
 def find(docs: DataFrame, keep: list[str], text: str = "text") -> tuple[DataFrame, dict[str, str]]:
