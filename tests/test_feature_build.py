@@ -32,6 +32,66 @@ def test_stages_are_stored_and_resumed(spark, folder, inputs):
     assert other.digest() != cfg.digest() and store.under(other.digest()).latest() is None
 
 
+def _differences(one, two):
+    """Ids and columns in which two frames differ by more than the order of sums can explain."""
+    columns = sorted(one.columns)
+    assert columns == sorted(two.columns)
+    left, right = ({r["id"]: r for r in df.collect()} for df in (one, two))
+    assert left.keys() == right.keys()
+
+    def same(a, b):
+        return a == b or (isinstance(a, float) and isinstance(b, float) and a == pytest.approx(b, rel=1e-6, abs=1e-9))
+
+    return [(i, c, left[i][c], right[i][c]) for i in left for c in columns if not same(left[i][c], right[i][c])]
+
+
+@pytest.mark.parametrize("stopped_after", [3, 5])
+def test_a_build_that_goes_on_equals_one_in_a_single_run(spark, folder, inputs, monkeypatch, stopped_after):
+    cfg = feature_build.Config(clusters=12, cluster_iterations=2, min_count=10, heavy_quantile=0.8, window_minutes=(10,))
+    fit, models = cluster.fit_location_clusters, []
+
+    def once(*args):  # k-means starts from rows as they lie in partitions, so two fits may differ
+        models[:] = models or [fit(*args)]
+        return models[0]
+
+    monkeypatch.setattr(cluster, "fit_location_clusters", once)
+    whole = feature_build.build_features(*inputs, cfg)
+    store, save = StageStore(spark, folder), StageStore.save
+
+    def broken(self, stage, df, notes=None):
+        if stage > stopped_after:
+            raise KeyboardInterrupt
+        save(self, stage, df, notes)
+
+    monkeypatch.setattr(StageStore, "save", broken)
+    with pytest.raises(KeyboardInterrupt):
+        feature_build.build_features(*inputs, cfg, store)
+    monkeypatch.setattr(StageStore, "save", save)
+    assert store.under(cfg.digest()).latest() == stopped_after
+    assert _differences(feature_build.build_features(*inputs, cfg, store), whole)[:5] == []
+
+
+def test_stages_of_other_trips_are_not_read(spark, folder, inputs):
+    cfg = queries._grid_config(min_count=10)
+    store = StageStore(spark, folder)
+    trips, routes, weather = inputs
+    feature_build.build_features(trips, routes, weather, cfg, store)
+    fewer = feature_build.build_features(trips.where("id > 'id0001000'"), routes, weather, cfg, store)
+    assert fewer.count() == trips.where("id > 'id0001000'").count()
+
+
+def other_place(df):
+    return df
+
+
+def test_only_named_functions_make_a_key():
+    named = [feature_build.Config(locate=f).digest() for f in (queries._celled, other_place)]
+    assert len(set(named)) == 2 and named[0] == feature_build.Config(locate=queries._celled).digest()
+    for unnamed in (lambda df: df, (lambda step: lambda df: df.limit(step))(3)):
+        with pytest.raises(ValueError):
+            feature_build.Config(locate=unnamed).digest()
+
+
 def test_optional_steps(inputs):
     cfg = queries._grid_config(heavy_quantile=0.8, max_distance=12.0, max_missing_rate=0.25, leave_one_out=True)
     cfg = feature_build.Config(**{**cfg.__dict__, "clusters": 6})

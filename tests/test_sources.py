@@ -82,6 +82,24 @@ def test_stage_store(spark, folder):
     assert "PartitionFilters: [isnotnull(split" in plan
 
 
+def test_a_killed_write_is_not_seen(spark, folder):
+    store = StageStore(spark, folder)
+    both = spark.createDataFrame([("a", "train"), ("b", "test")], "id string, split string")
+    store.save(1, both, {"from": "x"})
+    failing = spark.range(50).selectExpr("if(id = 49, raise_error('lost'), string(id)) as id", "'train' as split")
+    with pytest.raises(Exception):
+        store.save(1, failing)
+    with pytest.raises(Exception):
+        store.save_split(1, failing, "train")
+    assert store.exists(1) and store.notes(1) == {"from": "x"} and sorted(r["id"] for r in store.load(1).collect()) == ["a", "b"]
+    # files lost or cut short since
+    name = next(iter(next(iter(store.record(1)["parts"].values()))["files"]))
+    (path,) = glob.glob(f"{folder}/stage_1/*/{name}")
+    with open(path, "wb"):
+        pass
+    assert not store.exists(1) and store.latest() is None
+
+
 def test_feature_cache(spark, folder):
     cache = FeatureCache(spark, folder)
     built = []

@@ -11,9 +11,20 @@ from pyspark.sql import DataFrame
 from tripworks.operators import cluster, enrich, features, profile, rows, stats, traffic
 from tripworks.sources import schema
 from tripworks.sources.scratch import materialise
-from tripworks.sources.stages import FeatureCache, StageStore, join_features
+from tripworks.sources.stages import FeatureCache, StageStore, content_identity, join_features
 
 LAST_STAGE = 7
+# The stage that adds clusters; later ones count on the trips as it located them.
+LOCATED = 3
+
+
+def _code_identity(function: Callable) -> str:
+    """Name and code of a function that can be told apart from others by them."""
+    code = getattr(function, "__code__", None)
+    if code is None or "<" in function.__qualname__ or code.co_freevars:
+        raise ValueError(f"only a named function of a module says what it does when its results are kept: {function!r}")
+    seen = (code.co_code, code.co_names, code.co_varnames, [c for c in code.co_consts if isinstance(c, (str, int, float, tuple, type(None)))])
+    return f"{function.__module__}.{function.__qualname__}.{hashlib.md5(repr(seen).encode()).hexdigest()[:8]}"
 
 
 @dataclass(frozen=True)
@@ -45,7 +56,7 @@ class Config:
     def digest(self) -> str:
         """Short name of all settings that decide what is built."""
         settings = {f.name: getattr(self, f.name) for f in fields(self) if f.name != "cache"}
-        settings["locate"] = self.locate and f"{self.locate.__module__}.{self.locate.__qualname__}"
+        settings["locate"] = self.locate and _code_identity(self.locate)
         return hashlib.md5(repr(sorted(settings.items())).encode()).hexdigest()[:12]
 
     @property
@@ -169,11 +180,13 @@ def build_features(
 ) -> DataFrame:
     """All features of all trips, one row per trip of ``trips``.
 
-    With a store, each stage is written under its number, apart for each configuration, and a
-    finished one is read back instead of being built again; without one only the frames that are
-    read twice are written.
+    With a store, each stage is written under its number, apart for each configuration, together with
+    the identity of the inputs by content and the centres fitted on the way. A finished stage of the same
+    inputs is read back instead of being built again, and a build that goes on from any stage gives what
+    one in a single run gives. Without inputs, the stages stored are taken as they are. Without a store
+    only the frames that are read twice are written.
     """
-    found: list = [None, None]  # located trips and centres, if this run made them
+    found: list = [None, None]  # located trips and their centres
 
     def clusters_and_groups(df: DataFrame) -> DataFrame:
         found[:] = locate(df, cfg)
@@ -195,11 +208,19 @@ def build_features(
             df = step(df)
         return df
     store = store.under(cfg.digest())
-    done = next((n for n in range(LAST_STAGE, -1, -1) if store.exists(n)), -1)
+    inputs = None if trips is None else [content_identity(x) for x in (trips, routes, weather)]
+    done = store.latest(lambda n: n <= LAST_STAGE and inputs in (None, store.notes(n).get("inputs")))
+    done = -1 if done is None else done
     if done >= 0:
         df = store.load(done)
+    if LOCATED <= done < LAST_STAGE:
+        # the stage holds the rows as they were located, with more columns than what follows looks at
+        ends = [f"{e}_{x}" for e in cluster.ENDS for x in ("datetime", "latitude", "longitude")]
+        found[:] = store.load(LOCATED).select("id", *ends, cfg.pickup_cluster, cfg.dropoff_cluster), store.notes(done)["centres"]
     for number in range(done + 1, len(steps)):
-        store.save(number, steps[number](df))
+        built = steps[number](df)
+        centres = None if found[1] is None else [list(map(float, c)) for c in found[1]]
+        store.save(number, built, {"inputs": inputs, "centres": centres})
         df = store.load(number)
     return df
 

@@ -2,19 +2,28 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import re
+import uuid
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tripworks.sources import hadoop
 
-_MARK = "_SUCCESS"
+_RECORD = re.compile(r"commit_(\d+)\.json")
 _STAGE_NAME = re.compile(r"stage_(\d+)")
 
 
 class StageStore:
-    """Stages live in ``root/stage_<n>``, partitioned by split so reading one split skips the other."""
+    """Stages live in ``root/stage_<n>``, partitioned by split so reading one split skips the other.
+
+    A write goes to a folder of its own and counts only once a commit record names it: the folders that
+    make up the stage, each with its files, their sizes and schema, and notes such as what the stage was
+    built from. A write that is killed leaves no record, so it is never read, and the stage before it
+    stays as it was. The record with the highest number counts; what it does not name is removed.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -27,40 +36,72 @@ class StageStore:
         """A store of its own inside this one."""
         return StageStore(self.spark, f"{self.root}/{name}")
 
-    def exists(self, stage: int) -> bool:
-        """Finished means marked as a whole, or every split in it marked."""
-        path = self.path(stage)
-        if hadoop.exists(self.spark, f"{path}/{_MARK}"):
-            return True
-        splits = self._splits(stage)
-        return bool(splits) and all(hadoop.exists(self.spark, f"{path}/{s}/{_MARK}") for s in splits)
+    def _records(self, stage: int) -> list[int]:
+        found = (_RECORD.fullmatch(name) for name in hadoop.list_names(self.spark, self.path(stage)))
+        return sorted(int(m[1]) for m in found if m)
 
-    def _splits(self, stage: int) -> list[str]:
-        return [n for n in hadoop.list_names(self.spark, self.path(stage)) if n.startswith("split=")]
+    def record(self, stage: int) -> dict | None:
+        """The commit record, or None if the stage was never finished."""
+        numbers = self._records(stage)
+        return json.loads(hadoop.read_text(self.spark, f"{self.path(stage)}/commit_{numbers[-1]}.json")) if numbers else None
 
-    def save(self, stage: int, df: DataFrame) -> None:
-        df.write.mode("overwrite").partitionBy("split").parquet(self.path(stage))
+    def exists(self, stage: int) -> bool:
+        """Finished means that a record names it and all files it lists are there, whole."""
+        record = self.record(stage)
+        if record is None:
+            return False
+        return all(
+            hadoop.file_sizes(self.spark, f"{self.path(stage)}/{folder}").items() >= {n: size for n, size in part["files"].items()}.items()
+            for folder, part in record["parts"].items()
+        )
+
+    def notes(self, stage: int) -> dict:
+        record = self.record(stage)
+        return record["notes"] if record else {}
+
+    def _write(self, stage: int, df: DataFrame) -> tuple[str, dict]:
+        folder = f"data_{uuid.uuid4().hex}"
+        df.write.partitionBy("split").parquet(f"{self.path(stage)}/{folder}")
+        return folder, {"schema": df.schema.json(), "files": hadoop.file_sizes(self.spark, f"{self.path(stage)}/{folder}")}
+
+    def _commit(self, stage: int, parts: dict, notes: dict) -> None:
+        before = self._records(stage)
+        number = before[-1] + 1 if before else 0
+        hadoop.write_text(self.spark, f"{self.path(stage)}/commit_{number}.json", json.dumps({"parts": parts, "notes": notes}))
+        kept = {*parts, f"commit_{number}.json"}
+        for name in hadoop.list_names(self.spark, self.path(stage)):
+            if name not in kept:
+                hadoop.delete_folder(self.spark, f"{self.path(stage)}/{name}")
+
+    def save(self, stage: int, df: DataFrame, notes: Mapping | None = None) -> None:
+        folder, part = self._write(stage, df)
+        self._commit(stage, {folder: part}, dict(notes or {}))
 
     def save_split(self, stage: int, df: DataFrame, split: str) -> None:
-        """Replace one split of a stage and leave the other as it is.
-
-        The mark of the whole stage gives way to one per split, so a write that breaks off leaves
-        the stage unfinished.
-        """
-        path = self.path(stage)
-        if hadoop.exists(self.spark, f"{path}/{_MARK}"):
-            for name in self._splits(stage):
-                hadoop.touch(self.spark, f"{path}/{name}/{_MARK}")
-            hadoop.delete_file(self.spark, f"{path}/{_MARK}")
-        df.where(F.col("split") == split).drop("split").write.mode("overwrite").parquet(f"{path}/split={split}")
+        """Replace one split of a stage and leave the others as they are."""
+        record = self.record(stage) or {"parts": {}, "notes": {}}
+        folder, part = self._write(stage, df.where(F.col("split") == split))
+        parts = {folder: part}
+        for old, held in record["parts"].items():
+            rest = {n: size for n, size in held["files"].items() if not n.startswith(f"split={split}/")}
+            if rest:
+                parts[old] = {"schema": held["schema"], "files": rest}
+        self._commit(stage, parts, record["notes"])
 
     def load(self, stage: int, split: str | None = None) -> DataFrame:
         if not self.exists(stage):
             raise FileNotFoundError(f"no finished stage {stage} under {self.root}")
-        # Splits written one by one may differ in their columns; a stage written as a whole does not.
-        whole = hadoop.exists(self.spark, f"{self.path(stage)}/{_MARK}")
-        df = self.spark.read.option("mergeSchema", not whole).parquet(self.path(stage))
-        return df if split is None else df.where(F.col("split") == split)
+        whole = None
+        for folder, part in self.record(stage)["parts"].items():
+            base = f"{self.path(stage)}/{folder}"
+            schema = T.StructType.fromJson(json.loads(part["schema"]))
+            splits = sorted({n.split("/")[0] for n in part["files"]})
+            reader = self.spark.read.schema(schema).option("basePath", base)
+            df = reader.parquet(*(f"{base}/{s}" for s in splits)) if splits else self.spark.createDataFrame([], schema)
+            df = df if split is None else df.where(F.col("split") == split)
+            # splits written one by one may differ in their columns
+            whole = df if whole is None else whole.unionByName(df, allowMissingColumns=True)
+        return whole
 
     def ensure(self, stage: int, build: Callable[[], DataFrame]) -> DataFrame:
         """The stored stage if it is finished, else build, store and return it."""
@@ -68,11 +109,22 @@ class StageStore:
             self.save(stage, build())
         return self.load(stage)
 
-    def latest(self) -> int | None:
-        """Highest finished stage number."""
+    def latest(self, fits: Callable[[int], bool] = lambda stage: True) -> int | None:
+        """Highest finished stage number, of those that fit."""
         found = (_STAGE_NAME.fullmatch(name) for name in hadoop.list_names(self.spark, self.root))
         numbers = sorted((int(m.group(1)) for m in found if m), reverse=True)
-        return next((n for n in numbers if self.exists(n)), None)
+        return next((n for n in numbers if fits(n) and self.exists(n)), None)
+
+
+def content_identity(df: DataFrame) -> str:
+    """Digest of schema and rows, whatever their order; one pass over the data."""
+    columns = F.struct(*(F.col(f"`{c}`") for c in df.columns))
+    row = df.agg(
+        F.count(F.lit(1)),
+        F.sum(F.xxhash64(columns).cast("decimal(38,0)")),
+        F.bit_xor(F.xxhash64(F.lit(1), columns)),
+    ).first()
+    return hashlib.md5(f"{df.schema.json()}{tuple(row)}".encode()).hexdigest()
 
 
 class FeatureCache:
