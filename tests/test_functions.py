@@ -135,3 +135,17 @@ def test_numeric_id_and_hash_bucket(spark):
 def test_round_half_even(spark):
     found = many(spark, [(0.5,), (1.5,), (-2.5,)], "c double", numeric.round_half_even(F.col("c"), 0))
     assert found == [0.0, 2.0, -2.0]
+
+
+def test_row_numbers_are_those_of_the_whole_order(spark):
+    from tripworks.operators import rows
+
+    df = spark.range(3000).selectExpr("id", "cast(id * 7919 % 101 as int) as k", "if(id % 50 = 0, null, id % 3) as n")
+    got = {r["id"]: r["no"] for r in rows.with_row_numbers(df, ["n", "k", "id"], "no").collect()}
+    order = sorted(df.collect(), key=lambda r: (r["n"] is not None, r["n"] or 0, r["k"], r["id"]))
+    assert got == {r["id"]: i + 1 for i, r in enumerate(order)}
+    kept = sorted(r["id"] for r in rows.every_nth(df, 7, ["n", "k", "id"], start=2).collect())
+    assert kept == sorted(r["id"] for r in order[2::7])
+    plan = rows.with_row_numbers(df, ["id"], "no")._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+    assert rows.every_nth(df.where("id < 0"), 7, ["id"]).count() == 0

@@ -139,3 +139,21 @@ def test_shuffle_is_a_repeatable_permutation(spark):
     again = [r["id"] for r in rows.shuffle_rows(df.repartition(5), 1).collect()]
     assert once == again and once != [r["id"] for r in rows.shuffle_rows(df, 2).collect()]
     assert sorted(once) == sorted(r["id"] for r in df.collect())
+
+
+def test_density_is_near_that_of_the_rows(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    values = np.concatenate([rng.normal(2, 0.5, 600), rng.normal(6, 1, 300), [50.0]])
+    df = spark.createDataFrame([("a", float(v)) for v in values] + [("a", None), ("b", 3.0)], "g string, v double")
+    low, high, bins, width = 0.0, 10.0, 400, 0.3
+    got = {(r["g"], round(r["point"], 6)): r["density"] for r in profile.density(df, F.col("v"), low, high, bins, width, ["g"]).collect()}
+    bound = (high - low) / bins / 2 * 0.242 / width**2 + 1e-6
+    for k in range(bins):
+        point = low + (k + 0.5) * (high - low) / bins
+        exact = np.exp(-(((point - values) / width) ** 2) / 2).sum() / (len(values) * width * np.sqrt(2 * np.pi))
+        assert abs(got.get(("a", round(point, 6)), 0.0) - exact) <= bound
+    assert max(p for g, p in got if g == "b") < 3.0 + 5.1 * width
+    alone = profile.density(df.where("g = 'b'"), F.col("v"), low, high, bins, width).agg(F.sum("density")).first()[0]
+    assert abs(alone * (high - low) / bins - 1) < 1e-3

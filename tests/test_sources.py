@@ -39,6 +39,19 @@ def test_trips_from_csv(spark, folder):
     assert rows["id3"]["trip_duration"] is None and rows["id3"]["dropoff_datetime"] is None
 
 
+def test_bad_rows_are_kept_with_their_reasons(spark, folder):
+    head, one, two = TRAIN_CSV.splitlines()
+    lines = [one, two, one.replace(",1,-73.98", ",one,-73.98x"), two.replace("2016-06-12", "2016-06-32", 1), one + ",more", "id9,1", one.replace("-73.98", "nan")]
+    paths = [write(folder, "a.csv", "\n".join([head, *lines])), write(folder, "b.csv", head + "\n" + one + "\n")]
+    good, bad = files.read_checked(spark, paths, schema.TRAIN_TRIPS)
+    assert good.schema.names == schema.TRAIN_TRIPS.names and good.count() == 4
+    assert sorted(r["pickup_longitude"] is None for r in good.collect()) == [False, False, False, True]
+    found = sorted((tuple(r["reasons"]), r["line"]) for r in bad.collect())
+    assert [reasons for reasons, _ in found] == [("fields",), ("fields",), ("passenger_count: one", "pickup_longitude: -73.98x"), ("pickup_datetime: 2016-06-32 00:43:35",)]
+    assert {line for reasons, line in found if reasons == ("fields",)} == {one + ",more", "id9,1"}
+    assert all(r["file"].endswith("a.csv") for r in bad.collect())
+
+
 def test_routes_from_several_parts(spark, folder):
     one = write(folder, "r1.csv", ROUTE_HEAD + "id1,A,B,1000.5,60.0,4,a|b,1|2,3|4,turn,left|none,x\n")
     two = write(folder, "r2.csv", ROUTE_HEAD + "id2,C,D,10,6,2,,,,,,\n")

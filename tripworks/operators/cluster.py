@@ -10,7 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tripworks.functions import geo
-from tripworks.operators import nearest
+from tripworks.functions.numeric import array_constant
 from tripworks.operators.nearest import CentreIndex
 from tripworks.sources import schema
 from tripworks.sources.scratch import discard, materialise, materialise_parts
@@ -129,7 +129,7 @@ def fit_mini_batch_clusters(
 
 
 def _centres(centres: np.ndarray, axis: int) -> Column:
-    return nearest.array_constant(centres[:, axis].tolist(), "double")
+    return array_constant(centres[:, axis].tolist(), "double")
 
 
 def assign_to_centres(df: DataFrame, centres: Sequence[Sequence[float]], pickup: str, dropoff: str) -> DataFrame:

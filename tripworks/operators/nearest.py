@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tripworks.functions.numeric import array_constant
+
 # Steps of an axis; the lines of the grid lie on them.
 STEPS = 4096
 # Cells per centre, about, and the most lines of an axis.
@@ -73,11 +74,6 @@ def _undominated(centres: np.ndarray, corners: np.ndarray) -> np.ndarray:
     return some[~(worse | equal).any(axis=1)]
 
 
-def array_constant(values: Sequence, kind: str) -> Column:
-    """An array constant, read from one string: no expression per element."""
-    return F.from_json(F.lit(json.dumps(list(values))), f"array<{kind}>")
-
-
 class CentreIndex:
     """Cells of a grid over the centres, each with the centres that may be nearest to a point in it."""
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tripworks.functions.numeric import hash_bucket, numeric_id
+from tripworks.functions.numeric import array_constant, hash_bucket, numeric_id
 from tripworks.functions.text import flag_from_letter
 from tripworks.sources.schema import TEST, TRAIN
+from tripworks.sources.scratch import materialise
 
 # Fixed values. Unsigned bytes need a short in Spark, whose byte ends at 127.
 NARROW_TYPES: Mapping[str, str] = {
@@ -80,6 +81,27 @@ def systematic_sample(df: DataFrame, step: int, key: str = "id") -> DataFrame:
     return df.where(F.pmod(numeric_id(F.col(key)), F.lit(step)) == 0)
 
 
+def with_row_numbers(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """Number all rows from 1 in a stated order, nulls first; rows equal in it come in any order.
+
+    Rows are dealt by range, each range is numbered in a task of its own, and what lies in the ranges
+    before it, one number per range, is added. No task sees more than its range.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialise(df.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    counts = {r["_range"]: r["count"] for r in dealt.groupBy("_range").count().collect()}  # at most one row per range
+    before = [0]
+    for k in range(parts):
+        before.append(before[-1] + counts.get(k, 0))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order)).cast("bigint")
+    return dealt.withColumn(name, place + F.element_at(array_constant(before, "bigint"), F.col("_range") + 1)).drop("_range")
+
+
+def every_nth(df: DataFrame, step: int, order: Sequence[str], start: int = 0) -> DataFrame:
+    """Exactly every ``step``-th row of a stated order, from row number ``start`` (counted from 0) on."""
+    return with_row_numbers(df, order, "_number").where(F.pmod(F.col("_number") - 1 - start, F.lit(step)) == 0).drop("_number")
+
+
 def holdout_split(df: DataFrame, train_share: float = 0.75, seed: int = 42, key: str = "id") -> DataFrame:
     """Mark each row ``fit`` or ``holdout`` by a hash of its id."""
     bucket = hash_bucket(F.col(key), seed, 10_000)

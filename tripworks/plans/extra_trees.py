@@ -12,7 +12,7 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tripworks.operators.nearest import array_constant
+from tripworks.functions.numeric import array_constant
 
 LEAF = -1
 # Nodes of all trees at one level that may be open: bounds what an aggregate sends to the driver.

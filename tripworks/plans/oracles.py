@@ -593,6 +593,28 @@ def _bodies() -> dict[str, str]:
         )
         + f" from (select id, {_given_distances()}"
         + " from trips)",
+        "every_nth_row": "select id, split, trip_duration from (select *, row_number() over (order by pickup_datetime, id) as n from trips) where (n - 1) % 10 = 0",
+        "shuffled_rows": "select id, trip_duration from trips",
+        "csv_trips": f"select id, split, vendor_id, pickup_datetime, dropoff_datetime, passenger_count, {_r(*COORDINATES)}, store_and_fwd_flag, trip_duration from trips",
+        "csv_routes": "select id, starting_street, end_street, round(total_distance, 6) as total_distance, cast(total_travel_time as double) as total_travel_time, "
+        "number_of_steps, "
+        + ", ".join(f"null as {c}" for c in ("street_for_each_step", "distance_per_step", "travel_time_per_step", "step_maneuvers", "step_location_list"))
+        + ", starting_street as second_starting_street, round(total_distance, 6) as second_total_distance, number_of_steps as second_number_of_steps from routes",
+        "csv_weather": "select *, '0' as average_temperature from weather",
+        "csv_accidents": "select cast(l_linenumber as bigint) as bin, cast(l_linenumber as double) as bin_from, count(*) as cnt from lineitem where l_linenumber < 6 group by l_linenumber",
+        "csv_bad_rows": "select kind, count(*) as cnt from (select case when k % 70 = 2 and k % 50 = 1 then 'pickup_datetime+passenger_count' "
+        "when k % 70 = 2 then 'pickup_datetime' when k % 50 = 1 then 'passenger_count' when k % 90 = 3 then 'good, without a number' else 'good' end as kind "
+        "from (select cast(substr(id, 3) as bigint) as k from train)) group by kind",
+        "stored_stages": "select id, split, case when split = 'test' then vendor_id + 10 else vendor_id end as vendor_id from trips "
+        "union all select 'first ' || id, split, vendor_id from train",
+        "written_predictions": "select id, vendor_id * 1.5::double as trip_duration, 'submission' as sink from trips where split = 'test' "
+        "union all select id, vendor_id * 2.5::double, 'out of fold train' from train union all select id, vendor_id * 3.5::double, 'out of fold test' from trips where split = 'test' "
+        "union all select id, vendor_id * 4.5::double, 'folds' from trips where split = 'test'",
+        "density_duration": "select * from (with binned as (select vendor_id, cast(floor((ln(trip_duration) - 4) / 0.05::double) as integer) as bin, count(*) as n from train group by 1, 2), "
+        "totals as (select vendor_id, sum(n) as total from binned group by vendor_id), "
+        "spread as (select b.vendor_id, bin + away as place, n * exp(-pow(away * 0.25::double, 2) / 2) / (0.2::double * sqrt(2 * pi())) as part "
+        "from binned b, unnest(range(-20, 21)) as t(away) where bin between 0 and 99 and bin + away between 0 and 99) "
+        f"select vendor_id, {r6_as('4 + (place + 0.5::double) * 0.05::double', 'point')}, {r6_as('sum(part) / any_value(total)', 'density')} from spread join totals using (vendor_id) group by vendor_id, place)",
         "kmeans_checks": "select cast(2 * count(*) as bigint) as ends, cast(2 * count(*) as bigint) as with_nearest, "
         "cast(25 as bigint) as clusters, true as near_full_fit from trips",
         "heavy_centre_distances": "select * from (with located as (select *, "

@@ -16,9 +16,9 @@ from tripworks.operators.nearest import CentreIndex
 from tripworks.plans import feature_build, modelling
 from tripworks.plans.extra_trees import ExtraTrees
 from tripworks.session import prepare
-from tripworks.sources import fixtures, schema
+from tripworks.sources import files, fixtures, schema, sinks
 from tripworks.sources.scratch import materialise, scratch_root
-from tripworks.sources.stages import FeatureCache, join_features
+from tripworks.sources.stages import FeatureCache, StageStore, join_features
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -137,6 +137,115 @@ def systematic_sample(spark, sf):
     return rows.systematic_sample(_trips(spark, sf), 10).select("id", "split", "trip_duration")
 
 
+@query
+def every_nth_row(spark, sf):
+    """Exactly every tenth trip in order of time and id."""
+    return rows.every_nth(_trips(spark, sf), 10, ["pickup_datetime", "id"]).select("id", "split", "trip_duration")
+
+
+@query
+def shuffled_rows(spark, sf):
+    return rows.shuffle_rows(_trips(spark, sf), seed=3).select("id", "trip_duration")
+
+
+# --- files ----------------------------------------------------------------------------------------
+
+
+def _folder(spark, name):
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _csv(df, path):
+    """As such files come: a header, times as text."""
+    times = {f.name: F.date_format(f.name, files.TIMESTAMP_FORMAT) for f in df.schema if isinstance(f.dataType, T.TimestampNTZType)}
+    df.withColumns(times).write.option("header", True).csv(path)
+    return path
+
+
+@query
+def csv_trips(spark, sf):
+    """Trips written as train and test files and read again; the test file lacks two columns and has another order."""
+    trips, folder = _trips(spark, sf), _folder(spark, "trips")
+    train = _csv(_train(trips).select(*schema.TRAIN_TRIPS.names), f"{folder}/train")
+    test = _csv(rows.only_split(trips, schema.TEST).select(*reversed(schema.TEST_TRIPS.names)), f"{folder}/test")
+    return files.read_trips(spark, train, test)
+
+
+@query
+def csv_routes(spark, sf):
+    """First and second routes from two files each; columns the tables lack are empty."""
+    routes, folder = fixtures.routes(spark, sf), _folder(spark, "routes")
+    wide = routes.select(*(F.col(n) if n in routes.columns else F.lit(None).cast("string").alias(n) for n in schema.ROUTES.names))
+    odd = F.crc32("id") % 2 == 1
+    paths = [_csv(wide.where(odd), f"{folder}/one"), _csv(wide.where(~odd), f"{folder}/two")]
+    second = files.read_second_routes(spark, paths).select("id", "second_starting_street", "second_total_distance", "second_number_of_steps")
+    return files.read_routes(spark, paths).drop("step_direction").join(second, "id")
+
+
+@query
+def csv_weather(spark, sf):
+    weather = fixtures.weather(spark, sf)
+    wide = weather.select(*(F.col(n) if n in weather.columns else F.lit("0").alias(n) for n in schema.WEATHER.names))
+    return files.read_weather(spark, _csv(wide.toDF(*"abcdefg"), _folder(spark, "weather"))).select(*weather.columns, "average_temperature")
+
+
+@query
+def csv_accidents(spark, sf):
+    """Injured persons per report, in a file with other columns beside."""
+    injured = F.when(F.col("l_linenumber") < 6, F.col("l_linenumber"))
+    reports = fixtures.table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("BOROUGH"), injured.alias(schema.INJURED))
+    found = files.read_accidents(spark, _csv(reports, _folder(spark, "accidents")))
+    return profile.histogram(found, F.col(f"`{schema.INJURED}`"), 1)
+
+
+@query
+def csv_bad_rows(spark, sf):
+    """Rows of a file that cannot be read, by reason, and those that can, add up to the file's."""
+    train, key = _train(_trips(spark, sf)).select(*schema.TRAIN_TRIPS.names), rows.numeric_id(F.col("id"))
+    faulty = train.withColumns(
+        {
+            "passenger_count": F.when(key % 50 == 1, F.lit("many")).otherwise(F.col("passenger_count").cast("string")),
+            "pickup_datetime": F.when(key % 70 == 2, F.lit("2016-13-01 00:00:00")).otherwise(F.date_format("pickup_datetime", files.TIMESTAMP_FORMAT)),
+            "pickup_latitude": F.when(key % 90 == 3, F.lit("nan")).otherwise(F.col("pickup_latitude").cast("string")),
+        }
+    )
+    good, bad = files.read_checked(spark, _csv(faulty, _folder(spark, "faulty")), schema.TRAIN_TRIPS)
+    kinds = bad.select(F.array_join(F.transform("reasons", lambda r: F.substring_index(r, ":", 1)), "+").alias("kind"))
+    without = F.when(F.col("pickup_latitude").isNull(), "good, without a number").otherwise("good")
+    return kinds.union(good.select(without)).groupBy("kind").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+@query
+def stored_stages(spark, sf):
+    """Stages written, one split of one replaced, and the latest read back."""
+    trips = _trips(spark, sf).select("id", "split", "vendor_id")
+    store = StageStore(spark, _folder(spark, "stages"))
+    store.save(0, trips)
+    store.save(2, trips)
+    store.save_split(2, trips.withColumn("vendor_id", F.col("vendor_id") + 10), schema.TEST)
+    return store.load(store.latest()).unionByName(store.load(0, schema.TRAIN).withColumn("id", F.concat(F.lit("first "), "id")))
+
+
+@query
+def written_predictions(spark, sf):
+    """A submission, out-of-fold and fold predictions written and read back."""
+    train, test = (rows.only_split(_trips(spark, sf), s) for s in (schema.TRAIN, schema.TEST))
+    predicted = lambda df, by: df.select("id", (F.col("vendor_id") * by).alias("trip_duration"))
+    folder = _folder(spark, "predictions")
+    submission = sinks.write_submission(predicted(test, 1.5), folder, "model")
+    both = sinks.write_out_of_fold(predicted(train, 2.5), predicted(test, 3.5), folder, "model")
+    folds = sinks.write_fold_predictions(rows.assign_folds(predicted(test, 4.5)), folder, "model")
+    read = [
+        spark.read.option("header", True).schema("id string, trip_duration double").csv(submission).withColumn("sink", F.lit("submission")),
+        spark.read.parquet(both).select("id", "trip_duration", F.concat(F.lit("out of fold "), "split").alias("sink")),
+        spark.read.parquet(folds).select("id", "trip_duration", F.lit("folds").alias("sink")),
+    ]
+    return reduce(DataFrame.unionByName, read)
+
+
+# --- splits ---------------------------------------------------------------------------------------
+
+
 @query
 def holdout_split(spark, sf):
     return rows.holdout_split(_train(_trips(spark, sf))).select("id", "part")
@@ -520,6 +629,12 @@ def threshold_counts(spark, sf):
     return profile.threshold_counts(_train(_trips(spark, sf)))
 
 
+@query
+def density_duration(spark, sf):
+    """Kernel density of the log duration by vendor."""
+    return profile.density(_train(_trips(spark, sf)), F.log("trip_duration"), 4.0, 9.0, 100, 0.2, by=["vendor_id"])
+
+
 @query
 def duration_range(spark, sf):
     return profile.duration_range(_train(_trips(spark, sf)))

@@ -21,6 +21,16 @@ def _whole_number(text: Column) -> Column:
     return F.when(missing, F.lit(None)).when(whole.isNotNull(), whole).otherwise(bad).cast("bigint")
 
 
+def _try_typed(text: Column, kind: T.DataType) -> Column:
+    """Like ``_typed``, but NULL for what cannot be read."""
+    if isinstance(kind, T.TimestampNTZType):
+        return F.try_to_timestamp(text, F.lit(TIMESTAMP_FORMAT)).cast("timestamp_ntz")
+    if isinstance(kind, T.LongType):
+        number = text.try_cast("double")
+        return F.coalesce(text.try_cast("bigint"), F.when(number == F.floor(number), number.cast("bigint")))
+    return text.try_cast(kind)
+
+
 def _typed(text: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.TimestampNTZType):
         return F.to_timestamp_ntz(text, F.lit(TIMESTAMP_FORMAT))
@@ -41,6 +51,40 @@ def _by_header(spark: SparkSession, paths: str | Sequence[str], declared: T.Stru
     return schema.nan_to_null(whole)
 
 
+def read_checked(spark: SparkSession, paths: str | Sequence[str], declared: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """The rows that can be read, by header like the other readers, and those that cannot: (file, line, reasons).
+
+    A row is bad if a value is there but is not of its column's type, each a reason ``column: value``, or
+    if the line has more or fewer fields than the header, the reason being ``fields``. Each row of the
+    files is in exactly one of the two. ``nan`` is a missing number.
+    """
+    files = [paths] if isinstance(paths, str) else list(paths)
+    good = bad = None
+    for path in files:
+        names = spark.read.option("header", True).csv(path).columns
+        raw = T.StructType([*(T.StructField(n, T.StringType()) for n in names), T.StructField("_corrupt", T.StringType())])
+        lines = spark.read.option("header", True).option("columnNameOfCorruptRecord", "_corrupt").schema(raw).csv(path)
+        typed = {f.name: _try_typed(F.col(f"`{f.name}`"), f.dataType) for f in declared}
+
+        def wrong(f: T.StructField, typed=typed) -> Column:
+            text = F.col(f"`{f.name}`")
+            missing = text.isNull() | (F.lower(F.trim(text)) == "nan")
+            return F.when(~missing & typed[f.name].isNull(), F.concat(F.lit(f"{f.name}: "), text))
+
+        reasons = F.array(F.when(F.col("_corrupt").isNotNull(), F.lit("fields")), *map(wrong, declared))
+        line = F.coalesce("_corrupt", F.concat_ws(",", *(F.coalesce(F.col(f"`{n}`"), F.lit("")) for n in names)))
+        marked = lines.select(
+            *(c.alias(n) for n, c in typed.items()),
+            F.col("_metadata.file_path").alias("_file"),
+            line.alias("_text"),
+            F.filter(reasons, lambda r: r.isNotNull()).alias("_reasons"),
+        )
+        read = schema.nan_to_null(marked.where(F.size("_reasons") == 0).select(*typed))
+        left = marked.where(F.size("_reasons") > 0).select(F.col("_file").alias("file"), F.col("_text").alias("line"), F.col("_reasons").alias("reasons"))
+        good, bad = (read, left) if good is None else (good.unionByName(read), bad.unionByName(left))
+    return good, bad
+
+
 def read_trips(spark: SparkSession, train_paths, test_paths) -> DataFrame:
     """Raw train and test trips in one frame told apart by ``split``."""
     return stack_splits(
