@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tripworks.operators import profile
 from tripworks.sources import files, fixtures, hadoop, schema, scratch, sinks
-from tripworks.sources.stages import FeatureCache, StageStore, join_features
+from tripworks.sources.stages import BucketedFeatures, FeatureCache, StageStore, join_features
 
 TRAIN_CSV = """id,vendor_id,pickup_datetime,dropoff_datetime,passenger_count,pickup_longitude,pickup_latitude,dropoff_longitude,dropoff_latitude,store_and_fwd_flag,trip_duration
 id1,2,2016-03-14 17:24:55,2016-03-14 17:32:30,1,-73.98,40.76,-73.96,40.77,N,455
@@ -129,6 +129,28 @@ def test_feature_cache(spark, folder):
     assert {r["id"]: r["f"] for r in join_features(trips, again).collect()} == {"a": 1, "z": None}
 
 
+def test_bucketed_features_build_what_is_new_and_join_without_a_shuffle(spark, folder):
+    store, seen = BucketedFeatures(spark, folder, buckets=4), []
+    trips = spark.range(500).selectExpr("string(id) as id", "id as n")
+
+    def build(df):
+        seen.append(df.count())
+        return df.selectExpr("id", "n * 2 as twice")
+
+    store.extend("twice", {"by": 2}, trips.where("n < 490"), build)
+    found = store.extend("twice", {"by": 2}, trips, build)
+    assert seen == [490, 10] and found.agg(F.sum("twice")).first()[0] == 499 * 500
+    other = store.extend("thrice", {}, trips, lambda df: df.selectExpr("id", "n * 3 as thrice"))
+    joined = found.hint("merge").join(other, "id")
+    assert joined.where("thrice * 2 = twice * 3").count() == 500
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    # another session does not know the table, but finds it
+    spark.sql(f"drop table {store._table(store.path('twice', {'by': 2}))}")
+    again = BucketedFeatures(spark, folder, buckets=4).extend("twice", {"by": 2}, trips, build)
+    assert seen[-1] == 0 and again.count() == 500
+
+
 def test_sinks(spark, folder):
     predictions = spark.createDataFrame([("a", 1.5), ("b", 2.5)], "id string, trip_duration double").coalesce(1)
     path = sinks.write_submission(predictions, folder, "boosted", dt.datetime(2020, 1, 2, 3, 4, 5))

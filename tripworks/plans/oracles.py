@@ -615,6 +615,7 @@ def _bodies() -> dict[str, str]:
         "spread as (select b.vendor_id, bin + away as place, n * exp(-pow(away * 0.25::double, 2) / 2) / (0.2::double * sqrt(2 * pi())) as part "
         "from binned b, unnest(range(-20, 21)) as t(away) where bin between 0 and 99 and bin + away between 0 and 99) "
         f"select vendor_id, {r6_as('4 + (place + 0.5::double) * 0.05::double', 'point')}, {r6_as('sum(part) / any_value(total)', 'density')} from spread join totals using (vendor_id) group by vendor_id, place)",
+        "extended_distances": f"select id, {_r('lat_long_distance_haversine')}, case when cast(substr(id, 3) as bigint) % 100 = 7 then 2 else 1 end as build from base",
         "kmeans_checks": "select cast(2 * count(*) as bigint) as ends, cast(2 * count(*) as bigint) as with_nearest, "
         "cast(25 as bigint) as clusters, true as near_full_fit from trips",
         "heavy_centre_distances": "select * from (with located as (select *, "

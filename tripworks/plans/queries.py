@@ -18,7 +18,7 @@ from tripworks.plans.extra_trees import ExtraTrees
 from tripworks.session import prepare
 from tripworks.sources import files, fixtures, schema, sinks
 from tripworks.sources.scratch import materialise, scratch_root
-from tripworks.sources.stages import FeatureCache, StageStore, join_features
+from tripworks.sources.stages import BucketedFeatures, FeatureCache, StageStore, join_features
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -741,6 +741,16 @@ def cached_traffic(spark, sf):
     return join_features(trips.select("id", "split"), kept[1])
 
 
+@query
+def extended_distances(spark, sf):
+    """Distances of most trips built into bucketed features, then those of all: the second build adds what is new."""
+    trips, key = _trips(spark, sf).select("id", *COORDINATES), rows.numeric_id(F.col("id"))
+    store = BucketedFeatures(spark, _folder(spark, "bucketed"), buckets=8)
+    for build, part in enumerate((trips.where(key % 100 != 7), trips), 1):
+        built = store.extend("distances", {"kind": "haversine"}, part, lambda df, n=build: features.with_distances(df).select("id", "lat_long_distance_haversine", F.lit(n).alias("build")))
+    return built
+
+
 def _model_input(spark, sf):
     df = features.with_calendar(features.with_distances(_trips(spark, sf)))
     return rows.encode_flag(df).drop("dropoff_datetime", "pickup_datetime")

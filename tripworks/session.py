@@ -9,7 +9,9 @@ def local_session(
     cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tripworks", shared: str | None = None
 ) -> SparkSession:
     """Session for tests and benches on one machine; a cluster brings its own. ``shared``: folder for scratch tables."""
-    builder = SparkSession.builder if shared is None else SparkSession.builder.config("spark.checkpoint.dir", shared)
+    builder = SparkSession.builder
+    if shared is not None:
+        builder = builder.config("spark.checkpoint.dir", shared).config("spark.sql.warehouse.dir", f"{shared}/warehouse")
     return prepare(
         builder.master(f"local[{cores}]")
         .appName(app)

@@ -148,6 +148,48 @@ class FeatureCache:
         return self.spark.read.parquet(path)
 
 
+class BucketedFeatures:
+    """Features that depend on a trip alone, by trip id, in tables bucketed by id; only new trips are built.
+
+    An extension looks up which ids are there by an anti join and builds the others, so its work goes
+    with what is new. Tables of one number of buckets join by id without a shuffle. A write that breaks
+    off leaves whole rows or none, and what it left out is built next time.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+
+    def path(self, name: str, parameters: Mapping[str, object]) -> str:
+        settings = "_".join(f"{key}={parameters[key]}" for key in sorted(parameters))
+        return f"{self.root}/{name}/{settings or 'default'}_by_{self.buckets}"
+
+    def _table(self, path: str) -> str:
+        """Name of the table over the path, made known to this session if it is not."""
+        name = f"features_{hashlib.md5(path.encode()).hexdigest()[:16]}"
+        if not self.spark.catalog.tableExists(name) and hadoop.exists(self.spark, f"{path}/_SUCCESS"):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.spark.read.parquet(path).schema)
+            self.spark.sql(
+                f"create table {name} ({columns}) using parquet clustered by (id) sorted by (id) into {self.buckets} buckets location '{path}'"
+            )
+        return name
+
+    def extend(
+        self, name: str, parameters: Mapping[str, object], trips: DataFrame, build: Callable[[DataFrame], DataFrame]
+    ) -> DataFrame:
+        """The features of all trips seen so far, after building those of ``trips`` that are not there."""
+        path = self.path(name, parameters)
+        table = self._table(path)
+        known = self.spark.catalog.tableExists(table)
+        new = trips.join(self.spark.table(table).select("id"), "id", "left_anti") if known else trips
+        features = build(new)
+        if "id" not in features.columns:
+            raise ValueError("cached features need the id column")
+        writer = features.write.format("parquet").mode("append").bucketBy(self.buckets, "id").sortBy("id")
+        writer.option("path", path).saveAsTable(table)
+        self.spark.catalog.refreshTable(table)
+        return self.spark.table(table)
+
+
 def join_features(df: DataFrame, features: DataFrame) -> DataFrame:
     """Add cached features to trips by id."""
     return df.join(features, "id", "left")
