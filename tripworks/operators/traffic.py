@@ -106,8 +106,8 @@ def _count_by_cell(moments: DataFrame, at: str, keys: list[str], spans: Mapping[
 
     Time is cut into cells of a second. What lies in a span is what lies before its end less what
     lies before its beginning. Whole cells between the two edges are added up from one total per
-    cell. For the rest, a moment sends a probe to the cell of each edge, where a running sum tells how
-    much of the cell lies before it, and the answers are summed when they come back.
+    cell. For the rest, a moment sends a probe to the cell of each edge that lies inside one, where a running
+    sum tells how much of the cell lies before it, and the answers are summed when they come back.
     """
     placed = moments.withColumns({"_cell": _floor_div(F.col(at), _CELL), "_off": F.pmod(at, F.lit(_CELL))})
     edges = {name: (_Edge(s.first), _Edge(s.last + 1)) for name, s in spans.items()}
@@ -128,7 +128,9 @@ def _count_by_cell(moments: DataFrame, at: str, keys: list[str], spans: Mapping[
     laid = placed.select(*keys, at, F.inline(F.array(itself, *probes)))
     laid = laid.withColumns({"_cell": _floor_div(F.col("_place"), _CELL), "_off": F.pmod("_place", F.lit(_CELL))})
     before = Window.partitionBy(*keys, "_cell").orderBy("_off").rangeBetween(Window.unboundedPreceding, -1)
-    read = laid.withColumn("_under", F.coalesce(F.sum("_weight").over(before), F.lit(0))).where(F.col("_probe").isNotNull())
+    # nothing lies before the start of a cell, so whole seconds need no probe
+    asked = laid.where(F.col("_probe").isNull() | (F.col("_off") > 0))
+    read = asked.withColumn("_under", F.coalesce(F.sum("_weight").over(before), F.lit(0)))
     answers = []
     for name, (near, far) in edges.items():
         part = F.when(F.col("_probe") == far.offset, F.col("_under")).otherwise(0)

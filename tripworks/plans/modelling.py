@@ -125,10 +125,13 @@ class GroupMeanModel(Model, HasFeaturesCol, HasLabelCol, HasPredictionCol):
         self.means, self.overall = means, overall
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        group = vector_to_array(F.col(self.getFeaturesCol()))[0]
-        lookup = F.create_map(*(F.lit(float(x)) for pair in self.means.items() for x in pair))
-        known = F.try_element_at(lookup, group) if self.means else F.lit(None)
-        return dataset.withColumn(self.getPredictionCol(), F.coalesce(known, F.lit(self.overall)))
+        target = self.getPredictionCol()
+        rest = [c for c in dataset.columns if c != target]
+        table = [(float(g), float(m)) for g, m in self.means.items()]  # MOST_GROUPS rows at most
+        means = dataset.sparkSession.createDataFrame(table, "_group double, _mean double")
+        keyed = dataset.withColumn("_key", vector_to_array(F.col(self.getFeaturesCol()))[0])
+        met = keyed.join(F.broadcast(means), F.col("_key") == F.col("_group"), "left")
+        return met.select(*rest, F.coalesce("_mean", F.lit(self.overall)).alias(target))
 
 
 # --- fitting --------------------------------------------------------------------------------------
