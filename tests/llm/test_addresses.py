@@ -87,10 +87,15 @@ def test_shapes(spark, url, shape):
     assert pages(spark, [url]).select(addresses.shape(path).alias("s")).first()["s"] == shape
 
 
-def test_deep_paths_end_in_one_wildcard(spark):
-    _, path = addresses.parts(F.col("url"))
-    found = pages(spark, ["http://h/" + "a/" * 20]).select(addresses.shape(path).alias("s")).first()["s"]
-    assert found == ["a"] * addresses.DEPTH + [addresses.DEEP]
+def test_deep_paths_are_told_apart_at_any_depth(spark):
+    prepare(spark)
+    deep = "http://h.com/" + "a/" * 14
+    urls = [f"{deep}{kind}/{i}/{word}" for kind in ("good", "bad") for i in range(30) for word in ("x", "y")] + ["http://h.com/" + "b/" * 3000]
+    given = rules(f"allow h.com/{'a/' * 14}good/1", f"block h.com/{'a/' * 14}bad/1")
+    found = {urls[r["page_id"]]: r for r in addresses.judge(pages(spark, urls), given).collect()}
+    assert {r["verdict"] for u, r in found.items() if "/good/" in u} == {"allow"}
+    assert {r["verdict"] for u, r in found.items() if "/bad/" in u} == {"block"}
+    assert found[urls[-1]]["verdict"] in ("allow", "block")
 
 
 def test_blocked_pages_go(spark):

@@ -21,11 +21,12 @@ def by_query(df):
     return found
 
 
-def test_recall_on_the_given_vectors(spark):
-    """Small leaves, so that the trees have to choose: at the usual share, 9 of 10 are found."""
+@pytest.mark.parametrize("leaf", [128, neighbours.LEAF])
+def test_recall_on_the_given_vectors(spark, leaf):
+    """With small leaves, so that the trees have to choose, and as registered: 9 of 10 are found."""
     prepare(spark)
     rows = read(spark, "/root/testdata/sf0.1", "embeddings")
-    found = by_query(neighbours.nearest(rows, "vec_id", "embedding", rows.where("vec_id % 20 = 0"), leaf=128))
+    found = by_query(neighbours.nearest(rows, "vec_id", "embedding", rows.where("vec_id % 20 = 0"), leaf=leaf))
     vectors = {r["vec_id"]: np.array(r["embedding"], dtype=float) for r in rows.collect()}
     queries = [i for i in vectors if i % 20 == 0]
     assert sorted(found) == sorted(queries)

@@ -186,10 +186,12 @@ def test_terms_are_counted_and_spanned_over_whole_texts(spark):
 
 
 def test_words_have_their_places(spark):
-    text = "\U0001f600 " + "".join("-" * (i % 5) + f" Wört{i}" for i in range(700)) + " !"
-    for t in (text, "", "one", "-", " ".join("x" * 256), " ".join("x" * 512) + " "):
-        row = spark.createDataFrame([(t,)], "t string").select(privacy._words(privacy.F.col("t")).alias("w")).first()
-        assert [(w["term"], w["start"], w["end"]) for w in row["w"]] == [(m[0].lower(), m.start(), m.end()) for m in re.finditer(r"\w+", t)]
+    text = "\U0001f600 " + "".join("-" * (i % 5) + f" Wört{i % 40}x" for i in range(700)) + " !İx İx2"
+    for pattern in (r"(?<![\p{L}\p{N}])(?:Wört7x|İx|Wört39x)(?![\p{L}\p{N}])", "Wört0x", "none"):
+        df = spark.createDataFrame([(text, pattern)], "t string, p string")
+        row = df.select(privacy.found(privacy.F.col("t"), privacy.F.col("p")).alias("w")).first()
+        plain = pattern.replace(r"[\p{L}\p{N}]", r"[^\W_]")
+        assert [(w["value"], w["start"], w["end"]) for w in row["w"]] == [(m[0], m.start(), m.end()) for m in re.finditer(plain, text)]
 
 
 def test_sanitised_texts(spark):

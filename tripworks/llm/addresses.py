@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -11,10 +12,9 @@ from tripworks.llm.frames import free_name, lower_ascii
 from tripworks.sources.scratch import materialise
 
 ALLOW, BLOCK = "allow", "block"
-# Segments of a path that get a level of the tree; what is deeper is one more level, DEEP.
-DEPTH = 8
-DEEP, ANY, NUMBER = "**", "*", "{n}"
-# A segment stays as it is if its branch has this share of its parent's pages, and this many.
+ANY, NUMBER = "*", "{n}"
+# A segment stays as it is if its branch has this share of its parent's pages, and this many. A node with
+# fewer pages below it is not divided further.
 SHARE = 0.02
 ENOUGH = 5
 # Neighbouring branches closer than this many standard errors in their share of allowed pages are one.
@@ -67,10 +67,9 @@ def ruled(host: Column, path: Column, given: Sequence[Rule]) -> tuple[Column, Co
 
 
 def shape(path: Column) -> Column:
-    """Segments of a path, digits as one wildcard, the part beyond DEPTH segments as another."""
+    """Segments of a path, all of them, digits as one wildcard."""
     segments = F.split(F.regexp_replace(path, "^/", ""), "/", -1)
-    cut = F.when(F.size(segments) > DEPTH, F.concat(F.slice(segments, 1, DEPTH), F.array(F.lit(DEEP)))).otherwise(segments)
-    return F.transform(cut, lambda s: F.regexp_replace(s, "[0-9]+", r"\{n\}"))
+    return F.transform(segments, lambda s: F.regexp_replace(s, "[0-9]+", r"\{n\}"))
 
 
 def _purity(good: str, bad: str, above: Column) -> Column:
@@ -83,7 +82,8 @@ def _branches(tree: DataFrame, level: int) -> DataFrame:
     sums = [F.sum(c).alias(c) for c in ("n", "good", "bad")]
     children = tree.where(F.size("shape") > level).groupBy("host", F.col("template").alias("parent"), segment.alias("segment"))
     children = materialise(children.agg(*sums, F.max("purity").alias("above")), "children")
-    whole = children.groupBy("host", "parent").agg(F.sum("n").alias("whole"))
+    # both sides of a join are written, so that adaptive execution can split the part of a parent with most segments
+    whole = materialise(children.groupBy("host", "parent").agg(F.sum("n").alias("whole")).where(F.col("whole") >= ENOUGH), "wholes")
     own = children.join(whole, ["host", "parent"])
     stays = (F.col("n") >= ENOUGH) & (F.col("n") >= SHARE * F.col("whole"))
     named = materialise(own.withColumn("name", F.when(stays, F.col("segment")).otherwise(ANY)).drop("whole"), "named")
@@ -106,7 +106,7 @@ def _branches(tree: DataFrame, level: int) -> DataFrame:
         F.sum("good").alias("good"), F.sum("bad").alias("bad"), F.max("above").alias("above"),
     )
     purity = F.when(F.col("good") + F.col("bad") == 0, PRIOR).otherwise(_purity("good", "bad", F.col("above")))
-    merged = merged.select("host", "parent", F.explode("members").alias("name"), "label", purity.alias("purity"))
+    merged = materialise(merged.select("host", "parent", F.explode("members").alias("name"), "label", purity.alias("purity")), "merged")
     return named.select("host", "parent", "segment", "name").join(merged, ["host", "parent", "name"]).drop("name")
 
 
@@ -114,7 +114,7 @@ def templates(labelled: DataFrame) -> DataFrame:
     """(host, shape, template, purity) for all shapes of paths, from rows (host, path, verdict or null).
 
     Rows are summed by host and shape first, so a host with most pages is as few rows as it has kinds
-    of paths. The tree grows level by level. In each, rare segments become a wildcard; the branches of
+    of paths. The tree grows level by level, as deep as some node has ``ENOUGH`` pages below it. In each, rare segments become a wildcard; the branches of
     a node, by their share of allowed pages, are merged with the next while they are statistically
     alike; and a branch's purity is its share of allowed pages, smoothed to its parent's. Nothing
     speaks against a branch without labelled pages: it is merged with its like only, and its purity
@@ -128,10 +128,11 @@ def templates(labelled: DataFrame) -> DataFrame:
     hosts = tree.groupBy("host").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
     hosts = hosts.select("host", _purity("good", "bad", F.lit(PRIOR)).alias("purity"))
     tree = tree.join(hosts, "host").withColumn("template", F.lit(""))
-    levels = tree.agg(F.max(F.size("shape"))).first()[0] or 0
-    for level in range(levels):
+    for level in count():
         tree = materialise(tree, "tree")
         branches = materialise(_branches(tree, level), "branches").toDF("of", "parent", "segment", "label", "closer")
+        if branches.isEmpty():
+            break
         here = F.element_at("shape", F.when(F.size("shape") > level, level + 1).otherwise(F.lit(1)))
         match = (F.col("host") == F.col("of")) & (F.col("template") == F.col("parent")) & (here == F.col("segment")) & (F.size("shape") > level)
         met = tree.join(branches, match, "left")

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from tripworks.functions.numeric import array_constant
 from tripworks.sources.scratch import materialise
 
 TREES = 8
@@ -21,8 +22,8 @@ SAMPLE = 32_768
 SEEN = 16
 # A query's queue is emptied until the leaves taken hold this many rows per indexed row, over all trees.
 # On vectors with next to no structure, near ones are hardly nearer than others and this must be
-# large: at 1.2, about 7 of 10 rows are compared. On clustered vectors a few hundredths do.
-SHARE = 1.2
+# large: at 1.5, about 8 of 10 rows are compared. On clustered vectors a few hundredths do.
+SHARE = 1.5
 # Leaves taken first. What they find is the score that rows of later leaves must reach.
 FIRST = 8
 # Rows and queries of a leaf that meet in one task; fuller leaves are cut into parts of this size.
@@ -143,15 +144,16 @@ def _search(index: DataFrame, queries: DataFrame, shape: tuple[int, int, int], k
             limits = asks.column("least").to_numpy(zero_copy_only=False)
             names = asks.column("query").to_numpy()
             masks = [np.frombuffer(b"".join(asks.column(c).to_pylist()), dtype=np.uint8).reshape(len(asks), -1) for c in ("before", "now")]
-            before, now = (np.unpackbits(m, axis=1)[:, : trees * leaves].reshape(-1, trees, leaves).astype(bool) for m in masks)
             vectors = _matrix(asks.column("v"), size)
             for start in range(0, len(asks), 512):
                 part = slice(start, start + 512)
                 near = vectors[part] @ points.T
+                # leaves taken, unpacked for these queries only
+                before, now = (np.unpackbits(m[part], axis=1)[:, : trees * leaves].reshape(-1, trees, leaves).view(bool) for m in masks)
                 for other in range(trees):
-                    met = before[part, other][:, at[:, other]]
+                    met = before[:, other][:, at[:, other]]
                     if other < tree:
-                        met |= now[part, other][:, at[:, other]]
+                        met |= now[:, other][:, at[:, other]]
                     near[met] = -np.inf
                 slack = 1e-9 * max(1.0, float(np.abs(near[np.isfinite(near)]).max(initial=0.0)))
                 low = limits[part]
@@ -243,14 +245,16 @@ def nearest(
     def phase(column: str, before: str, now: str, floor: DataFrame | None) -> DataFrame:
         asks = probed.select("query", "v", F.col(before).alias("before") if before else F.lit(bytes(-(-trees * leaves // 8))).alias("before"), F.col(now).alias("now"), F.explode(column).alias("at"))
         counts = asks.groupBy("at").count().collect()  # at most trees x leaves rows
-        cuts = {r["at"]: -(-r["count"] // PART) for r in counts}
-        qparts = F.create_map(*(F.lit(x) for kv in cuts.items() for x in kv)) if cuts else F.create_map().cast("map<int,bigint>")
-        rparts = F.array(*(F.lit(int(-(-n // PART) or 1)) for n in sizes.value.reshape(-1)))
+        cuts = [0] * (trees * leaves)
+        for r in counts:
+            cuts[r["at"]] = -(-r["count"] // PART)
+        qparts, rparts = array_constant(cuts, "bigint"), array_constant([int(-(-n // PART) or 1) for n in sizes.value.reshape(-1)], "bigint")
         rows = placed.select("node", "v", "leaves", F.posexplode("leaves").alias("tree", "leaf"))
         at = F.col("tree") * leaves + F.col("leaf")
         rows = rows.withColumn("rpart", F.pmod(F.xxhash64("node"), F.element_at(rparts, at + 1)))
-        rows = rows.withColumn("qpart", F.explode(F.sequence(F.lit(0).cast("bigint"), F.element_at(qparts, at) - 1)))
-        asks = asks.withColumn("qpart", F.pmod(F.xxhash64("query"), F.element_at(qparts, F.col("at"))))
+        asked_parts = F.element_at(qparts, at + 1)
+        rows = rows.where(asked_parts > 0).withColumn("qpart", F.explode(F.sequence(F.lit(0).cast("bigint"), asked_parts - 1)))
+        asks = asks.withColumn("qpart", F.pmod(F.xxhash64("query"), F.element_at(qparts, F.col("at") + 1)))
         asks = asks.withColumn("rpart", F.explode(F.sequence(F.lit(0).cast("bigint"), F.element_at(rparts, F.col("at") + 1).cast("bigint") - 1)))
         asks = asks.withColumns({"tree": (F.col("at") / leaves).cast("int"), "leaf": F.col("at") % leaves}).drop("at")
         if floor is None:

@@ -84,10 +84,12 @@ said as (
       else '<|user:' || {safe("role")} || '|>' end || chr(10) as head, {safe("text")} || '<|end|>' as body
   from placed p join speakers s on p.conv_id is not distinct from s.conv_id),
 spans as (
-  select *, sum(length(head) + length(body) + 1) over (partition by conv_id, part, speaker order by place) as until from said)
+  select *, sum(length(head) + length(body) + 1) over (partition by conv_id, speaker order by place) as until,
+    length(head) + length(body) + 1 as size from said)
 select conv_id, cast(part as bigint) as part, speaker, string_agg(head || body || chr(10), '' order by place) as text,
+  cast(min(until - size) as bigint) as offset,
   coalesce(string_agg(cast(until - 1 - length(body) as varchar) || ':' || cast(until - 1 as varchar), ',' order by place) filter (where own), '') as mask,
-  count(*) as n_turns, cast(max(until) as bigint) as n_chars, cast(coalesce(sum(length(body)) filter (where own), 0) as bigint) as n_trained
+  count(*) as n_turns, cast(sum(size) as bigint) as n_chars, cast(coalesce(sum(length(body)) filter (where own), 0) as bigint) as n_trained
 from spans group by conv_id, part, speaker
 """
 
