@@ -40,7 +40,7 @@ DISCLOSED = 0.9
 REVEALED = 0.99
 # An entity with fewer bits, in more than an eighth of all documents, is no secret.
 LEAST_BITS = 3.0
-# Terms are sent to all tasks up to so many bytes, as measured; beyond, they meet the words in a shuffle.
+# Terms and spans are sent to all tasks up to so many bytes, as measured; beyond, they meet texts in a shuffle.
 SENT_BYTES = 8 << 20
 # Numbers added up one by one in a running sum; sums of such lots come before them.
 LOT = 256
@@ -219,10 +219,10 @@ def _entity_sets(mentions: DataFrame) -> DataFrame:
     return found_sets
 
 
-def _with_terms(words: DataFrame, terms: DataFrame) -> DataFrame:
-    """``words`` (with a ``term``) that are among ``terms``, a written table; small ones are sent to all tasks."""
-    small = hadoop.size(terms.sparkSession, terms.inputFiles()) <= SENT_BYTES
-    return words.join(F.broadcast(terms) if small else terms, "term")
+def _sent(table: DataFrame) -> DataFrame:
+    """A written table, to be sent to all tasks of a join if it is small by its bytes."""
+    small = hadoop.size(table.sparkSession, table.inputFiles()) <= SENT_BYTES
+    return F.broadcast(table) if small else table
 
 
 def co_occurrence(texts: DataFrame, total: int) -> DataFrame:
@@ -298,11 +298,11 @@ def disclosing(marked: DataFrame, names: dict[str, str], text: str = "text") ->
     told = materialise(told_terms(texts, marked.count()), "told")
     seen = F.when(F.size("base") > 0, _blanked(F.col("text"), F.col("base"))).otherwise(F.col("text"))
     words = texts.select("row", F.explode(_distinct_words(seen)).alias("term"))
-    hits = _with_terms(words, told).groupBy("row").agg(F.collect_list(F.struct("term", "removed")).alias("told"))
+    hits = words.join(_sent(told), "term").groupBy("row").agg(F.collect_list(F.struct("term", "removed")).alias("told"))
     hits = materialise(hits, "hits")
     discard(told)
 
-    met = texts.withColumn("seen", seen).join(hits, "row").withColumn("names", F.col("told.term"))
+    met = texts.withColumn("seen", seen).join(_sent(hits), "row").withColumn("names", F.col("told.term"))
     # the words of the row that are told, as they are written there, make its own pattern
     forms = F.filter(F.array_distinct(F.regexp_extract_all("seen", F.lit(WORD), F.lit(0))), lambda w: F.array_contains("names", F.lower(w)))
     pattern = F.concat(F.lit(rf"(?<!{LETTER})(?:"), F.array_join(forms, "|"), F.lit(rf")(?!{LETTER})"))
@@ -316,12 +316,12 @@ def find(docs: DataFrame, keep: list[str], text: str = "text") -> tuple[DataFram
     """The columns ``keep`` with base spans and ``terms``: array of (start, end, removed) by start, or null."""
     marked, names = mark_base(docs, text)
     kept = dict.fromkeys([*keep, text])
-    marked = materialise(marked.select(*kept, *(names[n] for n in ("row", "base"))), "base-spans")
+    marked = materialise(marked.select(*kept, *(names[n] for n in ("row", "base"))), "base-spans", "zstd")
     terms = disclosing(marked, names, text)
     names["terms"] = free_name(marked, "terms")
     of = free_name(marked, "of_row")
     terms = materialise(terms.select(F.col("row").alias(of), F.col("terms").alias(names["terms"])), "term-spans")
-    met = marked.join(terms, marked[names["row"]] == terms[of], "left")
+    met = marked.join(_sent(terms), F.col(names["row"]) == F.col(of), "left")
     return met.select(*keep, *(names[n] for n in ("row", "base", "terms"))), names
 
 
