@@ -1,6 +1,7 @@
 """Window counts against a naive self-join on small rows."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,3 +93,9 @@ def test_names_and_direction(spark):
     assert out.columns[-2:] == [f"this_pickup_kmeans_100_clusterafter_{m}minutes_traffic" for m in (10, 15)]
     with pytest.raises(ValueError):
         traffic.with_window_counts(df, "pickup_datetime", [], {"n": Span(-1, 1)})
+
+
+def test_no_frame_is_added_up_anew_for_each_cell(spark):
+    plan = traffic.with_window_counts(frame(spark, moments(1)), "ts", ["c"], {"a": Span.after(10), "t": Span.trailing(60)})
+    frames = re.findall(r"specifiedwindowframe\((\w+), (\w+)", plan._jdf.queryExecution().optimizedPlan().toString())
+    assert frames and all("unboundedpreceding" in start for _, start in frames)

@@ -161,12 +161,14 @@ def _count_cells(cells: DataFrame, keys: list[str], whole: Mapping[str, Span]) -
     laid = cells.withColumn("_home", home).withColumn(
         "_bucket", F.explode(F.array(F.col("_home"), *(F.col("_home") + step for step in steps)))
     )
+    # Running sums are carried from cell to cell; a frame with two moving ends would be added up anew for each.
     within = Window.partitionBy(*keys, "_bucket").orderBy("_cell")
+
+    def up_to(step: int) -> Column:
+        return F.coalesce(F.sum("_rows").over(within.rangeBetween(Window.unboundedPreceding, step)), F.lit(0))
+
     sums = [
-        (F.coalesce(F.sum("_rows").over(within.rangeBetween(s.first, s.last)), F.lit(0)) if s.first <= s.last else F.lit(0)).alias(
-            f"_mid_{name}"
-        )
-        for name, s in whole.items()
+        (up_to(s.last) - up_to(s.first - 1) if s.first <= s.last else F.lit(0)).alias(f"_mid_{name}") for name, s in whole.items()
     ]
     return laid.select(*keys, "_cell", "_bucket", "_home", *sums).where(F.col("_bucket") == F.col("_home")).drop("_bucket", "_home")
 
