@@ -161,3 +161,36 @@ def test_wide_rows_are_shuffled_by_id_once(spark, inputs):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(lines) <= 3  # the wide frame, the traffic counts, the routes
+
+
+def _exchanges(node):
+    if node.nodeName() == "AdaptiveSparkPlan":
+        node = node.initialPlan()
+    if node.nodeName() == "Exchange":
+        yield node
+    for i in range(node.children().size()):
+        yield from _exchanges(node.children().apply(i))
+
+
+@pytest.mark.parametrize("minutes", [(), (10, 15)])
+def test_trips_are_shuffled_before_they_are_wide(spark, inputs, minutes):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = feature_build.build_features(*inputs, queries._grid_config(window_minutes=minutes))
+        found = list(_exchanges(df._jdf.queryExecution().executedPlan()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_id = [x.output().size() for x in found if "hashpartitioning(id#" in x.outputPartitioning().toString()]
+    assert by_id and max(by_id) <= 20 < len(df.columns) - 60
+
+
+def test_repeated_and_missing_ids_meet_the_same_rows(spark, folder, inputs):
+    """Joining by id before the group statistics gives what joining after them gave, as a build in stages does."""
+    trips, routes, weather = inputs
+    few = trips.where("id < 'id0000200'")
+    odd = few.unionByName(few.where("id < 'id0000020'")).withColumn("id", F.when(F.col("id") != "id0000030", F.col("id")))
+    cfg = queries._grid_config(min_count=2, window_minutes=(10,))
+    shown = ["id", "cnt_pickup_hour_pickup_cell", "total_distance", "starting_street_heavy", "this_pickup_cellafter_10minutes_traffic"]
+    built = [feature_build.build_features(odd, routes, weather, cfg, store) for store in (None, StageStore(spark, folder))]
+    rows = [sorted(map(str, df.select(*shown).collect())) for df in built]
+    assert rows[0] == rows[1] and len(rows[0]) > odd.count()
