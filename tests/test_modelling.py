@@ -7,7 +7,7 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from tripworks.operators import features, rows
-from tripworks.plans import modelling
+from tripworks.plans import modelling, queries
 from tripworks.sources import fixtures
 
 
@@ -91,3 +91,40 @@ def test_error_measures(spark):
     logs = [(math.log1p(math.exp(max(b, 0))) - math.log1p(math.exp(a))) ** 2 for a, b in data]
     assert r["mse"] == pytest.approx(mse) and r["rmse"] == pytest.approx(math.sqrt(mse))
     assert r["rmsle"] == pytest.approx(math.sqrt(sum(logs) / 2))
+
+
+def own_trips(spark, rows):
+    """Trips of two kinds with one duration each, every fifth a test trip."""
+    data = [(f"id{i:07d}", "test" if i % 5 == 4 else "train", None if i % 5 == 4 else 100 + 900 * (i % 2), i % 2) for i in range(rows)]
+    return spark.createDataFrame(data, "id string, split string, trip_duration bigint, kind int")
+
+
+def test_oof_gbt_takes_all_rounds_and_levels(spark, monkeypatch):
+    taken, out_of_fold = [], modelling.out_of_fold
+
+    def short(df, learner, **settings):
+        taken.append(learner)
+        return out_of_fold(df, learner.copy({learner.maxIter: 2}), **settings)
+
+    monkeypatch.setattr(queries, "_grid_features", lambda spark, sf: own_trips(spark, 60))
+    monkeypatch.setattr(modelling, "out_of_fold", short)
+    result = queries.REGISTRY["oof_gbt"](spark, "").collect()
+    assert sorted(r["id"] for r in result) == [f"id{i:07d}" for i in range(60)]
+    whole = modelling.boosted_trees()
+    assert (taken[0].getMaxIter(), taken[0].getMaxDepth()) == (whole.getMaxIter(), whole.getMaxDepth()) == (100, 8)
+
+
+def test_shape_of_a_fit():
+    shapes = [modelling.fit_shape(n, 8) for n in (0, 39_999, 84_000, 1_000_000, 5_040_000, 50_000_000)]
+    assert shapes == [(1, 9), (1, 9), (2, 5), (8, 2), (8, 1), (50, 1)]
+
+
+def test_packed_folds_use_all_rows_and_rounds(spark):
+    trips = own_trips(spark, 60).repartition(6)
+    result = modelling.out_of_fold(trips, modelling.boosted_trees(rounds=30, depth=2, subsample=1.0), folds=3, pack=True)
+    plain = modelling.out_of_fold(trips, modelling.boosted_trees(rounds=30, depth=2, subsample=1.0), folds=3)
+    assert [m.getNumTrees for m in result.models] == [30] * 3
+    for kind in ("train", "test"):
+        got, expected = ({r["id"]: r["trip_duration"] for r in getattr(o, kind).collect()} for o in (result, plain))
+        assert got.keys() == expected.keys() and len(got) == {"train": 48, "test": 12}[kind]
+        assert all(got[i] == pytest.approx(expected[i]) == pytest.approx(100 + 900 * (int(i[2:]) % 2)) for i in got)
